@@ -117,3 +117,48 @@ SELECT CAST(o_custkey AS STRING) AS entry_id,
        o_orderstatus, o_orderpriority
 FROM {orders}
 """
+
+#: Atoms: forty orders make an entry, an order is a residue, a line item an atom.
+ATOMS = """
+SELECT concat('e', CAST(CAST(floor(l_orderkey / 40) AS BIGINT) AS STRING)) AS entry_id,
+  CAST(floor(l_orderkey / 40) AS BIGINT) AS entry_no,
+  CASE WHEN l_orderkey % 400 >= 380 AND l_partkey % 3 = 0 THEN 1 ELSE 0 END AS model_index,
+  CAST(l_orderkey % 4 AS INT) AS chain_index,
+  CAST(floor((l_orderkey % 40) / 4) AS INT) AS residue_index,
+  (CAST(l_linenumber AS BIGINT) * 1000000 + l_partkey) * 10000 + l_suppkey AS source_order,
+  (CAST(l_linenumber AS BIGINT) * 1000000 + l_partkey) * 10000 + l_suppkey AS atom_index,
+  split_part('A,B,C,D', ',', CAST(l_orderkey % 4 + 1 AS INT)) AS chain_id,
+  split_part('ZN,HIS,ASP,CYS,HOH,GLU,SER,HEM,LYS,LIG', ',', CAST(l_orderkey % 10 + 1 AS INT))
+    AS residue_name,
+  CAST(CAST(floor((l_orderkey % 40) / 4) AS INT) + 1 AS STRING) AS resnum,
+  '' AS insertion_code,
+  CASE WHEN l_orderkey % 10 = 0
+       THEN split_part('ZN,FE,CA,MG,CU,CD,MN,ZN', ',', CAST(l_partkey % 8 + 1 AS INT))
+       ELSE split_part(split_part(
+         'N,N CA O ND1 NE2 CB CD2,N CA O OD1 OD2 CB OXT,N CA O SG CB OXT H,O O O O H1 O O,N CA O OE1 OE2 CB CG,N CA O OG CB OT1 HG,FE NA NB NC ND C1 O1A,N CA O NZ CB CE CD,O1 N1 S1 C1 C2 O2 P',
+         ',', CAST(l_orderkey % 10 + 1 AS INT)), ' ', CAST(l_linenumber AS INT)) END AS atom_name,
+  CASE WHEN l_partkey % 5 = 0 THEN l_returnflag ELSE '' END AS altloc,
+  CASE WHEN l_partkey % 97 = 0 THEN NULL
+       WHEN l_orderkey % 10 = 0
+       THEN split_part('ZN,FE,CA,MG,CU,CD,MN,ZN', ',', CAST(l_partkey % 8 + 1 AS INT))
+       WHEN l_orderkey % 10 = 7 AND l_linenumber = 1 THEN 'FE'
+       ELSE substring(split_part(split_part(
+         'N,N CA O ND1 NE2 CB CD2,N CA O OD1 OD2 CB OXT,N CA O SG CB OXT H,O O O O H1 O O,N CA O OE1 OE2 CB CG,N CA O OG CB OT1 HG,FE NA NB NC ND C1 O1A,N CA O NZ CB CE CD,O1 N1 S1 C1 C2 O2 P',
+         ',', CAST(l_orderkey % 10 + 1 AS INT)), ' ', CAST(l_linenumber AS INT)), 1, 1) END AS element,
+  CASE WHEN l_partkey % 40 = 1 THEN '' WHEN l_partkey % 40 = 2 THEN 'abc'
+       WHEN l_partkey % 40 = 3 THEN '1.50' WHEN l_partkey % 40 = 4 THEN '0.00'
+       WHEN l_partkey % 40 = 6 THEN 'nan'
+       WHEN l_partkey % 5 = 0 AND l_returnflag = 'A' THEN '0.60'
+       WHEN l_partkey % 5 = 0 AND l_returnflag = 'N' THEN '0.40'
+       WHEN l_partkey % 5 = 0 THEN '0.60' ELSE '1.00' END AS occupancy_raw,
+  CASE WHEN l_partkey % 101 = 0 THEN NULL
+       ELSE (CAST(round(l_extendedprice * 100e0) AS BIGINT) % 1907) / 100e0 END AS x,
+  ((CAST(round(l_extendedprice * 100e0) AS BIGINT) * 7 + l_partkey * 13) % 1801) / 100e0 AS y,
+  ((l_suppkey * 31 + l_linenumber * 211 + l_partkey * 3) % 1709) / 100e0 AS z,
+  l_quantity + (l_suppkey % 10) / 10e0 AS b_iso,
+  l_orderkey % 10 = 4 AS is_water,
+  CASE WHEN l_orderkey % 10 IN (0, 4, 7, 9) THEN '-'
+       WHEN floor((l_orderkey % 40) / 4) <= 2 THEN 'N'
+       WHEN floor((l_orderkey % 40) / 4) >= 7 THEN 'C' ELSE 'M' END AS polymer_position
+FROM {lineitem}
+"""

@@ -19,6 +19,7 @@ from sitegrade.operators.score_inputs import (
     complete_site_count, duplicate_keys, excess_entries, prepare_score_inputs,
 )
 from sitegrade.plans.score import POLICY_JSON, score_inputs_against
+from sitegrade.session import cut_lineage
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -456,7 +457,7 @@ ranked AS (
 
 
 def average_rank_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = _cohort_keys(spark, sf_dir)
+    inputs = cut_lineage(_cohort_keys(spark, sf_dir))
     ranked = dist.rank_against(inputs, dist.value_histogram(inputs), same_cohort=True)
     return ranked.select(
         "metal_site_id",
@@ -474,7 +475,7 @@ SELECT CAST(site AS VARCHAR) AS metal_site_id, {fixed_sql("d_rank")} AS density_
 
 
 def rank_unseen_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = _cohort_keys(spark, sf_dir)
+    inputs = cut_lineage(_cohort_keys(spark, sf_dir))
     even = F.col("metal_site_id").cast("long") % 2 == 0
     frozen = dist.value_histogram(inputs.where(even))
     return dist.rank_against(inputs.where(~even), frozen).select(
@@ -508,7 +509,8 @@ FROM asked a LEFT JOIN with_d d ON a.site = d.site LEFT JOIN with_g g ON a.site
 
 # ---- flagship ------------------------------------------------------------------
 def final_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = _cohort_keys(spark, sf_dir)
+    # The prepared inputs are a table of their own: counted once, ranked once.
+    inputs = cut_lineage(_cohort_keys(spark, sf_dir))
     scored = score_inputs_against(inputs, dist.value_histogram(inputs), same_cohort=True)
     return scored.select(
         "entry_id",

@@ -46,7 +46,7 @@ def site_id(
     return F.format_string(
         "%s:m%d:c%d:r%d:a%d",
         F.lower(as_col(entry)),
-        *[as_col(part).cast("int") for part in (model, chain, residue, atom)],
+        *[as_col(part).cast("long") for part in (model, chain, residue, atom)],
     )
 
 

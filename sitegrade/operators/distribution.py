@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sitegrade.functions.clean import finite
 from sitegrade.functions.rounding import REFERENCE_PLACES, with_rounded
 from sitegrade.operators.prefix import METRIC_WIDTHS, running_before
+from sitegrade.session import cut_lineage
 
 #: Component name -> input column of the standard score table.
 COMPONENTS = {"density": "rszd_abs", "geometry": "geometry_rms_zbond"}
@@ -116,7 +117,9 @@ def rank_against(
     the crowded values.
     """
     queried = None if same_cohort else observations(inputs, components)
-    ranks = rank_table(distribution, queried)
+    # Small by construction (distinct three-decimal values) and read once per
+    # component, so it is written out rather than derived again for each join.
+    ranks = cut_lineage(rank_table(distribution, queried))
     ranked = with_rounded(
         inputs,
         {

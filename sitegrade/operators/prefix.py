@@ -128,3 +128,37 @@ def exact_median(
             F.max("__size").alias(f"{out}_count"),
         )
     )
+
+
+def running_best(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    rank: str,
+    out: str,
+    width: int = POSITION_WIDTHS[0],
+) -> DataFrame:
+    """Add ``out``: the smallest ``rank`` among rows of the key ordered before this one.
+
+    ``rank`` may be a struct that carries further fields of its row. The order
+    axis is cut into buckets as in :func:`running_before`.
+    """
+    cut = df.withColumn("__bucket", F.floor(F.col(order) / F.lit(width)).cast("long"))
+    inner = Window.partitionBy(*keys, "__bucket").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    outer = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    earlier = (
+        cut.groupBy(*keys, "__bucket")
+        .agg(F.min(rank).alias("__best"))
+        .withColumn("__earlier", F.min("__best").over(outer))
+        .select(*keys, "__bucket", "__earlier")
+    )
+    return (
+        cut.withColumn("__local", F.min(rank).over(inner))
+        .join(earlier, [*keys, "__bucket"], "left")
+        .withColumn(out, F.least("__local", "__earlier"))
+        .select(*df.columns, out)
+    )
