@@ -86,14 +86,17 @@ def explicit_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return con.with_eligibility(con.with_donor_policy(found), literature(spark))
 
 
-def explicit_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Assigned contacts of the explicit scope, scored and grouped."""
-    precise = explicit_stage(spark, sf_dir).withColumn(
+def explicit_contacts(
+    spark: SparkSession, sf_dir: str, stage: DataFrame | None = None
+) -> DataFrame:
+    """Assigned contacts of the explicit scope, scored, grouped and stored once."""
+    stage = explicit_stage(spark, sf_dir) if stage is None else stage
+    precise = stage.withColumn(
         "dpi",
         0.05 + F.pmod(F.regexp_extract("entry_id", r"(\d+)", 1).cast("long"), F.lit(10)) / 100,
     )
     kept = con.collapse_images(con.assigned(precise))
-    return con.with_groups(con.with_geometry(kept))
+    return cut_lineage(con.with_groups(cut_lineage(con.with_geometry(kept))))
 
 
 #: Explicit candidates and contacts in SQL.
@@ -374,9 +377,8 @@ FROM s
 
 
 def site_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    context = con.site_context(
-        explicit_contacts(spark, sf_dir), explicit_stage(spark, sf_dir)
-    )
+    stage = cut_lineage(explicit_stage(spark, sf_dir))
+    context = con.site_context(explicit_contacts(spark, sf_dir, stage), stage)
     return context.withColumn(
         "context_warning_reasons", F.array_join("context_warning_reasons", "|")
     )

@@ -254,25 +254,39 @@ def image_radius_join(
         "*",
         *[f"CAST(round({b} - g{i}) AS INT) AS s{i}" for i, b in ((1, "lu"), (2, "lv"), (3, "lw"))],
     )
-    shifts = ", ".join(f"struct({i} AS i, {j} AS j, {k} AS k)" for i, j, k in _SHIFTS)
-    du, dv, dw = ("(g1 + s1 + o.i - lu)", "(g2 + s2 + o.j - lv)", "(g3 + s3 + o.k - lw)")
-    squared = (
-        f"pow(m11 * {du} + m12 * {dv} + m13 * {dw}, 2)"
-        f" + pow(m22 * {dv} + m23 * {dw}, 2) + pow(m33 * {dw}, 2)"
+    # In a cell two radii wide along every axis only the rounded shift can come
+    # within reach; narrower cells try all 27 shifts around it.
+    wide = (F.col("n1") >= 2) & (F.col("n2") >= 2) & (F.col("n3") >= 2)
+    rounded = placed.where(wide).selectExpr(
+        "*", f"{_shifted_square('0', '0', '0')} AS near_d2", "s1 AS tx", "s2 AS ty", "s3 AS tz"
     )
-    nearest = placed.selectExpr(
+    shifts = ", ".join(f"struct({i} AS i, {j} AS j, {k} AS k)" for i, j, k in _SHIFTS)
+    searched = placed.where(~wide).selectExpr(
         "*",
-        f"array_min(transform(array({shifts}), o -> struct({squared} AS d2,"
+        f"array_min(transform(array({shifts}), o -> struct("
+        f"{_shifted_square('o.i', 'o.j', 'o.k')} AS d2,"
         " s1 + o.i AS x, s2 + o.j AS y, s3 + o.k AS z))) AS near",
+    ).selectExpr("*", "near.d2 AS near_d2", "near.x AS tx", "near.y AS ty", "near.z AS tz")
+    nearest = rounded.unionByName(searched.drop("near"))
+    dropped = {
+        *bins[1:], "is_ncs", "n1", "n2", "n3", "t1", "t2", "t3",
+        *[f"r{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3)],
+        "m11", "m12", "m13", "m22", "m23", "m33",
+    }
+    return nearest.where(F.col("near_d2") <= radius * radius).selectExpr(
+        *[c for c in columns if c not in dropped],
+        "tx", "ty", "tz",
+        "sqrt(near_d2) AS distance",
+        "g1 + tx AS iu", "g2 + ty AS iv", "g3 + tz AS iw",
     )
-    return nearest.where(F.col("near.d2") <= radius * radius).selectExpr(
-        *[c for c in columns if c not in (*bins[1:], "is_ncs", "n1", "n2", "n3",
-                                          *[f"r{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3)],
-                                          "t1", "t2", "t3",
-                                          "m11", "m12", "m13", "m22", "m23", "m33")],
-        "near.x AS tx", "near.y AS ty", "near.z AS tz",
-        "sqrt(near.d2) AS distance",
-        "g1 + near.x AS iu", "g2 + near.y AS iv", "g3 + near.z AS iw",
+
+
+def _shifted_square(i: str, j: str, k: str) -> str:
+    """Squared distance after the rounded shift plus a whole-cell offset."""
+    du, dv, dw = (f"(g1 + s1 + {i} - lu)", f"(g2 + s2 + {j} - lv)", f"(g3 + s3 + {k} - lw)")
+    return (
+        f"pow(m11 * {du} + m12 * {dv} + m13 * {dw}, 2)"
+        f" + pow(m22 * {dv} + m23 * {dw}, 2) + pow(m33 * {dw}, 2)"
     )
 
 
