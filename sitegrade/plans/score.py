@@ -45,3 +45,27 @@ def score_inputs_against(
     return fs.with_verdict(scored, "rszd_abs", "geometry_rms_zbond").drop(
         "density_rank", "geometry_rank"
     )
+
+
+def resolve_reference(candidates: list[str | None], has_reference) -> str | None:
+    """The first folder that holds a completed reference, in the order given.
+
+    Callers pass explicit, output and bundled folders in that order; an
+    explicit folder without a reference is an error of theirs to raise.
+    """
+    return next((folder for folder in candidates if folder and has_reference(folder)), None)
+
+
+def with_reference_columns(scored: DataFrame, metadata: dict | None) -> DataFrame:
+    """Add the reference identity every scored row carries; null without one."""
+    known = metadata or {}
+    columns = {
+        "score_reference_id": ("reference_id", "string"),
+        "score_cohort_id": ("cohort_id", "string"),
+        "score_cohort_size": ("input_row_count", "long"),
+        "density_reference_size": ("density_reference_size", "long"),
+        "geometry_reference_size": ("geometry_reference_size", "long"),
+    }
+    return scored.withColumns(
+        {name: F.lit(known.get(key)).cast(kind) for name, (key, kind) in columns.items()}
+    )
