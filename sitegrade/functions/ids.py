@@ -164,3 +164,20 @@ def portable_path(prefix: str, *parts: str | Column) -> Column:
 def policy_digest(prefix: str, payload: Column) -> Column:
     """``prefix`` plus twenty hex digits of a canonical JSON payload."""
     return F.concat(F.lit(prefix), F.substring(F.sha2(payload, 256), 1, 20))
+
+
+def symmetry_code(image_index: str | Column, shifts: Sequence[str | Column]) -> Column:
+    """``1_555``: one-based operation and the lattice shift, five meaning none.
+
+    A shift that leaves the single digits is written out, with separators.
+    """
+    parts = [as_col(s).cast("int") + 5 for s in shifts]
+    plain = F.lit(True)
+    for part in parts:
+        plain = plain & part.between(F.lit(0), F.lit(9))
+    texts = [part.cast("string") for part in parts]
+    number = (as_col(image_index).cast("int") + 1).cast("string")
+    return F.concat(
+        number, F.lit("_"),
+        F.when(plain, F.concat(*texts)).otherwise(F.concat_ws("_", *texts)),
+    )
