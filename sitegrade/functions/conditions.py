@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,42 +28,65 @@ def _found(text: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
-def _spellings(symbols: list[str]) -> str:
-    return "|".join(f"{s.title()}|{s}" for s in symbols)
+def _any_of(words: list[str]) -> str:
+    """A pattern of many words that shares their prefixes, so a miss fails early."""
+    tails: dict[str, list[str]] = {}
+    for word in words:
+        if word:
+            tails.setdefault(word[0], []).append(word[1:])
+    if not tails:
+        return ""
+    parts = [re.escape(first) + _any_of(rest) for first, rest in sorted(tails.items())]
+    body = parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+    return f"(?:{body})?" if "" in words else body
+
+
+def _spelled(symbols: list[str], *, title: bool = True, upper: bool = True) -> str:
+    """Symbols in title case, upper case or both."""
+    forms = [s.title() for s in symbols if title] + [s for s in symbols if upper]
+    return _any_of(list(dict.fromkeys(forms)))
+
+
+def _symbol_pattern(symbols: list[str], *, bare: bool) -> str:
+    """Symbols inside formulas and salts, and standing alone when ``bare``.
+
+    What follows a symbol is only looked at, so one token can name several
+    metals, and no match hides the next.
+    """
+    letters = "".join(sorted({s[0] for s in symbols}))
+    formula = r"(?=\d|[A-Z(][A-Za-z0-9()]*\d)"
+    alone = r"|(?<=\b[A-Za-z]{2})\b(?!-[A-Za-z])" if bare else ""
+    salts = [s for s in symbols if s in vocab.SALT_METALS]
+    titled, uppered = _any_of(list(vocab.SALT_ANIONS)), _any_of([a.upper() for a in vocab.SALT_ANIONS])
+    return (
+        rf"(?U)(?<![A-Za-z])(?=[{letters}])((?:{_spelled(symbols)})(?:{formula}{alone})"
+        rf"|(?:{_spelled(salts, upper=False)})(?={titled}(?![A-Za-z]))"
+        rf"|(?:{_spelled(salts, title=False)})(?={uppered}(?![A-Za-z])))"
+    )
 
 
 def metals_in_text(text: str | Column) -> Column:
     """Sorted symbols of the metals a text names, by name, symbol, formula or salt.
 
-    One pass per kind of evidence covers every metal at once. A symbol is
-    matched with its case; names are matched as whole words in any case. What
-    follows a symbol in a formula is only looked at, never consumed, so one
-    token can name several metals.
+    Three passes cover every metal: names as whole words in any case, two-letter
+    symbols and one-letter symbols with their case. The two lengths stay apart
+    because ``YB2`` names both yttrium and ytterbium.
     """
     cleaned = F.regexp_replace(as_col(text), MASS_UNIT, " ")
     names = {alias: symbol for symbol, group in vocab.METAL_NAMES.items() for alias in group}
-    longest_first = sorted(names, key=lambda alias: (-len(alias), alias))
     by_name = F.transform(
-        _found(F.lower(cleaned), rf"(?U)\b({'|'.join(longest_first)})\b"),
+        _found(F.lower(cleaned), rf"(?U)\b({_any_of(list(names))})\b"),
         lambda hit: F.element_at(
             F.create_map(*[F.lit(part) for pair in names.items() for part in pair]), hit
         ),
     )
     two = [s for s in vocab.METAL_NAMES if len(s) == 2]
     one = [s for s in vocab.METAL_NAMES if len(s) == 1]
-    tail = r"(?=\d|[A-Z(][A-Za-z0-9()]*\d)"
-    title_salts = "|".join(vocab.SALT_ANIONS)
-    upper_salts = "|".join(anion.upper() for anion in vocab.SALT_ANIONS)
-    titled = "|".join(s.title() for s in vocab.SALT_METALS)
-    uppered = "|".join(vocab.SALT_METALS)
-    by_symbol = [
-        _found(cleaned, rf"(?U)\b({_spellings(two)})\b(?!-[A-Za-z])"),
-        _found(cleaned, rf"(?<![A-Za-z])({_spellings(two)}){tail}"),
-        _found(cleaned, rf"(?<![A-Za-z])({'|'.join(one)}){tail}"),
-        _found(cleaned, rf"(?<![A-Za-z])({titled})(?:{title_salts})(?![A-Za-z])"),
-        _found(cleaned, rf"(?<![A-Za-z])({uppered})(?:{upper_salts})(?![A-Za-z])"),
-    ]
-    symbols = F.transform(F.concat(*by_symbol), lambda hit: F.upper(hit))
+    by_symbol = F.concat(
+        _found(cleaned, _symbol_pattern(two, bare=True)),
+        _found(cleaned, _symbol_pattern(one, bare=False)),
+    )
+    symbols = F.transform(by_symbol, lambda hit: F.upper(hit))
     return F.array_sort(F.array_distinct(F.concat(by_name, symbols)))
 
 
