@@ -274,15 +274,16 @@ def analyze_contacts(
     image-inclusive scope is primary for every entry that has them.
     ``declared`` holds placed candidate rows of declared connections.
     """
+    atoms = cut_lineage(atoms)
     metals, donors = con.metals_of(atoms), con.donors_of(atoms)
     near = None if declared is None else declared.where(~F.col("symmetry_contact"))
-    explicit = _assess(con.explicit_candidates(metals, donors), near, reference, entries)
+    nearby = con.explicit_candidates(metals, donors)
+    explicit = _assess(nearby, near, reference, entries)
     image = None
     primary_candidates, primary_contacts = explicit.candidates, explicit.contacts
     if cells is not None and operations is not None:
         found = con.image_candidates(metals, donors, cells, operations)
-        found = found.select(*con.explicit_candidates(metals, donors).columns)
-        image = _assess(found, declared, reference, entries)
+        image = _assess(found.select(*nearby.columns), declared, reference, entries)
         without = entries.where(~F.coalesce(F.col("searched"), F.lit(False))).select("entry_id")
         primary_candidates = image.candidates.unionByName(
             explicit.candidates.join(without, "entry_id", "left_semi")
@@ -290,7 +291,7 @@ def analyze_contacts(
         primary_contacts = image.contacts.unionByName(
             explicit.contacts.join(without, "entry_id", "left_semi")
         )
-    bonds = bond_table(_identified(_ncs_ids(primary_contacts, operations)))
+    bonds = cut_lineage(bond_table(_identified(_ncs_ids(primary_contacts, operations))))
     candidates = candidate_table(_identified(_ncs_ids(primary_candidates, operations)), bonds)
     everyone = con._prefixed(atoms.where(con.is_metal()), "m_")
     return ContactTables(candidates, bonds, site_table(everyone, explicit, image, entries))
