@@ -99,7 +99,7 @@ def exact_median(
     out: str,
     widths: Sequence[int] = METRIC_WIDTHS,
 ) -> DataFrame:
-    """The exact median of a non-null numeric column per key.
+    """The exact median of a numeric column per key; ``keys`` must not be empty.
 
     Values are first counted per distinct value, which shrinks a hot key to its
     distinct measurements before anything is ordered.
@@ -111,7 +111,7 @@ def exact_median(
     )
     placed = running_before(counts, keys, "__value", "__count", "__below", widths)
     totals = counts.groupBy(*keys).agg(F.sum("__count").alias("__size"))
-    sized = placed.join(totals, list(keys)) if keys else placed.crossJoin(totals)
+    sized = placed.join(totals, list(keys))
     upto = F.col("__below") + F.col("__count")
     low_pos = F.floor((F.col("__size") - 1) / 2)
     high_pos = F.floor(F.col("__size") / 2)

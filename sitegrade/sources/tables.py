@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -104,27 +105,21 @@ def write_reference(inputs: DataFrame, folder: str) -> DataFrame:
     frozen = spark.read.schema(DISTRIBUTION_SCHEMA).parquet(f"{folder}/distribution")
     if frozen.isEmpty():
         raise TableError("cannot build a score reference with no evidence")
-    sizes = _size_row(frozen)
-    described = (
-        dist.fingerprint(frozen, POLICY_JSON)
-        .join(F.broadcast(dist.cohort_summary(inputs)))
-        .join(F.broadcast(sizes))
-        .withColumns(
-            {
-                "policy": F.lit(POLICY_JSON),
-                "reference_id": F.concat(F.lit("score-ref-"), F.substring("fingerprint", 1, 20)),
-            }
-        )
-    )
-    identified = described.withColumn(
-        "cohort_id",
-        F.concat(
-            F.lit("cohort-"),
-            F.substring(F.sha2(F.concat_ws("\n", "reference_id", "input_row_count"), 256), 1, 20),
-        ),
-    )
+    # Three one-row results make up the metadata.
+    fingerprint = dist.fingerprint(frozen, POLICY_JSON).first()["fingerprint"]
+    values = {
+        **dist.cohort_summary(inputs).first().asDict(),
+        **_size_row(frozen).first().asDict(),
+        "policy": POLICY_JSON,
+        "fingerprint": fingerprint,
+        "reference_id": f"score-ref-{fingerprint[:20]}",
+    }
+    identity = f"{values['reference_id']}\n{values['input_row_count']}"
+    values["cohort_id"] = "cohort-" + hashlib.sha256(identity.encode()).hexdigest()[:20]
     names = [part.split()[0] for part in METADATA_SCHEMA.split(", ")]
-    identified.select(*names).coalesce(1).write.mode("overwrite").json(metadata_path(folder))
+    spark.createDataFrame([tuple(values[n] for n in names)], METADATA_SCHEMA).coalesce(1).write.mode(
+        "overwrite"
+    ).json(metadata_path(folder))
     return spark.read.schema(METADATA_SCHEMA).json(metadata_path(folder))
 
 
