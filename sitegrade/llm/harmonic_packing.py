@@ -173,7 +173,7 @@ def pack(
         done = done.unionByName(filled.where("sequence_id IS NOT NULL").select(columns))
         waiting = filled.where("sequence_id IS NULL").withColumn(
             "size_class", _size_class(capacity))
-    last = waiting.groupBy(F.lit(0)).applyInPandas(
+    last = waiting.groupBy().applyInPandas(
         lambda rows: _best_fit(rows, capacity, _first_sequence(level + 1, 0)), schema)
     return done.unionByName(last)
 
