@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sitegrade.llm.common import table
 from sitegrade.llm.harmonic_packing import pack
+from sitegrade.llm.near_duplicates import near_duplicates
 from sitegrade.llm.token_counts import count_tokens
 
 
@@ -15,13 +16,17 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_token_counts, op8_harmonic_packing)
+    for f in (op2_token_counts, op7_minhash_near_duplicates, op8_harmonic_packing)
 }
 
 #: Twins of the queries that SQL can express.
