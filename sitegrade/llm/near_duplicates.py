@@ -40,7 +40,7 @@ _ROOT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
-class _WordHashes(dict):
+class WordHashes(dict):
     """Hashes of words, kept for the task up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
@@ -87,7 +87,7 @@ def sketches(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """(doc_id, n_shingles, digest, sig): set size, set identity, signature."""
 
     def make():
-        hashes = _WordHashes()
+        hashes = WordHashes()
 
         def step(batch: pa.RecordBatch) -> dict:
             sets = [shingle_set(t, hashes) for t in batch.column(1).to_pylist()]
@@ -224,7 +224,7 @@ def similar_links(documents: DataFrame, representatives: DataFrame) -> DataFrame
     kept = cut_lineage(kept.withColumn("blocks", F.ceil(F.col("n") / BLOCK)))
 
     def make():
-        hashes = _WordHashes()
+        hashes = WordHashes()
 
         def step(batch: pa.RecordBatch) -> dict:
             return {

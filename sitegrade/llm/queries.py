@@ -9,6 +9,7 @@ from sitegrade.llm.common import table
 from sitegrade.llm.harmonic_packing import pack
 from sitegrade.llm.near_duplicates import near_duplicates
 from sitegrade.llm.token_counts import count_tokens
+from sitegrade.llm.toxicity import toxicity
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +17,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -26,7 +31,7 @@ def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_token_counts, op7_minhash_near_duplicates, op8_harmonic_packing)
+    for f in (op2_token_counts, op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing)
 }
 
 #: Twins of the queries that SQL can express.
