@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sitegrade.llm.common import table
 from sitegrade.llm.harmonic_packing import pack
 from sitegrade.llm.near_duplicates import near_duplicates
+from sitegrade.llm.secrets import secret_report
 from sitegrade.llm.token_counts import count_tokens
 from sitegrade.llm.toxicity import toxicity
 
@@ -29,9 +30,14 @@ def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_token_counts, op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing)
+    for f in (op2_token_counts, op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing,
+              op9_secret_scan)
 }
 
 #: Twins of the queries that SQL can express.
