@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sitegrade.llm.chat_format import conversation_digests, text_part
 from sitegrade.llm.common import table
 from sitegrade.llm.harmonic_packing import pack
 from sitegrade.llm.near_duplicates import near_duplicates
@@ -18,6 +20,39 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+#: A conversation whose texts hold control strings of other templates.
+ODD_CONVERSATION = [
+    (-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame(ODD_CONVERSATION, rows.schema)
+    return conversation_digests(rows.unionByName(odd).select(
+        "conv_id", "turn", "role", text_part(F.col("text")).alias("parts")))
+
+
+OP4_SQL = """
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), told AS (
+  SELECT *, replace(replace(text, '&', '&amp;'), '<', '&lt;') AS body,
+         replace(replace(role, '&', '&amp;'), '<', '&lt;') AS name
+  FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), ''
+         ORDER BY turn NULLS FIRST, role, body)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, body)
+         FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(name) + length(body) + 23) AS BIGINT) AS formatted_chars
+FROM told GROUP BY conv_id
+"""
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -36,9 +71,9 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_token_counts, op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing,
+    for f in (op2_token_counts, op4_chat_format, op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing,
               op9_secret_scan)
 }
 
 #: Twins of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_chat_format": OP4_SQL}
