@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitegrade.llm.ball_tree import exact_top_k, grid_vectors
 from sitegrade.llm.chat_format import conversation_digests, text_part
 from sitegrade.llm.common import table
 from sitegrade.llm.harmonic_packing import pack
@@ -20,6 +21,29 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = grid_vectors(table(spark, sf_dir, "embeddings"))
+    asked = grid.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    return exact_top_k(grid, asked)
+
+
+OP3_SQL = """
+WITH grid AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM grid q JOIN grid c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+) WHERE rank <= 20
+"""
+
+
 #: A conversation whose texts hold control strings of other templates.
 ODD_CONVERSATION = [
     (-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
@@ -71,9 +95,9 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_token_counts, op4_chat_format, op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing,
+    for f in (op2_token_counts, op3_exact_top_k, op4_chat_format, op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing,
               op9_secret_scan)
 }
 
 #: Twins of the queries that SQL can express.
-ORACLES: dict[str, str] = {"op4_chat_format": OP4_SQL}
+ORACLES: dict[str, str] = {"op3_exact_top_k": OP3_SQL, "op4_chat_format": OP4_SQL}
