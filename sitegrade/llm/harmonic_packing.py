@@ -91,7 +91,9 @@ def _fill_rows(rows: pd.DataFrame, first: int) -> pd.DataFrame:
     ordered = rows.sort_values(["doc_id", "start"])
     for size_class, *piece in ordered[["size_class", *_PIECE_COLUMNS]].itertuples(index=False):
         placed += bins.add(size_class, tuple(piece))
-    return pd.DataFrame(placed + bins.rest(), columns=[*_PIECE_COLUMNS, *_PLACE_COLUMNS])
+    # objects, since a null would turn whole numbers into floats
+    return pd.DataFrame(
+        placed + bins.rest(), columns=[*_PIECE_COLUMNS, *_PLACE_COLUMNS], dtype=object)
 
 
 def _best_fit(rows: pd.DataFrame, capacity: int, first: int) -> pd.DataFrame:
@@ -186,9 +188,9 @@ def _merge_step(level: int):
     """Fill bins of one class from the leavings of ``fan_in`` tasks."""
 
     def step(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        size_class, task = key
+        size_class, task = map(int, key)
         # a class fills fewer than 2**16 bins here: fan_in * k pieces make at most fan_in bins
-        first = _first_sequence(level, task) + (int(size_class) << 16)
+        first = _first_sequence(level, task) + (size_class << 16)
         return _fill_rows(rows, first).assign(task=task)
 
     return step

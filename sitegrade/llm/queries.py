@@ -10,6 +10,7 @@ from sitegrade.llm.ball_tree import exact_top_k, grid_vectors
 from sitegrade.llm.chat_format import conversation_digests, text_part
 from sitegrade.llm.common import table
 from sitegrade.llm.harmonic_packing import pack
+from sitegrade.llm.hilbert_search import nearest, usable_vectors
 from sitegrade.llm.near_duplicates import near_duplicates
 from sitegrade.llm.secrets import secret_report
 from sitegrade.llm.token_counts import count_tokens
@@ -93,10 +94,16 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op10_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = usable_vectors(table(spark, sf_dir, "embeddings"))
+    asked = vectors.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"))
+    return nearest(vectors, asked)
+
+
 QUERIES = {
     f.__name__: f
     for f in (op2_token_counts, op3_exact_top_k, op4_chat_format, op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing,
-              op9_secret_scan)
+              op9_secret_scan, op10_hilbert_neighbours)
 }
 
 #: Twins of the queries that SQL can express.
