@@ -11,6 +11,7 @@ from sitegrade.llm.chat_format import conversation_digests, text_part
 from sitegrade.llm.common import table
 from sitegrade.llm.harmonic_packing import pack
 from sitegrade.llm.hilbert_search import nearest, usable_vectors
+from sitegrade.llm.html_text import extract_pages
 from sitegrade.llm.near_duplicates import near_duplicates
 from sitegrade.llm.secrets import secret_report
 from sitegrade.llm.token_counts import count_tokens
@@ -78,6 +79,10 @@ FROM told GROUP BY conv_id
 """
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -102,7 +107,8 @@ def op10_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_token_counts, op3_exact_top_k, op4_chat_format, op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing,
+    for f in (op2_token_counts, op3_exact_top_k, op4_chat_format, op5_html_text,
+              op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing,
               op9_secret_scan, op10_hilbert_neighbours)
 }
 
