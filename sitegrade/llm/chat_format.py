@@ -86,7 +86,7 @@ def format_conversations(turns: DataFrame, rule: Expansion = Expansion()) -> Dat
     code point spans of assistant bodies in ``formatted``. A conversation is one
     cell by contract; its turns are shortened to their pieces before they meet.
     """
-    pieces = flatten_parts(turns, rule).select(
+    pieces = flatten_parts(turns.select("conv_id", "turn", "role", "parts"), rule).select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), "body", "attachments")
     head = F.concat(F.lit(TURN), escaped(F.col("role")), F.lit(BODY))
     pieces = pieces.withColumn("head", head).withColumn(

@@ -105,6 +105,8 @@ def curve_keys(vectors: DataFrame, c: Curves) -> DataFrame:
     width = max(map(len, sample), default=1)
     directions = _directions(width, c)
     fitted = np.einsum("nw,cwd->cnd", _matrix(sample, width), directions)
+    if not len(sample):
+        fitted = np.zeros((c.curves, 1, c.directions))
     low, high = (np.quantile(fitted, x, axis=1) for x in (0.005, 0.995))
     cell = np.maximum(high - low, 1e-12) / (2**c.bits - 4)
     # each curve's grid is shifted by its own part of a few cells

@@ -278,7 +278,8 @@ def near_duplicates(
     Texts are read whole. A null or empty text, or one without words, has an
     empty set and is linked with nothing; with fewer than five words the whole
     word sequence is the one shingle. Repeated rows of one doc_id are the same
-    document; a null doc_id keeps a null component; other columns are ignored.
+    document; a null doc_id is never kept, and its component is that of its
+    copies, else null; other columns are ignored.
     ``kept`` marks the smallest doc_id of each component.
     """
     plain = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
@@ -298,4 +299,5 @@ def near_duplicates(
     empty = drawn.where("digest IS NULL").withColumn("component", F.lit(None).cast("bigint"))
     filled = drawn.where("digest IS NOT NULL").join(classes, "digest", "left")
     return filled.unionByName(empty).select(
-        "doc_id", "n_shingles", own.alias("component_id"), (own == F.col("doc_id")).alias("kept"))
+        "doc_id", "n_shingles", own.alias("component_id"),
+        F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"))

@@ -13,11 +13,17 @@ from sitegrade.llm.harmonic_packing import pack
 from sitegrade.llm.hilbert_search import nearest, usable_vectors
 from sitegrade.llm.html_text import extract_pages
 from sitegrade.llm.near_duplicates import near_duplicates
+from sitegrade.llm.piece_lattice import encode_documents
 from sitegrade.llm.secrets import secret_report
 from sitegrade.llm.token_counts import count_tokens
 from sitegrade.llm.toxicity import toxicity
 
 
+def op1_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -107,7 +113,7 @@ def op10_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_token_counts, op3_exact_top_k, op4_chat_format, op5_html_text,
+    for f in (op1_piece_lattice, op2_token_counts, op3_exact_top_k, op4_chat_format, op5_html_text,
               op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing,
               op9_secret_scan, op10_hilbert_neighbours)
 }

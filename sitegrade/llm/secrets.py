@@ -79,6 +79,7 @@ def labelled_samples(documents: DataFrame, settings: Settings = Settings()) -> D
     Values that fixed patterns prove to be secrets are random strings; runs of
     eight and more characters of the same texts outside them are ordinary ones.
     """
+    documents = documents.select("doc_id", "text")
     chosen = (
         documents.select("doc_id").where("doc_id IS NOT NULL").distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample_documents))
@@ -137,7 +138,8 @@ def find_secrets(
     """Input columns with ``base`` and ``markov``: spans (start, kind, end).
 
     Offsets are code points of the whole text, end exclusive. A null text is
-    empty and has no spans; repeated rows keep their own results.
+    empty and has no spans; repeated rows keep their own results. Input columns
+    of the names base, markov and runs are replaced.
     """
     ratios = F.split(F.lit(",".join(f"{x:.6g}" for x in table)), ",").cast("array<double>")
     rows = base_spans(documents.withColumn("text", F.coalesce("text", F.lit(""))))
