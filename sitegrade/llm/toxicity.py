@@ -37,7 +37,7 @@ class Sample:
 
     toxic_documents: int = 2000
     clean_documents: int = 4000
-    longest_text: int = 16_384  # characters; longer texts do not train, they are only scored
+    longest_text: int = 12_000  # characters; longer texts do not train, they are only scored
     field_documents: int = 400  # of each label, for the field itself
     field_words: int = 800
     rounds: int = 40
@@ -69,9 +69,11 @@ def _buckets(token: str) -> list[int]:
     return [0, *(1 + zlib.crc32(f.encode()) % (BUCKETS - 1) for f in forms(token))]
 
 
-def one_of_each(texts: list[str]) -> list[list[str]]:
-    """The words of one text of each family of near copies, which would count as chance
-    never does: texts are of a family if they share two neighbouring minhashes."""
+def one_of_each(texts: list[str]) -> list[str]:
+    """One text of each family of near copies, whose words repeat by no chance.
+
+    Texts are of one family if they share two neighbouring minhashes.
+    """
     hashes = WordHashes()
     seen: set[tuple[int, bytes]] = set()
     kept = []
@@ -81,37 +83,31 @@ def one_of_each(texts: list[str]) -> list[list[str]]:
             marks = signature(shingles, 12).reshape(-1, 2)
             keys = {(i, m.tobytes()) for i, m in enumerate(marks)}
             if seen.isdisjoint(keys):
-                kept.append(text.split())
+                kept.append(text)
             seen |= keys
     return kept
 
 
-def toxic_forms(toxic: list[list[str]], clean: list[list[str]]) -> set[str]:
+def toxic_forms(toxic: list[str], clean: list[str]) -> set[str]:
     """Forms whose share of toxic documents is significant after testing all of them."""
-    def document_counts(texts: list[list[str]]) -> Counter:
-        memo: dict[str, list[str]] = {}
-        counts: Counter = Counter()
-        for words in texts:
-            seen: set[str] = set()
-            for word in set(words):
-                if word not in memo:
-                    memo[word] = forms(word)
-                seen.update(memo[word])
-            counts.update(seen)
-        return counts
-
-    in_toxic, in_clean = document_counts(toxic), document_counts(clean)
+    in_toxic: Counter = Counter()
+    for text in toxic:
+        in_toxic.update({form for word in text.split() for form in forms(word)})
+    in_toxic = Counter({form: k for form, k in in_toxic.items() if k > 1})
+    in_clean: Counter = Counter()
+    for text in clean:
+        in_clean.update(
+            {f for word in text.split() for f in forms(word) if f in in_toxic})
     if not in_toxic:
         return set()
     base = len(toxic) / (len(toxic) + len(clean))
-    tested = sum(1 for n in in_toxic.values() if n > 1)
-    least = math.log(100 * max(tested, 1))
+    least = math.log(100 * len(in_toxic))
     found = set()
     for form, k in in_toxic.items():
         n = k + in_clean[form]
         share = (k + 0.5) / (n + 1)
         # Chernoff bound of k or more toxic ones among n documents by chance
-        if k > 1 and share > 0.8 and n * _divergence(k / n, base) > least:
+        if share > 0.8 and n * _divergence(k / n, base) > least:
             found.add(form)
     return found
 
@@ -282,6 +278,17 @@ def _train_layer(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     return tuple(w.tolist())
 
 
+def _short_texts(rows: list, label: int, sample: Sample) -> list[list[str]]:
+    """The words of the first texts of a label that are short enough to fit."""
+    found: list[list[str]] = []
+    for r in rows:
+        if r["y"] == label and len(found) < sample.field_documents:
+            words = r["text"].split()
+            if 0 < len(words) <= sample.field_words:
+                found.append(words)
+    return found
+
+
 def train(
     documents: DataFrame, labels: DataFrame, sample: Sample = Sample(),
     doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -305,13 +312,10 @@ def train(
         .dropDuplicates(["doc_id"]).collect()
     )
     rows.sort(key=lambda r: r["doc_id"])
-    texts = {y: [r["text"].split() for r in rows if r["y"] == y] for y in (0, 1)}
     found = toxic_forms(*(one_of_each([r["text"] for r in rows if r["y"] == y]) for y in (1, 0)))
     if not found:
         return Model(np.zeros(BUCKETS, np.float32), np.zeros((2, 2)), -8.0, (-4.0, 0.0, 0.0))
-    short = {y: [w for w in texts[y] if 0 < len(w) <= sample.field_words] for y in (0, 1)}
-    bad = short[1][:sample.field_documents]
-    good = short[0][:sample.field_documents]
+    bad, good = (_short_texts(rows, y, sample) for y in (1, 0))
     marks = [np.array([not found.isdisjoint(forms(w)) for w in words]) for words in bad]
     for fit in range(sample.refits + 1):
         weights, transitions, start = train_field(
