@@ -22,7 +22,8 @@ ORACLES: dict[str, str] = {}
 _METALS = ", ".join(f"'{m}'" for m in vocab.METALS)
 _AMINO = ", ".join(f"'{a}'" for a in vocab.AMINO_ACIDS)
 _LITERATURE = ", ".join(
-    f"('{r}', '{d}', '{m}', {mu!r}e0, {s!r}e0)" for r, d, m, mu, s in vocab.LITERATURE_DISTANCES
+    "('{}', '{}', '{}', {}e0, {}e0)".format(*line.split())
+    for line in vocab.literature_lines() if line[:1] != "#" and not line.startswith("residue")
 )
 
 #: Unit cells: even entries orthorhombic, odd ones monoclinic.
@@ -276,7 +277,7 @@ FROM judged
 
 def unsupported_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return con.unsupported_pairs(explicit_stage(spark, sf_dir)).select(
-        "entry_id", F.size("pairs").cast("long").alias("n"), bounded_list(F.col("pairs"), 2).alias("pairs")
+        "entry_id", F.size("pairs").cast("long").alias("n"), bounded_list(F.col("pairs"), 5).alias("pairs")
     )
 
 
@@ -285,8 +286,8 @@ ORACLES["unsupported_pairs"] = f"""
 WITH {CONTACT_CTE},
 u AS (SELECT DISTINCT entry_id, me || '-' || ne AS pair FROM judged WHERE target IS NULL AND allowed),
 l AS (SELECT entry_id, list(pair ORDER BY pair) AS ps FROM u GROUP BY entry_id)
-SELECT entry_id, len(ps) AS n, array_to_string(ps[1:2], ', ')
-  || CASE WHEN len(ps) > 2 THEN ' (and ' || (len(ps) - 2) || ' more)' ELSE '' END AS pairs
+SELECT entry_id, len(ps) AS n, array_to_string(ps[1:5], ', ')
+  || CASE WHEN len(ps) > 5 THEN ' (and ' || (len(ps) - 5) || ' more)' ELSE '' END AS pairs
 FROM l
 """
 

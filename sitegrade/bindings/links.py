@@ -46,7 +46,7 @@ SELECT m.entry_id, m.source_order * 7 + n.source_order AS position, 'LINK' AS so
   CASE WHEN n.source_order % 3 = 0 THEN n.altloc ELSE '' END AS p2_altloc
 FROM ({ATOMS}) m JOIN ({ATOMS}) n ON m.entry_id = n.entry_id
   AND n.chain_index = (m.chain_index + 1) % 4 AND n.residue_index = (m.residue_index + 1) % 10
-WHERE m.residue_name IN ('ZN', 'HEM') AND m.source_order % 3 = 0 AND n.source_order % 2 = 0
+WHERE m.residue_name IN ('ZN', 'HEM')
 """
 
 

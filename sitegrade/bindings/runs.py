@@ -204,25 +204,33 @@ SELECT entry_id, status, retryable, CASE WHEN reason_text = '' THEN '-' ELSE rea
 FROM m WHERE status <> 'ok'""")
 
 
+def _shortened_sql(text: str, limit: int) -> str:
+    """SQL of a text cut to ``limit`` characters with a count of the rest."""
+    size = f"length({text})"
+    first = f"({limit} - 22 - length(CAST({size} - {limit} AS VARCHAR)))"
+    keep = f"({limit} - 22 - length(CAST({size} - {first} AS VARCHAR)))"
+    return (f"CASE WHEN {size} <= {limit} THEN {text} ELSE substring(substring({text}, 1, {keep}) "
+            f"|| '... [' || ({size} - {keep}) || ' more characters]', 1, {limit}) END")
+
+
+DETAILS_SQL = f"""
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN '' ELSE lang END AS first,
+  text, trim(text, ' ') AS t FROM documents)
+SELECT doc_id, CASE WHEN first = '' THEN {_shortened_sql('t', 300)}
+  WHEN text = '' THEN first
+  WHEN length(first) + 2 + length(text) <= 300 THEN first || '; ' || text
+  ELSE {_shortened_sql('first', 149)} || '; ' || {_shortened_sql('t', 149)} END AS detail
+FROM d"""
+
+
 def status_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document texts as messages: what a bounded status detail keeps of two."""
     docs = table(spark, sf_dir, "documents")
     first = F.when(F.col("doc_id") % 4 == 0, F.lit("")).otherwise(F.col("lang"))
-    return docs.select(
-        "doc_id",
-        F.length(runs.joined_detail(first, F.trim("text"))).cast("long").alias("kept"),
-        runs.joined_detail(first, F.substring(F.trim("text"), 1, 20)).alias("short"),
-    )
+    return docs.select("doc_id", runs.joined_detail(first, F.col("text")).alias("detail"))
 
 
-_simple("status_details", status_details, """
-SELECT doc_id,
-  CASE WHEN doc_id % 4 = 0 THEN CASE WHEN length(trim(text, ' ')) <= 300 THEN length(trim(text, ' ')) ELSE 300 END
-    WHEN length(lang) + 2 + length(trim(text, ' ')) <= 300 THEN length(lang) + 2 + length(trim(text, ' '))
-    ELSE length(lang) + 2 + CASE WHEN length(trim(text, ' ')) <= 149 THEN length(trim(text, ' ')) ELSE 149 END END AS kept,
-  CASE WHEN doc_id % 4 = 0 THEN trim(substring(trim(text, ' '), 1, 20), ' ')
-    ELSE lang || '; ' || substring(trim(text, ' '), 1, 20) END AS short
-FROM documents""")
+_simple("status_details", status_details, DETAILS_SQL)
 
 
 def carried_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,7 +168,7 @@ def remark_details(text: str | Column) -> Column:
         F.split(as_col(text), r"\r?\n"), lambda line: line.startswith("REMARK 280")
     )
     pieces = F.filter(
-        F.transform(lines, lambda line: F.trim(F.substring(line, 11, 100_000))),
+        F.transform(lines, lambda line: F.trim(F.substring(line, F.lit(11), F.length(line)))),
         lambda piece: piece != "",
     )
     joined = F.array_join(pieces, " ")

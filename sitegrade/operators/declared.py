@@ -8,34 +8,38 @@ from pyspark.sql import functions as F
 from sitegrade import vocab
 from sitegrade.functions.clean import first_label, labels
 from sitegrade.operators.contacts import ATOM_COLUMNS, is_metal
+from sitegrade.session import cut_lineage
 
 RESIDUE = ("entry_id", "chain_index", "residue_index")
-#: Passes that make repeated ids unique; a third repeat needs a crafted file.
-ID_ROUNDS = 3
 
 
 def unique_connection_ids(connections: DataFrame) -> DataFrame:
     """Give repeated ids of an entry a suffix of their position, the first stays.
 
     A blank id becomes ``<source>_<position>``. A new id may itself be taken,
-    so the pass repeats; :func:`~sitegrade.operators.score_inputs.duplicate_keys`
-    checks the result.
+    so passes repeat until no id of an entry is left twice; every pass lengthens
+    all but the first of a repeated id, and positions differ, so they end.
     """
     name = F.trim(F.coalesce("connection_id", F.lit("")))
     named = connections.withColumn(
         "connection_id",
         F.when(name == "", F.concat_ws("_", "source", "position")).otherwise(name),
     )
-    for _ in range(ID_ROUNDS):
-        first = named.groupBy("entry_id", "connection_id").agg(F.min("position").alias("__first"))
-        named = named.join(first, ["entry_id", "connection_id"]).withColumn(
+    while True:
+        seen = named.groupBy("entry_id", "connection_id").agg(
+            F.min("position").alias("__first"), F.count(F.lit(1)).alias("__n"))
+        repeated = seen.where("__n > 1").drop("__n")
+        named = cut_lineage(named.join(repeated, ["entry_id", "connection_id"], "left").withColumn(
             "connection_id",
             F.when(
                 F.col("position") > F.col("__first"),
                 F.concat_ws("_", "connection_id", "position"),
             ).otherwise(F.col("connection_id")),
-        ).drop("__first")
-    return named
+        ))
+        changed = not named.where(F.col("position") > F.col("__first")).isEmpty()
+        named = named.drop("__first")
+        if not changed:
+            return named
 
 
 def _residue_index(atoms: DataFrame) -> DataFrame:

@@ -8,26 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegrade import vocab
-
-#: A lookup side is broadcast only after its row count was seen to be below this.
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it is small; otherwise leave the join to Spark.
-
-    The check reads at most ``max_rows + 1`` rows.
-    """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
+from sitegrade.sources.files import literature_rows
 
 def literature(spark: SparkSession) -> DataFrame:
     """The bundled distances: ``residue, donor, metal, mu, sigma``."""
-    return spark.createDataFrame(
-        list(vocab.LITERATURE_DISTANCES),
-        "residue string, donor string, metal string, mu double, sigma double",
-    )
+    lines = spark.createDataFrame(
+        list(enumerate(vocab.literature_lines())), "position int, line string")
+    rows, _ = literature_rows(lines)
+    return rows
 
 
 def longest_target(reference: DataFrame, keys: Sequence[str], value: str = "mu") -> DataFrame:
@@ -56,9 +44,7 @@ def lookup_with_fallback(
     )
     on_exact = [F.col(left) == F.col(f"__x_{left}") for left in exact_on]
     on_coarse = [F.col(left) == F.col(f"__f_{left}") for left in fallback_on]
-    joined = df.join(broadcast_checked(exact), on_exact, "left").join(
-        broadcast_checked(coarse), on_coarse, "left"
-    )
+    joined = df.join(exact, on_exact, "left").join(coarse, on_coarse, "left")
     return joined.withColumns(
         {
             "target": F.coalesce(F.col("mu"), F.col("fallback_target")),

@@ -184,38 +184,39 @@ def bond_table(contacts: DataFrame) -> DataFrame:
     )
 
 
+IMAGE_COUNTS = (
+    "symmetry_contact_count", "crystallographic_contact_count", "strict_ncs_contact_count",
+    "combined_ncs_crystallographic_contact_count",
+)
+
+
 def site_table(
-    metals: DataFrame, explicit: _Scope, image: _Scope | None, entries: DataFrame
+    metals: DataFrame, explicit: _Scope, primary: _Scope, entries: DataFrame
 ) -> DataFrame:
     """One row per metal: both scopes, context, donors, neighbours.
 
     ``metals`` holds every selected metal with ``m_`` columns, positions or
-    not; ``entries`` adds ``dpi_reason`` and ``searched``.
+    not; ``entries`` adds ``dpi_reason`` and ``searched``. ``primary`` holds the
+    image-inclusive scope of searched entries and the explicit one of the rest;
+    it is what a site's counts, context and donors speak of.
     """
     keys = list(con.SITE)
     base = metals.select(*keys, "m_x", "m_y", "m_z", "m_b_iso", "m_element").join(
-        entries.select("entry_id", "dpi_reason", "searched"), "entry_id", "left"
-    )
-    yes = F.lit(True)
+        entries.select(
+            "entry_id", "dpi_reason", F.coalesce("searched", F.lit(False)).alias("searched"),
+            *[c for c in ("entry_median_b_iso",) if c in entries.columns],
+        ), "entry_id", "left"
+    ).fillna(False, ["searched"])
+    yes, searched = F.lit(True), F.col("searched")
     out = con.empty_scope(base.join(con.scope_summary(explicit.contacts), keys, "left"), yes)
-    explicit_columns = {c: f"explicit_{c}" for c in (*con.COUNT_COLUMNS, "geometry_coverage", "geometry_status")}
-    out = out.withColumnsRenamed(explicit_columns)
-    if image is None:
-        for name in explicit_columns:
-            out = out.withColumn(name, F.col(f"explicit_{name}"))
-        counts = ("symmetry_contact_count", "crystallographic_contact_count", "strict_ncs_contact_count",
-                  "combined_ncs_crystallographic_contact_count")
-        out = out.withColumns({c: F.lit(None).cast("long") for c in counts})
-        primary = explicit
-    else:
-        searched = F.coalesce(F.col("searched"), F.lit(False))
-        out = con.empty_scope(out.join(con.scope_summary(image.contacts), keys, "left"), searched)
-        out = out.join(con.image_counts(image.contacts), keys, "left")
-        for c in ("symmetry_contact_count", "crystallographic_contact_count", "strict_ncs_contact_count",
-                  "combined_ncs_crystallographic_contact_count"):
-            out = out.withColumn(c, F.coalesce(F.col(c), F.when(searched, F.lit(0).cast("long"))))
-        primary = image
-    searched = F.coalesce(F.col("searched"), F.lit(False)) if image is not None else F.lit(False)
+    scope_columns = (*con.COUNT_COLUMNS, "geometry_coverage", "geometry_status")
+    out = out.withColumnsRenamed({c: f"explicit_{c}" for c in scope_columns})
+    out = con.empty_scope(out.join(con.scope_summary(primary.contacts), keys, "left"), yes)
+    # the image-inclusive columns stay null where no images were searched
+    out = out.withColumns({
+        f"image_inclusive_{c}": F.when(searched, F.col(c)) for c in scope_columns})
+    out = out.join(con.image_counts(primary.contacts), keys, "left").withColumns({
+        c: F.when(searched, F.coalesce(F.col(c), F.lit(0).cast("long"))) for c in IMAGE_COUNTS})
     scored = F.coalesce(F.col("scored_geometry_outlier_contact_count"), F.lit(0)) + F.coalesce(
         F.col("scored_geometry_consistent_contact_count"), F.lit(0)
     )
@@ -229,17 +230,20 @@ def site_table(
         *keys, "nearest_distance", F.col("near_count").alias("nearby_metal_count_6a"),
         *[f"nearest_{c}" for c in keys[1:]],
     )
+    neighbour = metals.select(
+        "entry_id", *[F.col(c).alias(f"nearest_{c}") for c in keys[1:]],
+        F.col("m_element").alias("nearest_metal_element"),
+    )
     return (
         out.join(con.site_context(primary.contacts, primary.candidates), keys, "left")
         .join(con.donor_b_factors(primary.contacts), keys, "left")
         .join(near, keys, "left")
+        .join(neighbour, ["entry_id", *[f"nearest_{c}" for c in keys[1:]]], "left")
         .withColumns(
             {
                 "metal_site_id": site_id("entry_id", F.lit(0), *keys[1:]),
                 "metal_coordinates_valid": finite,
-                "generated_contact_scope": generated_scope(
-                    "symmetry_contact_count", "crystallographic_contact_count", "strict_ncs_contact_count"
-                ),
+                "generated_contact_scope": generated_scope(*IMAGE_COUNTS[:3]),
                 "geometry_classification_changes_with_generated_images": F.when(
                     searched, F.col("explicit_geometry_status") != F.col("geometry_status")
                 ),
@@ -279,19 +283,28 @@ def analyze_contacts(
     near = None if declared is None else declared.where(~F.col("symmetry_contact"))
     nearby = con.explicit_candidates(metals, donors)
     explicit = _assess(nearby, near, reference, entries)
-    image = None
-    primary_candidates, primary_contacts = explicit.candidates, explicit.contacts
-    if cells is not None and operations is not None:
-        found = con.image_candidates(metals, donors, cells, operations)
-        image = _assess(found.select(*nearby.columns), declared, reference, entries)
-        without = entries.where(~F.coalesce(F.col("searched"), F.lit(False))).select("entry_id")
-        primary_candidates = image.candidates.unionByName(
-            explicit.candidates.join(without, "entry_id", "left_semi")
-        )
-        primary_contacts = image.contacts.unionByName(
-            explicit.contacts.join(without, "entry_id", "left_semi")
-        )
-    bonds = cut_lineage(bond_table(_identified(_ncs_ids(primary_contacts, operations))))
-    candidates = candidate_table(_identified(_ncs_ids(primary_candidates, operations)), bonds)
+    primary = explicit
+    if cells is None or operations is None:
+        entries = entries.withColumn("searched", F.lit(False))
+    else:
+        # images are searched where the entry asks for it and has a cell
+        celled = cells.select("entry_id", F.lit(True).alias("__celled")).distinct()
+        entries = cut_lineage(
+            entries.join(celled, "entry_id", "left").withColumn(
+                "searched", F.coalesce("searched", F.lit(False)) & F.coalesce("__celled", F.lit(False))
+            ).drop("__celled"))
+        asked = entries.where("searched").select("entry_id")
+        rest = entries.where("NOT searched").select("entry_id")
+        found = con.image_candidates(
+            metals.join(asked, "entry_id", "left_semi"), donors,
+            cells.join(asked, "entry_id", "left_semi"), operations)
+        placed = None if declared is None else declared.join(asked, "entry_id", "left_semi")
+        image = _assess(found.select(*nearby.columns), placed, reference, entries)
+        primary = _Scope(*(
+            wide.unionByName(own.join(rest, "entry_id", "left_semi"))
+            for wide, own in ((image.candidates, explicit.candidates), (image.contacts, explicit.contacts))
+        ))
+    bonds = cut_lineage(bond_table(_identified(_ncs_ids(primary.contacts, operations))))
+    candidates = candidate_table(_identified(_ncs_ids(primary.candidates, operations)), bonds)
     everyone = con._prefixed(atoms.where(con.is_metal()), "m_")
-    return ContactTables(candidates, bonds, site_table(everyone, explicit, image, entries))
+    return ContactTables(candidates, bonds, site_table(everyone, explicit, primary, entries))

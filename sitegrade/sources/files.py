@@ -26,7 +26,8 @@ PROBE_BYTES = 64
 def list_files(spark: SparkSession, root: str, *, probe: bool = False) -> DataFrame:
     """Files under a sharded tree: ``path, length, entry_id, shard``, and the first bytes.
 
-    Only the listing is read unless ``probe`` asks for file starts.
+    Only the listing is read unless ``probe`` asks for file starts; then only
+    files small enough to be served pages are opened, others have a null head.
     """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     parts = F.split("path", "/")
@@ -35,11 +36,15 @@ def list_files(spark: SparkSession, root: str, *, probe: bool = False) -> DataFr
         F.col("path"), F.col("length"), F.lower(folder).alias("entry_id"),
         F.try_element_at(parts, F.lit(-3)).alias("shard"),
     ]
-    if probe:
-        columns.append(F.substring("content", 1, PROBE_BYTES).cast("string").alias("head"))
-    return listed.select(*columns).where(
-        is_entry_id("entry_id") & (F.col("shard") == F.substring("entry_id", 2, 2))
-    )
+    named = is_entry_id("entry_id") & (F.col("shard") == F.substring("entry_id", 2, 2))
+    if not probe:
+        return listed.select(*columns).where(named)
+    # the length filter reaches the file source, which then never opens larger files
+    start = F.substring("content", 1, PROBE_BYTES).cast("string").alias("head")
+    small = listed.where(F.col("length") <= MAX_WEB_PAGE_BYTES).select(*columns, start)
+    large = listed.where(F.col("length") > MAX_WEB_PAGE_BYTES).select(
+        *columns, F.lit(None).cast("string").alias("head"))
+    return small.unionByName(large).where(named)
 
 
 def looks_like_page(head: str | Column, length: str | Column) -> Column:
@@ -48,7 +53,7 @@ def looks_like_page(head: str | Column, length: str | Column) -> Column:
     size = F.col(length) if isinstance(length, str) else length
     page = F.lit(False)
     for prefix in WEB_PREFIXES:
-        page = page | start.startswith(prefix)
+        page = page | F.coalesce(start.startswith(prefix), F.lit(False))
     return page & (size <= MAX_WEB_PAGE_BYTES)
 
 

@@ -114,7 +114,7 @@ def write_reference(inputs: DataFrame, folder: str) -> DataFrame:
         "fingerprint": fingerprint,
         "reference_id": f"score-ref-{fingerprint[:20]}",
     }
-    identity = f"{values['reference_id']}\n{values['input_row_count']}"
+    identity = f"{values['reference_id']}\n{_rows_digest(inputs)}"
     values["cohort_id"] = "cohort-" + hashlib.sha256(identity.encode()).hexdigest()[:20]
     names = [part.split()[0] for part in METADATA_SCHEMA.split(", ")]
     spark.createDataFrame([tuple(values[n] for n in names)], METADATA_SCHEMA).coalesce(1).write.mode(
@@ -123,6 +123,18 @@ def write_reference(inputs: DataFrame, folder: str) -> DataFrame:
     return spark.read.schema(METADATA_SCHEMA).json(metadata_path(folder))
 
 
+def _rows_digest(inputs: DataFrame) -> str:
+    """Identity of a cohort's rows in any order: sums of two 64-bit hashes and a count."""
+    columns = sorted(c for c, kind in inputs.dtypes if not kind.startswith("map"))
+    wide = "decimal(38,0)"
+    row = inputs.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.xxhash64(F.lit("a"), *columns).cast(wide)).alias("a"),
+        F.sum(F.xxhash64(F.lit("b"), *columns[::-1]).cast(wide)).alias("b"),
+    ).first()
+    return f"{row['n']}:{row['a']}:{row['b']}"
+
+
 def _size_row(distribution: DataFrame) -> DataFrame:
     """One row with sizes and distinct counts of both components."""
     return distribution.agg(

@@ -107,3 +107,32 @@ def test_images_and_declarations(spark, atoms, entries):
     override = [b for b in bonds if b.neighbor_atom == "NE1"]
     assert [b.donor_rule_override for b in override] == ["declared_connection"]
     assert override[0].connection_id == "l1" and override[0].zscore is None
+
+
+def test_entries_without_an_image_search_keep_the_explicit_scope(spark, atoms, entries):
+    """A cell without a search, and a search without a cell: explicit scope, no repeats."""
+    cell = spark.createDataFrame(
+        [("1abc", 30.0, 31.0, 32.0, 90.0, 90.0, 90.0)],
+        "entry_id string, a double, b double, c double, alpha double, beta double, gamma double")
+    cells = cell.withColumns(
+        orthogonal_matrix(*[F.col(c) for c in ("a", "b", "c", "alpha", "beta", "gamma")]))
+    ops = spark.createDataFrame(
+        [("1abc", i, False, *map(float, r), 0.0, 0.0, 0.0) for i, r in (
+            (0, (1, 0, 0, 0, 1, 0, 0, 0, 1)), (1, (-1, 0, 0, 0, -1, 0, 0, 0, 1)))],
+        "entry_id string, image_index int, is_ncs boolean, r11 double, r12 double, r13 double,"
+        " r21 double, r22 double, r23 double, r31 double, r32 double, r33 double,"
+        " t1 double, t2 double, t3 double")
+    plain = analyze_contacts(atoms, entries, literature(spark)).sites.where("m_element = 'ZN'").first()
+    for asked, have in ((False, cells), (True, cells.where("entry_id = '9zzz'"))):
+        told = entries.withColumn("searched", F.lit(asked))
+        result = analyze_contacts(atoms, told, literature(spark), have, ops)
+        zn = result.sites.where("m_element = 'ZN'").first()
+        assert zn.candidate_contact_count == plain.candidate_contact_count == 3
+        assert zn.geometry_status == plain.geometry_status
+        assert zn.context_warning == plain.context_warning
+        assert zn.donor_b_iso_count == plain.donor_b_iso_count == 3
+        assert zn.geometry_not_assessed_reason == "symmetry_search_unavailable"
+        assert zn.symmetry_contact_count is None and zn.image_inclusive_geometry_status is None
+        assert zn.nearest_metal_element == "FE"
+        ids = [r.contact_id for r in result.candidates.collect()]
+        assert len(ids) == len(set(ids)) == 7
