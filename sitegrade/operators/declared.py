@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitegrade import vocab
@@ -328,7 +328,8 @@ def modeled_termini(residues: DataFrame, sequences: DataFrame, chain: tuple[str,
 def match_records(left: DataFrame, right: DataFrame, identity: list[str], serial: str) -> DataFrame:
     """Match two record sets by identity, then serial, then order; both may have leftovers.
 
-    Within an identity equal serials pair first; the rest pair in serial order.
+    Within an identity equal serials pair first, one to one where a serial
+    repeats; the rest pair in serial order.
     Returns the serials as ``left_serial`` and ``right_serial``, one null for a
     record without a partner.
     """
@@ -336,12 +337,18 @@ def match_records(left: DataFrame, right: DataFrame, identity: list[str], serial
 
     l_side = left.select(*identity, F.col(serial).alias("left_serial"))
     r_side = right.select(*identity, F.col(serial).alias("right_serial"))
-    exact = l_side.join(
-        r_side, [*[l_side[c] == r_side[c] for c in identity],
-                 l_side["left_serial"] == r_side["right_serial"]],
-    ).select(*[l_side[c] for c in identity], "left_serial", "right_serial")
-    spare_left = l_side.join(exact.select(*identity, "left_serial"), [*identity, "left_serial"], "left_anti")
-    spare_right = r_side.join(exact.select(*identity, "right_serial"), [*identity, "right_serial"], "left_anti")
+    l_side, r_side = (
+        side.withColumn("nth", F.row_number().over(
+            Window.partitionBy(*identity, name).orderBy(name)))
+        for side, name in ((l_side, "left_serial"), (r_side, "right_serial")))
+    both = l_side.join(r_side.withColumn("left_serial", F.col("right_serial")),
+                       [*identity, "left_serial", "nth"])
+    exact = both.select(*identity, "left_serial", "right_serial")
+    paired = both.select(*identity, "left_serial", "nth")
+    spare_left = l_side.join(paired, [*identity, "left_serial", "nth"], "left_anti").drop("nth")
+    spare_right = r_side.join(
+        paired.withColumnRenamed("left_serial", "right_serial"),
+        [*identity, "right_serial", "nth"], "left_anti").drop("nth")
     ranked_left = ordinal_within(spare_left, identity, "left_serial", "place")
     ranked_right = ordinal_within(spare_right, identity, "right_serial", "place")
     return exact.unionByName(
