@@ -332,9 +332,14 @@ def train(pages: DataFrame, sample_pages: int = 400, longest: int = 65_536) -> n
     The sample is bounded: ``sample_pages`` pages by the order of a hash, of at
     most ``longest`` characters. Pages without telling tags teach nothing.
     """
+    # only ids are ordered; the html of the chosen pages alone reaches the driver
+    chosen = (
+        pages.where("page_id IS NOT NULL").select("page_id").distinct()
+        .orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages))
     rows = (
-        pages.where(F.length("html") <= longest).orderBy(F.xxhash64("page_id"), "page_id")
-        .select("html").limit(sample_pages).collect())
+        pages.where(F.length("html") <= longest).join(F.broadcast(chosen), "page_id", "left_semi")
+        .select("page_id", "html").dropDuplicates(["page_id"]).collect())
+    rows.sort(key=lambda r: r["page_id"])
     x, y = [], []
     for row in rows:
         blocks = page_blocks(row["html"])

@@ -110,14 +110,19 @@ def train(samples: DataFrame, settings: Settings = Settings()) -> list[float]:
     counted = pairs.groupBy("pair").agg(
         F.count_if("random").alias("r"), F.count_if(~F.col("random")).alias("o")).collect()
     seen = {row["pair"]: (row["r"], row["o"]) for row in counted}
-    first = [[0.0, 0.0] for _ in range(_SIDE)]
+    first = [[0, 0] for _ in range(_SIDE)]
+    second = [[0, 0] for _ in range(_SIDE)]
     for pair, n in seen.items():
         for k in (0, 1):
             first[pair // _SIDE][k] += n[k]
+            second[pair % _SIDE][k] += n[k]
     a, table = settings.smoothing, []
+    every = [sum(row[k] for row in second) for k in (0, 1)]
+    # an unseen pair falls back on how common its second character is
+    alone = [[(row[k] + a) / (every[k] + a * _SIDE) for k in (0, 1)] for row in second]
     for pair in range(_SIDE * _SIDE):
         n, total = seen.get(pair, (0, 0)), first[pair // _SIDE]
-        p = [(n[k] + a) / (total[k] + a * _SIDE) for k in (0, 1)]
+        p = [(n[k] + a * _SIDE * alone[pair % _SIDE][k]) / (total[k] + a * _SIDE) for k in (0, 1)]
         table.append(log(p[0] / p[1]))
     return table
 

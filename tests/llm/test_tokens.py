@@ -36,7 +36,7 @@ def rows(spark, texts=TEXTS):
     return spark.createDataFrame(data, "doc_id long, text string, n_tokens string, start int")
 
 
-@settings(max_examples=400, deadline=None)
+@settings(max_examples=150, deadline=None)
 @given(_text)
 def test_pieces_equal_the_libraries(text):
     for path, lower in ((BYTES, False), (WORDS, True)):
