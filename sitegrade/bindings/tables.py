@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,16 +17,18 @@ ORACLES: dict[str, str] = {}
 
 
 def _analysis(spark: SparkSession, sf_dir: str, images: bool) -> ContactTables:
+    """With images: a third of the entries asks for no search, a seventh has no cell."""
     frame = bc.cells(spark, sf_dir)
     entries = frame.select(
         "entry_id",
         (0.05 + F.pmod("entry_no", F.lit(10)) / 100).alias("dpi"),
         F.lit("").alias("dpi_reason"),
-        F.lit(images).alias("searched"),
+        (F.lit(images) & (F.pmod("entry_no", F.lit(3)) != 1)).alias("searched"),
     )
     return analyze_contacts(
         bc.contact_table(spark, sf_dir), entries, literature(spark),
-        frame if images else None, bc.operations(spark, sf_dir) if images else None,
+        frame.where("entry_no % 7 <> 3") if images else None,
+        bc.operations(spark, sf_dir) if images else None,
     )
 
 
@@ -67,14 +71,89 @@ FROM keyed"""
 
 
 def site_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sites with images searched; counts of both scopes side by side."""
+    """Sites of entries with and without an image search, both scopes side by side."""
     return _analysis(spark, sf_dir, True).sites.select(
         "metal_site_id", "metal_coordinates_valid", "explicit_candidate_contact_count",
         "explicit_geometry_status", "candidate_contact_count", "geometry_status",
-        "symmetry_contact_count", "generated_contact_scope",
-        "geometry_classification_changes_with_generated_images",
-        "geometry_not_assessed_reason", "donor_b_iso_count", "nearby_metal_count_6a",
+        "image_inclusive_candidate_contact_count", "score_eligible_contact_count",
+        "symmetry_contact_count", "crystallographic_contact_count", "strict_ncs_contact_count",
+        "generated_contact_scope", "geometry_classification_changes_with_generated_images",
+        "coordination_depends_on_crystallographic_symmetry", "coordination_depends_on_strict_ncs",
+        "geometry_not_assessed_reason", "context_warning", "donor_b_iso_count",
+        "nearby_metal_count_6a", "nearest_metal_element",
     )
 
 
+_SEARCHED = "(entry_no % 3 <> 1 AND entry_no % 7 <> 3)"
+#: The explicit chain of tables over image pairs: same rules, other names.
+_RULED = bc.CONTACT_CTE[bc.CONTACT_CTE.index("ruled AS ("):] + ", " + bc._GROUPS_SQL
+for _name in ("ruled", "cand", "judged", "scored", "grouped", "statused"):
+    _RULED = re.sub(rf"\b{_name}\b", f"i_{_name}", _RULED)
+_RULED = re.sub(r"FROM pairs WHERE .*", "FROM i_pairs", _RULED).replace(
+    "PARTITION BY entry_id, mc, mr, ma, nc, nr", "PARTITION BY entry_id, mc, mr, ma, nc, nr, image_index, tx, ty, tz")
 QUERIES["site_rows"] = site_rows
+ORACLES["site_rows"] = f"""WITH {bc._IMAGE_CTE}, {bc._GROUPS_SQL},
+i_pairs AS (
+  SELECT p.entry_id, m.entry_no, p.mc, p.mr, p.ma, m.element AS me, m.b_iso AS mb, p.nc, p.nr, p.na,
+    n.atom_name, n.residue_name, n.element AS ne, n.b_iso AS nb, n.is_water, n.polymer_position AS pos, p.d,
+    p.image_index, p.tx, p.ty, p.tz, p.generated, p.crystal, p.is_ncs
+  FROM image_pairs p
+  JOIN atoms m ON m.entry_id = p.entry_id AND m.chain_index = p.mc AND m.residue_index = p.mr AND m.atom_index = p.ma
+  JOIN atoms n ON n.entry_id = p.entry_id AND n.chain_index = p.nc AND n.residue_index = p.nr AND n.atom_index = p.na
+  WHERE NOT (p.mc = p.nc AND p.mr = p.nr AND NOT p.generated)
+),
+{_RULED},
+sites AS (
+  SELECT entry_id, entry_no, chain_index AS mc, residue_index AS mr, atom_index AS ma, element, {_SEARCHED} AS searched,
+    x IS NOT NULL AND y IS NOT NULL AND z IS NOT NULL AS finite, x, y, z
+  FROM atoms WHERE element IN ({bc._METALS}) AND NOT coalesce(ok AND occupancy = 0, FALSE)
+),
+primary_contacts AS (
+  SELECT entry_id, mc, mr, ma, z, far, nb, size >= 2 AND any_far AS bad, generated, crystal, is_ncs
+  FROM i_statused WHERE {_SEARCHED}
+  UNION ALL
+  SELECT entry_id, mc, mr, ma, z, far, nb, size >= 2 AND any_far, FALSE, FALSE, FALSE
+  FROM statused WHERE NOT {_SEARCHED}
+),
+primary_candidates AS (
+  SELECT entry_id, mc, mr, ma, inside AND NOT allowed AS off FROM i_judged WHERE {_SEARCHED}
+  UNION ALL SELECT entry_id, mc, mr, ma, inside AND NOT allowed FROM judged WHERE NOT {_SEARCHED}
+),
+e AS (SELECT entry_id, mc, mr, ma, count(*) AS n, count(z) AS nz, count(*) FILTER (far) AS bad FROM statused GROUP BY ALL),
+p AS (SELECT entry_id, mc, mr, ma, count(*) AS n, count(z) AS nz, count(*) FILTER (far) AS bad, count(nb) AS nb,
+    bool_or(bad) AS grouped_bad, count(*) FILTER (generated) AS g, count(*) FILTER (crystal) AS c,
+    count(*) FILTER (is_ncs) AS k FROM primary_contacts GROUP BY ALL),
+o AS (SELECT entry_id, mc, mr, ma, bool_or(off) AS off FROM primary_candidates GROUP BY ALL),
+near AS (
+  SELECT m.entry_id, m.mc, m.mr, m.ma, count(*) FILTER (d <= 6.000001e0) AS n6,
+    arg_min(ne, (d, nc, nr, na)) AS nearest
+  FROM (SELECT a.*, b.element AS ne, b.mc AS nc, b.mr AS nr, b.ma AS na,
+      sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) AS d
+    FROM sites a JOIN sites b ON a.entry_id = b.entry_id AND a.finite AND b.finite
+      AND NOT (a.mc = b.mc AND a.mr = b.mr AND a.ma = b.ma)) m GROUP BY ALL
+),
+f AS (
+  SELECT s.*, coalesce(e.n, 0) AS en, coalesce(p.n, 0) AS pn, coalesce(p.nz, 0) AS pz, coalesce(p.nb, NULL) AS pnb,
+    CASE WHEN coalesce(e.nz, 0) = 0 THEN 'insufficient data' WHEN e.bad > 0 THEN 'suspect' ELSE 'plausible' END AS es,
+    CASE WHEN coalesce(p.nz, 0) = 0 THEN 'insufficient data' WHEN p.bad > 0 THEN 'suspect' ELSE 'plausible' END AS ps,
+    CASE WHEN searched THEN coalesce(p.g, 0) END AS g, CASE WHEN searched THEN coalesce(p.c, 0) END AS c,
+    CASE WHEN searched THEN coalesce(p.k, 0) END AS k,
+    coalesce(p.grouped_bad, FALSE) OR coalesce(o.off, FALSE) AS warned, near.n6, near.nearest
+  FROM sites s LEFT JOIN e USING (entry_id, mc, mr, ma) LEFT JOIN p USING (entry_id, mc, mr, ma)
+  LEFT JOIN o USING (entry_id, mc, mr, ma) LEFT JOIN near USING (entry_id, mc, mr, ma)
+)
+SELECT entry_id || ':m0:c' || mc || ':r' || mr || ':a' || ma AS metal_site_id, finite AS metal_coordinates_valid,
+  en AS explicit_candidate_contact_count, es AS explicit_geometry_status,
+  pn AS candidate_contact_count, ps AS geometry_status,
+  CASE WHEN searched THEN pn END AS image_inclusive_candidate_contact_count, pz AS score_eligible_contact_count,
+  g AS symmetry_contact_count, c AS crystallographic_contact_count, k AS strict_ncs_contact_count,
+  CASE WHEN g = 0 THEN 'none' WHEN c > 0 AND k > 0 THEN 'strict_ncs_and_crystallographic'
+    WHEN c > 0 THEN 'crystallographic' WHEN g > 0 THEN 'strict_ncs' END AS generated_contact_scope,
+  CASE WHEN searched THEN es <> ps END AS geometry_classification_changes_with_generated_images,
+  c > 0 AS coordination_depends_on_crystallographic_symmetry, k > 0 AS coordination_depends_on_strict_ncs,
+  CASE WHEN NOT finite THEN 'non_finite_metal_coordinates' ELSE concat_ws('|',
+    CASE WHEN NOT searched THEN 'symmetry_search_unavailable' END,
+    CASE WHEN pz = 0 THEN 'no_assessable_reference_contacts' END) END AS geometry_not_assessed_reason,
+  warned AS context_warning, pnb AS donor_b_iso_count,
+  CASE WHEN finite THEN coalesce(n6, 0) END AS nearby_metal_count_6a, nearest AS nearest_metal_element
+FROM f"""
