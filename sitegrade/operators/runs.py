@@ -181,11 +181,15 @@ def stage_timing(diagnostics: DataFrame) -> DataFrame:
     )
 
 
-def stage_columns(diagnostics: DataFrame) -> list[str]:
-    """The stages present, known ones in run order, then the rest by name."""
-    present = {
-        row[0] for row in diagnostics.select(F.explode(F.map_keys("timings"))).distinct().collect()
-    }
+def stage_columns(diagnostics: DataFrame, most: int = 1000) -> list[str]:
+    """The stages present, known ones in run order, then the rest by name.
+
+    Stages become columns, so more than ``most`` of them are refused.
+    """
+    names = diagnostics.select(F.explode(F.map_keys("timings"))).distinct()
+    present = {row[0] for row in names.limit(most + 1).collect()}
+    if len(present) > most:
+        raise ValueError(f"more than {most} stage names")
     known = [s for s in vocab.STAGE_ORDER if s in present]
     return [*known, *sorted(present - set(known))]
 

@@ -32,18 +32,22 @@ def prepare(spark: SparkSession, sites: DataFrame, bonds: DataFrame, entries: Da
 
 def finalize(
     spark: SparkSession, inputs_path: str, output_path: str, reference_folder: str,
-    manifest: DataFrame | None = None,
+    manifest: DataFrame | None = None, software: tuple[str, ...] = (), config_id: str | None = None,
 ) -> dict:
     """Freeze the cohort, then rank it against itself. Returns the metadata.
 
-    With a manifest the job refuses while a retry could still add an entry.
+    With a manifest the job refuses while a retry could still add an entry, and
+    where its rows come from several or from other configurations; its counts
+    become part of the metadata.
     """
+    provenance = None
     if manifest is not None:
+        provenance = tables.manifest_metadata(manifest, software, config_id)
         unfinished = batch_tally(manifest).first()["recoverable_incompleteness"]
         if unfinished:
             raise tables.TableError(f"{unfinished} entries could still be added by a resume")
     inputs = tables.validate_score_inputs(spark.read.parquet(inputs_path))
-    tables.write_reference(inputs, reference_folder)
+    tables.write_reference(inputs, reference_folder, provenance)
     frozen, metadata = tables.load_reference(spark, reference_folder)
     scored = score_inputs_against(inputs, frozen, same_cohort=True)
     with_reference_columns(scored, metadata).write.mode("overwrite").parquet(output_path)

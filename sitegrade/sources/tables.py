@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sitegrade import vocab
 from sitegrade.operators import distribution as dist
-from sitegrade.operators.runs import header_difference
+from sitegrade.operators.runs import (
+    header_difference, manifest_provenance, software_versions, status_counts,
+)
 from sitegrade.plans.score import ANALYSIS_COLUMNS, POLICY_JSON
 
 #: Columns a prepared score-input table must carry.
@@ -23,7 +26,16 @@ METADATA_SCHEMA = (
     "reference_id string, cohort_id string, policy string, fingerprint string,"
     " input_row_count long, input_entry_count long, scorable_entry_count long,"
     " density_reference_size long, geometry_reference_size long,"
-    " density_distinct_value_count long, geometry_distinct_value_count long"
+    " density_distinct_value_count long, geometry_distinct_value_count long,"
+    " analysis_config_id string, source_entry_count long, no_metals_entry_count long,"
+    " metal_site_limit_exceeded_entry_count long, metal_bearing_entry_count long,"
+    " status_counts map<string,long>, input_status_counts map<string,long>,"
+    " software map<string,string>"
+)
+#: Metadata a manifest gives; null when a cohort is frozen without one.
+MANIFEST_FIELDS = (
+    "analysis_config_id", "source_entry_count", "no_metals_entry_count",
+    "metal_site_limit_exceeded_entry_count", "metal_bearing_entry_count", "status_counts", "software",
 )
 
 
@@ -90,9 +102,40 @@ def metadata_path(folder: str) -> str:
     return f"{folder}/metadata"
 
 
-def write_reference(inputs: DataFrame, folder: str) -> DataFrame:
+def manifest_metadata(
+    manifest: DataFrame, software: Sequence[str] = (), config_id: str | None = None
+) -> dict:
+    """What a manifest says of a cohort: one row of counts, statuses, software.
+
+    Refused: rows of no or of several configurations, rows of another
+    configuration than ``config_id``, and several versions of one software.
+    """
+    row = manifest_provenance(manifest).first().asDict()
+    if not row.pop("single_configuration"):
+        raise TableError("manifest rows do not share exactly one analysis_config_id")
+    if config_id is not None and row["analysis_config_id"] != config_id:
+        raise TableError("manifest was made with another analysis_config_id")
+    versions = (
+        software_versions(manifest, software).groupBy("software")
+        .agg(F.min("version").alias("low"), F.max("version").alias("high")).collect()
+        if software else []  # one row per software column
+    )
+    mixed = sorted(r["software"] for r in versions if r["low"] != r["high"])
+    if mixed:
+        raise TableError("manifest rows mix versions of " + ", ".join(mixed))
+    # the status vocabulary is closed: at most one row per status
+    counts = status_counts(manifest.where(F.col("status").isin(*vocab.ENTRY_STATUSES))).collect()
+    return {
+        **row,
+        "status_counts": {r["status"]: r["count"] for r in counts},
+        "software": {r["software"]: r["low"] for r in versions},
+    }
+
+
+def write_reference(inputs: DataFrame, folder: str, provenance: dict | None = None) -> DataFrame:
     """Freeze a cohort's distribution under ``folder`` and return its metadata row.
 
+    ``provenance`` is what :func:`manifest_metadata` returns.
     The metadata is the completion marker: a stale one is removed first and the
     new one written last, so a failed run leaves a folder no reader accepts.
     """
@@ -116,7 +159,11 @@ def write_reference(inputs: DataFrame, folder: str) -> DataFrame:
     }
     identity = f"{values['reference_id']}\n{_rows_digest(inputs)}"
     values["cohort_id"] = "cohort-" + hashlib.sha256(identity.encode()).hexdigest()[:20]
-    names = [part.split()[0] for part in METADATA_SCHEMA.split(", ")]
+    names = T.StructType.fromDDL(METADATA_SCHEMA).names
+    statuses = dist.status_histogram(inputs).where(
+        F.col("status").isin(*vocab.SCORE_INPUT_STATUSES)).collect()
+    values["input_status_counts"] = {r["status"]: r["count"] for r in statuses}
+    values |= dict.fromkeys(MANIFEST_FIELDS) | (provenance or {})
     spark.createDataFrame([tuple(values[n] for n in names)], METADATA_SCHEMA).coalesce(1).write.mode(
         "overwrite"
     ).json(metadata_path(folder))

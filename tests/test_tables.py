@@ -55,6 +55,35 @@ def test_reference_round_trip_and_tampering(spark, tmp_path):
     assert jobs.choose_mode(spark, bonds=False, whole_database=True)[0] == "off"
 
 
+MANIFEST = ("entry_id string, status string, retryable boolean, no_metals boolean, metal_site_limit_exceeded boolean,"
+            " n_metals int, analysis_config_id string, engine string, reason_codes array<string>")
+
+
+def test_finalize_records_its_manifest_and_refuses_mixtures(spark, tmp_path):
+    def rows(configs, engine="1.0"):
+        return spark.createDataFrame(
+            [(f"e{i}", "partial" if i == 0 else "ok", False, i == 1, False, i, c, engine if i else "1.0", [])
+             for i, c in enumerate(configs)], MANIFEST)
+
+    table = _inputs(spark)
+    found = tables.manifest_metadata(rows("aaaaa"), ["engine"], "a")
+    assert found["source_entry_count"] == 5 and found["metal_bearing_entry_count"] == 4
+    assert found["status_counts"] == {"ok": 4, "partial": 1} and found["software"] == {"engine": "1.0"}
+    metadata = tables.write_reference(table, str(tmp_path / "one"), found).first()
+    assert metadata["status_counts"] == {"ok": 4, "partial": 1}
+    assert metadata["input_status_counts"] == {"complete": 40} and metadata["no_metals_entry_count"] == 1
+    for configs, config_id, engine in (("aabaa", None, "1.0"), ("aaa", "b", "1.0"), ("", None, "1.0"), ("aaa", None, "2.0")):
+        with pytest.raises(tables.TableError):
+            tables.manifest_metadata(rows(configs, engine), ["engine"], config_id)
+    # the same histogram and size, but other rows: another cohort
+    renamed = table.withColumn("metal_site_id", F.concat("metal_site_id", F.lit("x")))
+    other = tables.write_reference(renamed, str(tmp_path / "two")).first()
+    assert other["reference_id"] == metadata["reference_id"] and other["cohort_id"] != metadata["cohort_id"]
+    assert other["analysis_config_id"] is None
+    shuffled = tables.write_reference(table.repartition(3), str(tmp_path / "three")).first()
+    assert shuffled["cohort_id"] == metadata["cohort_id"]
+
+
 def test_stream_scores_like_the_batch_job_and_once_per_site(spark, tmp_path):
     inputs, folder = str(tmp_path / "inputs"), str(tmp_path / "ref")
     table = _inputs(spark)
