@@ -352,10 +352,13 @@ FROM p GROUP BY entry_id""")
 def normalized_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     reflections = derived(spark, sf_dir, REFLECTIONS)
     owners = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("entry_id"))
-    sides = spark.createDataFrame(
-        [(1.0, 1.0, 1.0), (-1.0, 1.0, -1.0)], "r11 double, r22 double, r33 double"
-    ).withColumns({c: F.lit(0.0) for c in ("r12", "r13", "r21", "r23", "r31", "r32")}).withColumn("is_ncs", F.lit(False))
-    ops = owners.withColumn("one", F.lit(1)).join(F.broadcast(sides.withColumn("one", F.lit(1))), "one").drop("one")
+    # two operations of each entry: the identity and a two-fold axis
+    sides = F.array(*[
+        F.struct(*[F.lit(v).alias(n) for n, v in zip(("r11", "r22", "r33"), r)])
+        for r in ((1.0, 1.0, 1.0), (-1.0, 1.0, -1.0))])
+    ops = owners.select("entry_id", F.inline(sides)).withColumns(
+        {c: F.lit(0.0) for c in ("r12", "r13", "r21", "r23", "r31", "r32")}
+    ).withColumn("is_ncs", F.lit(False))
     done = ref.normalize_coefficients(ref.centric_flags(reflections, ops))
     return done.select(
         "entry_id", "l_orderkey", "l_linenumber", "l_partkey", "centric",

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from sitegrade.bindings.common import Query
 
-MODULES = ("scoring", "inventory", "contacts", "evidence", "runs", "links", "tables")
+MODULES = ("scoring", "inventory", "contacts", "evidence", "runs", "links", "tables", "cells")
 
 
 def _merged(attribute: str) -> dict:

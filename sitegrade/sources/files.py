@@ -332,8 +332,3 @@ def provenance(props: str = "properties") -> dict[str, Column]:
         "source_version": F.trim(F.coalesce(F.col(f"{props}.VERSION"), F.lit(""))),
         "source_date": F.trim(F.coalesce(F.col(f"{props}.TIME"), F.lit(""))),
     }
-
-
-def metal_elements() -> list[str]:
-    """The recognised metals, for callers that filter files by element."""
-    return list(vocab.METALS)
