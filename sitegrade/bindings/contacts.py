@@ -292,6 +292,25 @@ FROM l
 """
 
 
+def metals_without_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return con.metals_without_position(selected_atoms(spark, sf_dir))
+
+
+QUERIES["metals_without_position"] = metals_without_position
+ORACLES["metals_without_position"] = f"""
+WITH {CONTACT_CTE},
+lost AS (SELECT entry_id, residue_name || '/' || chain_id || '/' || resnum || '/' || atom_name AS site,
+    row_number() OVER (PARTITION BY entry_id ORDER BY chain_index, residue_index, atom_index) AS k
+  FROM atoms WHERE element IN ({_METALS}) AND NOT coalesce(ok AND occupancy = 0, FALSE)
+    AND (x IS NULL OR y IS NULL OR z IS NULL))
+SELECT entry_id, 'non_finite_metal_coordinates' AS reason_code,
+  'geometry unavailable for selected metal site(s) with non-finite coordinates: '
+  || string_agg(CASE WHEN k <= 5 THEN site END, ', ' ORDER BY k)
+  || CASE WHEN count(*) > 5 THEN ' (and ' || (count(*) - 5) || ' more)' ELSE '' END AS message
+FROM lost GROUP BY entry_id
+"""
+
+
 # ---- contacts, groups, summaries -----------------------------------------------
 def bond_geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explicit_contacts(spark, sf_dir).select(

@@ -7,7 +7,7 @@ residue groups, summaries. Metal columns carry ``m_``, donor columns ``n_``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitegrade import vocab
@@ -328,6 +328,38 @@ def with_eligibility(candidates: DataFrame, reference: DataFrame) -> DataFrame:
     ).drop("is_absent")
 
 
+def metals_without_position(atoms: DataFrame, named: int = 5) -> DataFrame:
+    """Per entry, why its geometry is partial: selected metals without finite coordinates.
+
+    ``reason_code`` and a ``message`` that names the first ``named`` sites in
+    model order and counts the rest.
+    """
+    lost = atoms.where(
+        is_metal() & (F.col("x").isNull() | F.col("y").isNull() | F.col("z").isNull())
+    ).select(
+        "entry_id", F.struct("chain_index", "residue_index", "atom_index").alias("place"),
+        F.concat_ws(
+            "/", "residue_name", F.when(F.col("chain_id") == "", "_").otherwise(F.col("chain_id")),
+            "resnum", "atom_name",
+        ).alias("site"),
+    )
+    first = lost.withColumn(
+        "number", F.row_number().over(Window.partitionBy("entry_id").orderBy("place"))
+    ).where(F.col("number") <= named)
+    shown = first.groupBy("entry_id").agg(F.array_sort(F.collect_list(F.struct("number", "site"))).alias("sites"))
+    counts = lost.groupBy("entry_id").agg(F.count(F.lit(1)).alias("n"))
+    rest = F.col("n") - named
+    return counts.join(shown, "entry_id").select(
+        "entry_id", F.lit("non_finite_metal_coordinates").alias("reason_code"),
+        F.concat(
+            F.lit("geometry unavailable for selected metal site(s) with non-finite coordinates: "),
+            F.array_join(F.transform("sites", lambda s: s["site"]), ", "),
+            F.when(rest > 0, F.concat(F.lit(" (and "), rest.cast("string"), F.lit(" more)")))
+            .otherwise(F.lit("")),
+        ).alias("message"),
+    )
+
+
 def unsupported_pairs(candidates: DataFrame) -> DataFrame:
     """Per entry, the metal-donor pairs no reference covers, sorted and shortened."""
     pairs = candidates.where(
