@@ -43,8 +43,10 @@ _MIX = np.uint64(0xBF58476D1CE4E5B9)
 class WordHashes(dict):
     """Hashes of words, kept for the task up to a bound."""
 
+    limit = 400_000
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > self.limit:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value

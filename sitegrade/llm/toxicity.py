@@ -13,11 +13,11 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +35,8 @@ _WORD = re.compile(r"\S+")
 class Sample:
     """Bounds of the training sample, whatever the size of the corpus."""
 
-    toxic_documents: int = 2000
-    clean_documents: int = 4000
+    toxic_documents: int = 1500
+    clean_documents: int = 3000
     longest_text: int = 12_000  # characters; longer texts do not train, they are only scored
     field_documents: int = 400  # of each label, for the field itself
     field_words: int = 800
@@ -75,6 +75,7 @@ def one_of_each(texts: list[str]) -> list[str]:
     Texts are of one family if they share two neighbouring minhashes.
     """
     hashes = WordHashes()
+    hashes.limit = 50_000
     seen: set[tuple[int, bytes]] = set()
     kept = []
     for text in texts:
@@ -88,33 +89,39 @@ def one_of_each(texts: list[str]) -> list[str]:
     return kept
 
 
-def toxic_forms(toxic: list[str], clean: list[str]) -> set[str]:
-    """Forms whose share of toxic documents is significant after testing all of them."""
-    in_toxic: Counter = Counter()
-    for text in toxic:
-        in_toxic.update({form for word in text.split() for form in forms(word)})
-    in_toxic = Counter({form: k for form, k in in_toxic.items() if k > 1})
-    in_clean: Counter = Counter()
-    for text in clean:
-        in_clean.update(
-            {f for word in text.split() for f in forms(word) if f in in_toxic})
-    if not in_toxic:
+def form_hashes(text: str) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the forms of a text."""
+    return np.unique(np.array(
+        [xxhash.xxh3_64_intdigest(f) for word in set(text.split()) for f in forms(word)], np.uint64))
+
+
+def toxic_forms(toxic: list[str], clean: list[str]) -> set[int]:
+    """Hashes of forms whose share of toxic documents is significant after testing all.
+
+    Only forms of two toxic documents or more are kept and counted on.
+    """
+    if not toxic:
         return set()
-    base = len(toxic) / (len(toxic) + len(clean))
-    least = math.log(100 * len(in_toxic))
-    found = set()
-    for form, k in in_toxic.items():
-        n = k + in_clean[form]
-        share = (k + 0.5) / (n + 1)
-        # Chernoff bound of k or more toxic ones among n documents by chance
-        if share > 0.8 and n * _divergence(k / n, base) > least:
-            found.add(form)
-    return found
+    values, k = np.unique(np.concatenate([form_hashes(t) for t in toxic]), return_counts=True)
+    values, k = values[k > 1], k[k > 1]
+    if not len(values):
+        return set()
+    n = k.copy()
+    for text in clean:
+        hashes = form_hashes(text)
+        at = np.minimum(np.searchsorted(values, hashes), len(values) - 1)
+        n[at[values[at] == hashes]] += 1
+    base = min(max(len(toxic) / (len(toxic) + len(clean)), 1e-9), 1 - 1e-9)
+    p = k / n
+    with np.errstate(divide="ignore", invalid="ignore"):
+        divergence = p * np.log(p / base) + np.where(p < 1, (1 - p) * np.log((1 - p) / (1 - base)), 0.0)
+    # Chernoff bound of k or more toxic ones among n documents by chance
+    sure = ((k + 0.5) / (n + 1) > 0.8) & (n * divergence > math.log(100 * len(values)))
+    return set(values[sure].tolist())
 
 
-def _divergence(p: float, q: float) -> float:
-    q = min(max(q, 1e-9), 1 - 1e-9)
-    return sum(a * math.log(a / b) for a, b in ((p, q), (1 - p, 1 - q)) if a > 0)
+def is_toxic(token: str, found: set[int]) -> bool:
+    return any(xxhash.xxh3_64_intdigest(f) in found for f in forms(token))
 
 
 def forward_backward(
@@ -210,12 +217,12 @@ def train_field(
 class Scorer:
     """Applies a model to texts; word emissions are remembered up to a bound."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, limit: int = 500_000):
         self.model = model
 
         class Emissions(dict):
             def __missing__(self, token: str) -> float:
-                if len(self) > 500_000:
+                if len(self) > limit:
                     self.clear()
                 value = self[token] = float(model.weights[_buckets(token)].sum())
                 return value
@@ -316,11 +323,11 @@ def train(
     if not found:
         return Model(np.zeros(BUCKETS, np.float32), np.zeros((2, 2)), -8.0, (-4.0, 0.0, 0.0))
     bad, good = (_short_texts(rows, y, sample) for y in (1, 0))
-    marks = [np.array([not found.isdisjoint(forms(w)) for w in words]) for words in bad]
+    marks = [np.array([is_toxic(w, found) for w in words]) for words in bad]
     for fit in range(sample.refits + 1):
         weights, transitions, start = train_field(
             bad + good, marks + [np.zeros(len(w), bool) for w in good], sample.rounds)
-        scorer = Scorer(Model(weights, transitions, start, (0.0, 0.0, 0.0)))
+        scorer = Scorer(Model(weights, transitions, start, (0.0, 0.0, 0.0)), limit=100_000)
         p = scorer.marginals([r["text"] for r in rows])
         if fit == sample.refits:
             break
