@@ -8,8 +8,9 @@ course is opened.
 
 No piece of these models crosses the start of a word (a space mark after
 something else), so a text's lattice is a chain of word lattices. A task keeps
-each distinct word's N best once, and the N best of a text differ from its best
-one only at the words with the smallest gaps.
+each distinct word's best once, and the N best of a text differ from its best
+one only at the words with the smallest gaps. A worker process keeps its words
+from task to task, up to a bound.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import heapq
 import re
 import zlib
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +47,7 @@ class Segmentation:
 class PieceModel:
     """Pieces, scores and byte fallback of a SentencePiece model file."""
 
-    def __init__(self, path: str, n_best: int = 4, limit: int = 300_000):
+    def __init__(self, path: str, n_best: int = 4, limit: int = 500_000):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -95,14 +97,17 @@ class PieceModel:
     def search(self, text: str, n: int) -> list[Segmentation]:
         """The n best segmentations of a normalised text, best first.
 
-        Ties are popped in the order of discovery, which is fixed.
+        Among ties the latest find is popped first, which reaches the start soon. A
+        position is left n times at most: its pops come best suffix first, and no
+        later one can be part of the n best.
         """
         if not text:
             return [Segmentation(0.0, b"")]
         ends, best = self.lattice(text)
-        # (-(bound), order, position, score of the suffix, suffix chain)
+        # (-(bound), -order, position, score of the suffix, suffix chain)
         heap: list[tuple] = [(-best[-1], 0, len(text), 0.0, None)]
         pushed, out = 0, []
+        left = [n] * len(ends)
         push, pop = heapq.heappush, heapq.heappop
         while heap:
             _, _, at, suffix, chain = pop(heap)
@@ -115,45 +120,50 @@ class PieceModel:
                 if len(out) == n:
                     break
                 continue
+            if not left[at]:
+                continue
+            left[at] -= 1
             for start, score, ids in ends[at]:
-                pushed += 1
+                pushed -= 1
                 total = suffix + score
                 push(heap, (-(total + best[start]), pushed, start, total, (ids, chain)))
         return out
 
-    def word(self, text: str) -> tuple:
-        """(best, gap to the second, all found, decodes back) of a word, kept for the task."""
+    def word(self, text: str) -> tuple[bytes, float, float, bool]:
+        """(best ids, its score, gap to the second, decodes back) of a word, kept by the task."""
         found = self.known.get(text)
         if found is None:
             if len(self.known) >= self.limit:
                 self.known.clear()
-            ways = self.search(text, self.n_best)
+            ways = self.search(text, 2)
             gap = ways[0].score - ways[1].score if len(ways) > 1 else float("inf")
             back = self.joined(ways[0].ids) == text
-            found = self.known[text] = (ways[0].data, gap, ways, back)
+            found = self.known[text] = (ways[0].data, ways[0].score, gap, back)
         return found
 
     def encode(self, text: str, n: int | None = None) -> tuple[list[Segmentation], bool]:
         """The n best segmentations of a whole text, and whether their words decode back."""
-        n = self.n_best if n is None else min(n, self.n_best)
-        words = [self.word(w) for w in _WORDS.findall(self.library.normalize(text))]
-        base = sum(w[2][0].score for w in words)
+        n = self.n_best if n is None else n
+        parts = _WORDS.findall(self.library.normalize(text))
+        words = [*map(self.word, parts)]
+        base = sum(w[1] for w in words)
         data = [w[0] for w in words]
         # changes at n - 1 words with the smallest gaps suffice: each alone is as good as any other
-        near = heapq.nsmallest(
-            n - 1, (i for i, w in enumerate(words) if w[1] != float("inf")),
-            key=lambda i: (words[i][1], i))
-        ways: list[tuple[float, dict[int, int]]] = [(0.0, {})]
+        gaps = [w[2] for w in words]
+        near = heapq.nsmallest(n - 1, range(len(words)), key=gaps.__getitem__)
+        ways: list[tuple[float, dict[int, Segmentation]]] = [(0.0, {})]
         for i in near:
-            top = words[i][2][0].score
+            if gaps[i] == float("inf"):
+                break
+            found = self.search(parts[i], n)
             ways = heapq.nsmallest(n, (
-                (lost + top - way.score, chosen if k == 0 else chosen | {i: k})
-                for lost, chosen in ways for k, way in enumerate(words[i][2])), key=lambda x: x[0])
+                (lost + found[0].score - way.score, chosen if k == 0 else chosen | {i: way})
+                for lost, chosen in ways for k, way in enumerate(found)), key=lambda x: x[0])
         out = []
         for lost, chosen in ways[:n]:
             some = data.copy() if chosen else data
-            for i, k in chosen.items():
-                some[i] = words[i][2][k].data
+            for i, way in chosen.items():
+                some[i] = way.data
             out.append(Segmentation(base - lost, b"".join(some)))
         return out, all(w[3] for w in words)
 
@@ -166,6 +176,12 @@ class PieceModel:
         return self.joined(ids).replace(SPACE, " ").removeprefix(" ")
 
 
+@lru_cache(maxsize=1)
+def piece_model(path: str, n_best: int) -> PieceModel:
+    """The model of a worker process, with the words it has met."""
+    return PieceModel(path, n_best)
+
+
 def encode_documents(
     documents: DataFrame, model: str, n_best: int = 4, doc_id: str = "doc_id", text: str = "text",
     with_ids: bool = False,
@@ -179,7 +195,7 @@ def encode_documents(
     """
 
     def make():
-        pieces = PieceModel(model, n_best)
+        pieces = piece_model(model, n_best)
 
         def step(batch: pa.RecordBatch) -> dict:
             found = [pieces.encode(t) for t in batch.column("text").to_pylist()]
@@ -211,7 +227,7 @@ def decode_documents(
     """(doc_id, text) of rows holding one array of piece ids; null ids give a null text."""
 
     def make():
-        pieces = PieceModel(model, 1)
+        pieces = piece_model(model, 1)
 
         def step(batch: pa.RecordBatch) -> dict:
             return {"doc_id": batch.column("doc_id"), "text": [

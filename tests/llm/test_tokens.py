@@ -140,6 +140,9 @@ def test_n_best_equals_all_cuts():
     for text in ("▁the", "▁reading", "ß①x", "▁▁▁a", "aaaaaaa", "▁"):
         got = [w.score for w in model.search(text, 6)]
         np.testing.assert_allclose(got, _all_ways(model, text)[:6])
+    for text in ("x" * 5000, "ab c" * 5000):  # very long words full of ties
+        ways = model.search(text, 6)
+        assert len({w.data for w in ways}) == 6 and {model.joined(w.ids) for w in ways} == {text}
     ways, back = model.encode("the cat ran")
     np.testing.assert_allclose(
         [w.score for w in ways], _all_ways(model, "▁the▁cat▁ran")[:6])
