@@ -7,7 +7,8 @@ complete paths it pops are the N best segmentations, and nothing off their
 course is opened.
 
 No piece of these models crosses the start of a word (a space mark after
-something else), so a text's lattice is a chain of word lattices. A task keeps
+something else), nor, where the model allows it, the end of its letters before a
+full stop or comma, so a text's lattice is a chain of word lattices. A task keeps
 each distinct word's best once, and the N best of a text differ from its best
 one only at the words with the smallest gaps. A worker process keeps its words
 from task to task, up to a bound.
@@ -29,7 +30,11 @@ from pyspark.sql import functions as F
 from sitegrade.llm.common import map_batches
 
 SPACE = "▁"
+_LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+#: The same, ending words before a full stop or comma that follows a letter.
+_BARE_WORDS = re.compile(
+    f"{SPACE}*[^{SPACE}.,]*[{_LETTER}](?=[.,])|{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
 @dataclass(frozen=True)
@@ -47,7 +52,7 @@ class Segmentation:
 class PieceModel:
     """Pieces, scores and byte fallback of a SentencePiece model file."""
 
-    def __init__(self, path: str, n_best: int = 4, limit: int = 500_000):
+    def __init__(self, path: str, n_best: int = 4, limit: int = 900_000):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -67,6 +72,9 @@ class PieceModel:
             p[:n]: self.scored.get(p[:n]) for p in self.scored for n in range(1, len(p) + 1)}
         #: A character without a piece costs more than any piece does.
         self.unknown = min(s for s, _ in self.scored.values()) - 10.0
+        crossing = re.compile(f"[{_LETTER}][.,]").search
+        #: Words may end before punctuation where no piece of the model crosses that place.
+        self.cut = (_WORDS if any(map(crossing, self.scored)) else _BARE_WORDS).findall
         self.n_best, self.limit = n_best, limit
         self.known: dict[str, tuple] = {}
 
@@ -144,7 +152,7 @@ class PieceModel:
     def encode(self, text: str, n: int | None = None) -> tuple[list[Segmentation], bool]:
         """The n best segmentations of a whole text, and whether their words decode back."""
         n = self.n_best if n is None else n
-        parts = _WORDS.findall(self.library.normalize(text))
+        parts = self.cut(self.library.normalize(text))
         words = [*map(self.word, parts)]
         base = sum(w[1] for w in words)
         data = [w[0] for w in words]
