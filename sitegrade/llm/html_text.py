@@ -34,8 +34,8 @@ BLOCKS = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre "
     "section summary table tbody td tfoot th thead tr ul".split())
 HIDDEN = frozenset(
-    "script style head noscript template iframe object svg math select textarea button canvas "
-    "audio video".split())
+    "script style head noscript template iframe object svg select textarea button canvas "
+    "audio video annotation annotation-xml".split())
 RAW = frozenset("script style textarea title".split())
 EMPTY = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
@@ -45,6 +45,17 @@ ENDS = {
     "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p"),
     "option": ("option",),
 } | {name: ("p",) for name in BLOCKS - {"p", "li", "dt", "dd", "tr", "td", "th", "option", "html", "body"}}
+#: Elements that may stand in a head; any other, or text, ends it.
+HEAD_ONLY = frozenset(
+    "base basefont bgsound link meta noframes noscript script style template title".split())
+#: Elements with the syntax of XML, those inside them that hold HTML again, and
+#: the HTML elements that end them when they were left open.
+FOREIGN = frozenset(("svg", "math"))
+HTML_INSIDE = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li "
+    "listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul "
+    "var".split())
 #: Words of class, id and role names that tell boilerplate or content.
 BOILERPLATE_WORDS = frozenset(
     "ad ads advert adverts advertisement alert banner breadcrumb breadcrumbs consent cookie cookies "
@@ -88,8 +99,30 @@ class _Page:
     text: list[str] = field(default_factory=list)
     links: int = 0
     count: int = 0
+    foreigners: bool = False  # an svg or math element was opened
+
+    def end_head(self, name: str) -> None:
+        """End an open head before what cannot stand in it; its end tag may be left out."""
+        if name == "body":
+            for i, e in enumerate(self.stack):
+                if e.name == "head":
+                    del self.stack[i:]
+                    return
+        elif self.stack and self.stack[-1].name == "head" and name not in HEAD_ONLY:
+            self.stack.pop()
+
+    def foreign(self) -> int:
+        """Place of the open svg or math element whose syntax holds here; -1 for none."""
+        for i in range(len(self.stack) - 1, -1, -1):
+            if self.stack[i].name in FOREIGN:
+                return i
+            if self.stack[i].name in HTML_INSIDE or self.stack[i].name in BLOCKS:
+                return -1
+        return -1
 
     def add(self, text: str) -> None:
+        if text and not text.isspace():
+            self.end_head("")
         if not text or self.stack and self.stack[-1].hidden:
             return
         text = html.unescape(text)
@@ -107,23 +140,32 @@ class _Page:
                     self.stack[-1].stance if self.stack else 0, self.links))
             self.text, self.links = [], 0
 
-    def open(self, name: str, rest: str) -> None:
+    def open(self, name: str, rest: str) -> bool:
+        """Take a start tag; whether the element stays open."""
+        self.end_head(name)
+        at = self.foreign() if self.foreigners else -1
+        if at >= 0 and name in BREAKOUT:
+            del self.stack[at:]
+        elif (at >= 0 or name in FOREIGN) and rest.endswith("/>"):
+            return False
         if name in BLOCKS:
             self.end_block()
             for i in range(len(self.stack) - 1, -1, -1):
                 other = self.stack[i].name
                 if other in ENDS.get(name, ()):
                     del self.stack[i:]
-                elif other in BLOCKS:
+                elif other in BLOCKS or other in HTML_INSIDE:
                     break
         elif name == "br":
             self.text.append(" ")
         if name in EMPTY:
-            return
+            return False
+        self.foreigners |= name in FOREIGN
         up = self.stack[-1] if self.stack else _Open("", 0, 0, False, False)
         stance, fixed = (up.stance, True) if up.fixed else _stance(name, rest, up.stance)
         self.count += 1
         self.stack.append(_Open(name, self.count, stance, fixed, up.hidden or name in HIDDEN))
+        return True
 
     def close(self, name: str) -> None:
         for i in range(len(self.stack) - 1, -1, -1):
@@ -173,8 +215,7 @@ def page_blocks(page: str) -> list[Block]:
         if tag["close"]:
             state.close(name)
             continue
-        state.open(name, tag["rest"])
-        if name in RAW:
+        if state.open(name, tag["rest"]) and name in RAW:
             # raw text reaches to its own end tag, whatever it holds
             lower = page.lower() if lower is None else lower
             end = lower.find(f"</{name}", at)

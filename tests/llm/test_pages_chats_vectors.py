@@ -55,6 +55,25 @@ def test_main_text_of_pages(spark):
     assert html_text.extract_pages(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><title>x</title><body><article><p>Body tag ends it.</article>", "Body tag ends it."),
+    ("<head><meta charset=a><style>p{}</style><article><p>Block ends it.</article>", "Block ends it."),
+    ("<head><title>x</title><b>Any element</b> ends it.", "Any element ends it."),
+    ("<head><title>x</title> Text ends it.", "Text ends it."),
+    ("<head><noscript><link href=a><body><p>Noscript left open.", "Noscript left open."),
+    ("<head><noscript><p>hidden</noscript><title>x</title></head><p>Closed as before.", "Closed as before."),
+    ("<article><p>Before <svg class='i' /> after.<p>Next.</article>", "Before after.\nNext."),
+    ("<article><p>A <svg><title/><style/><path d='a'/><text>no</text></svg> b.</article>", "A b."),
+    ("<article><p>Icon <svg><path d=a><p>left open.</article>", "Icon\nleft open."),
+    ("<article><p>See <svg><foreignObject><p>no</p></foreignObject></svg>it.</article>", "See\nit."),
+    ("<article><p>So <math><mi>a</mi><mo>=</mo><mspace width=a /><mn>2</mn><annotation>tex</annotation>"
+     "</math> holds.</article>", "So a=2 holds."),
+    ("<article><p>None <math/> here.</article>", "None here."),
+])
+def test_blocks_after_open_heads_drawings_and_formulas(page, want):
+    assert "\n".join(b.text for b in html_text.page_blocks(page)) == want
+
+
 def test_minimum_cut_equals_trying_all_labels():
     rng = random.Random(8)
     for _ in range(150):
