@@ -66,10 +66,20 @@ BOILERPLATE_WORDS = frozenset(
 COMMENT_WORDS = frozenset(
     "comment comments commentlist discussion disqus replies reply respond responses".split())
 CONTENT_WORDS = frozenset("article content entry main post story".split())
-
-STRUCTURE = 5.0  # cost that tags and names give; the classifier stays within SHALLOW
-SHALLOW = 2.0
+#: First and last parts of names that tell a state or a topic, not what an element is.
+STATE_FIRST = frozenset(
+    "category format has hide is no not show status tag type with without".split())
+STATE_LAST = frozenset("active closed count disabled enabled hidden off on open visible".split())
+
+OUTSIDE = 5.0  # cost that nav, footer, aside and whole comment names give, to all inside them
+TAGS = 3.0  # article, main and header
+NAMES = 2.5  # other class, id and role names
+FORM = 1.0  # whole pages stand in forms
+SHALLOW = 4.5  # the classifier stays within; alone or with the edges it can outweigh all of them
 SMOOTH = 1.2
+#: Weights of the shallow features before any page is seen: long, unlinked,
+#: punctuated blocks are content.
+PRIOR = np.array([-2.0, 0.8, -3.0, 1.0, 0.5, -0.5, 0.0, 0.0])
 
 
 @dataclass
@@ -79,7 +89,7 @@ class Block:
     text: str
     path: tuple[int, ...]  # numbers of the open block-level elements, outermost first
     tag: str
-    stance: int  # what the elements around say: 1 content, -1 boilerplate, 0 nothing
+    stance: float  # what the elements around say: above 0 content, below 0 boilerplate
     link_chars: int
 
 
@@ -87,7 +97,7 @@ class Block:
 class _Open:
     name: str
     number: int
-    stance: int
+    stance: float
     fixed: bool  # an enclosed element cannot turn it to content again
     hidden: bool
 
@@ -161,7 +171,7 @@ class _Page:
         if name in EMPTY:
             return False
         self.foreigners |= name in FOREIGN
-        up = self.stack[-1] if self.stack else _Open("", 0, 0, False, False)
+        up = self.stack[-1] if self.stack else _Open("", 0, 0.0, False, False)
         stance, fixed = (up.stance, True) if up.fixed else _stance(name, rest, up.stance)
         self.count += 1
         self.stack.append(_Open(name, self.count, stance, fixed, up.hidden or name in HIDDEN))
@@ -180,25 +190,44 @@ class _Page:
             self.end_block()
 
 
-def _stance(name: str, rest: str, up: int) -> tuple[int, bool]:
-    """What an element says of its text, and whether that holds for all inside it."""
-    words: set[str] = set()
-    if "=" in rest and name not in ("html", "body"):
-        for found in _CLASSES.findall(rest):
-            words.update(re.split(r"[^a-z]+", "".join(found).lower()))
-    if words & COMMENT_WORDS:
-        return -1, True
+def _named(rest: str) -> tuple[int, int, bool]:
+    """Content and boilerplate parts of an element's names, and whether one names comments."""
+    content, boilerplate, comments = set(), set(), False
+    for found in _CLASSES.findall(rest):
+        for token in "".join(found).lower().split():
+            parts = [x for x in re.split(r"[^a-z]+", token) if x]
+            if len(parts) > 1 and (parts[0] in STATE_FIRST or parts[-1] in STATE_LAST):
+                continue
+            if not COMMENT_WORDS.isdisjoint(parts):
+                comments = True
+                continue
+            content |= CONTENT_WORDS.intersection(parts)
+            boilerplate |= BOILERPLATE_WORDS.intersection(parts)
+    return len(content), len(boilerplate), comments
+
+
+def _stance(name: str, rest: str, up: float) -> tuple[float, bool]:
+    """What an element says of its text, and whether that holds for all inside it.
+
+    Content and boilerplate parts of its names are weighed against each other;
+    an element that says nothing takes over what those around it say.
+    """
     if name in ("nav", "footer", "aside", "dialog", "menu"):
-        return -1, True
+        return -OUTSIDE, True
+    good, bad, comments = _named(rest) if "=" in rest and name not in ("html", "body") else (0, 0, False)
+    if comments and not good:
+        return -OUTSIDE, True
+    told = bool(good or bad)
+    cost = NAMES * (good - bad) / (good + bad) if told else 0.0
+    if comments:
+        cost -= OUTSIDE
     if name in ("article", "main"):
-        return 1, False
-    if name == "header":
-        return (up if up == 1 else -1), False
-    if name in ("form", "fieldset") or words & BOILERPLATE_WORDS:
-        return -1, False
-    if words & CONTENT_WORDS:
-        return 1, False
-    return up, False
+        return TAGS + cost, False
+    if name == "header" and up <= 0:
+        return cost - TAGS, False
+    if name in ("form", "fieldset"):
+        return cost - FORM, False
+    return (cost if told else up), False
 
 
 def page_blocks(page: str) -> list[Block]:
@@ -362,7 +391,7 @@ def main_text(page: str, weights: np.ndarray) -> str:
     if not blocks:
         return ""
     shallow = np.clip(shallow_features(blocks) @ weights, -SHALLOW, SHALLOW)
-    gain = [STRUCTURE * b.stance + float(s) for b, s in zip(blocks, shallow, strict=True)]
+    gain = [b.stance + float(s) for b, s in zip(blocks, shallow, strict=True)]
     label = minimum_cut(gain, smooth_edges(blocks))
     return "\n".join(b.text for b, good in zip(blocks, label, strict=True) if good)
 
@@ -381,7 +410,7 @@ def train(pages: DataFrame, sample_pages: int = 400, longest: int = 65_536) -> n
         pages.where(F.length("html") <= longest).join(F.broadcast(chosen), "page_id", "left_semi")
         .select("page_id", "html").dropDuplicates(["page_id"]).collect())
     rows.sort(key=lambda r: r["page_id"])
-    x, y = [], []
+    x, y, weight = [], [], []
     for row in rows:
         blocks = page_blocks(row["html"])
         if blocks:
@@ -389,19 +418,25 @@ def train(pages: DataFrame, sample_pages: int = 400, longest: int = 65_536) -> n
             features = shallow_features(blocks)
             x += [f for f, s in zip(features, told, strict=True) if s]
             y += [float(s > 0) for s in told if s]
+            n = sum(map(bool, told))
+            weight += [min(1.0, 20 / n) for _ in range(n)]  # a page of many blocks is one page
     if not x or len(set(y)) < 2:
-        # nothing to learn from: long, unlinked, punctuated blocks are content
-        return np.array([-2.0, 0.8, -3.0, 1.0, 0.5, -0.5, 0.0, 0.0])
-    return fit_logistic(np.array(x), np.array(y))
+        return PRIOR
+    return fit_logistic(np.array(x), np.array(y), np.array(weight), PRIOR)
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Logistic weights by Newton steps."""
-    w = np.zeros(x.shape[1])
+def fit_logistic(
+    x: np.ndarray, y: np.ndarray, weight: np.ndarray, prior: np.ndarray, ridge: float = 100.0
+) -> np.ndarray:
+    """Logistic weights of weighted rows by Newton steps, drawn to those of ``prior``.
+
+    Tags that pages happen to use in one part only would decide alone without it.
+    """
+    w = prior.copy()
     for _ in range(20):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        w = w + np.linalg.solve(hessian, x.T @ (y - p) - ridge * w)
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        w = w + np.linalg.solve(hessian, x.T @ (weight * (y - p)) - ridge * (w - prior))
     return w
 
 

@@ -74,6 +74,36 @@ def test_blocks_after_open_heads_drawings_and_formulas(page, want):
     assert "\n".join(b.text for b in html_text.page_blocks(page)) == want
 
 
+PARAGRAPHS = [f"Paragraph {i} of the text, with a number of words, some commas, and more of them to read on."
+              for i in range(4)]
+BODY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+STORIES = "<ul>" + "".join(f"<li><a href=/{i}>Other story {i}</a></li>" for i in range(5)) + "</ul>"
+READERS = "".join("<p>I agree with all of it, and so do many others I know.</p>" for _ in range(3))
+
+
+@pytest.mark.parametrize("page", [
+    f"<div id='content' class='with-sidebar'>{BODY}</div>",
+    f"<div class='post-header'>{BODY}</div>",
+    f"<div class='entry-content share-open'>{BODY}</div>",
+    f"<article class='post no-comments'>{BODY}</article>",
+    f"<article class='post type-post category-share comments-open'><div class=entry>{BODY}</div></article>",
+    f"<form id=all>{BODY}</form>",
+    f"<article>{BODY}{STORIES}</article>",  # link list without a name
+    f"<article>{BODY}<div><a href=/a>New shoes</a><div><a href=/b>Half price</a></div><div><a href=/b>Buy now</a></div></div></article>",  # advert without a name
+    f"<article>{BODY}</article><div class='post-comments'>{READERS}</div>",
+    f"<article>{BODY}<article class=comment>{READERS}</article></article>",
+    f"<article>{BODY}</article><div class=sidebar><p>Short words.</p>{STORIES}</div>",
+    f"<div class='post-share'>{STORIES}</div><div class=post>{BODY}</div>",
+])
+def test_mixed_names_and_unnamed_boilerplate(page):
+    assert html_text.main_text(page, html_text.PRIOR).split("\n") == PARAGRAPHS
+
+
+def test_lists_of_an_article_stay():
+    page = f"<article>{BODY}<ul><li>Item one<li>Item two</ul>{BODY}</article>"
+    assert html_text.main_text(page, html_text.PRIOR).split("\n") == [*PARAGRAPHS, "Item one", "Item two", *PARAGRAPHS]
+
+
 def test_minimum_cut_equals_trying_all_labels():
     rng = random.Random(8)
     for _ in range(150):
