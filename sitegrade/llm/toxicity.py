@@ -38,8 +38,8 @@ class Sample:
     toxic_documents: int = 1500
     clean_documents: int = 3000
     longest_text: int = 12_000  # characters; longer texts do not train, they are only scored
-    field_documents: int = 400  # of each label, for the field itself
-    field_words: int = 800
+    field_documents: int = 400  # of each label, for the field itself; forms they lack come on top
+    field_words: int = 800  # longer texts train by windows of at most so many words
     rounds: int = 40
     refits: int = 2  # further fits, each with the clean texts the last one is unsure of
 
@@ -120,8 +120,9 @@ def toxic_forms(toxic: list[str], clean: list[str]) -> set[int]:
     return set(values[sure].tolist())
 
 
-def is_toxic(token: str, found: set[int]) -> bool:
-    return any(xxhash.xxh3_64_intdigest(f) in found for f in forms(token))
+def marked_forms(token: str, found: set[int]) -> set[int]:
+    """The toxic ones among the forms of a token."""
+    return found.intersection(map(xxhash.xxh3_64_intdigest, forms(token)))
 
 
 def forward_backward(
@@ -285,15 +286,64 @@ def _train_layer(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     return tuple(w.tolist())
 
 
-def _short_texts(rows: list, label: int, sample: Sample) -> list[list[str]]:
-    """The words of the first texts of a label that are short enough to fit."""
-    found: list[list[str]] = []
+def _windows(at: list[int], count: int, longest: int) -> list[slice]:
+    """Windows of 50 words either side of the places ``at``; none overlap or exceed ``longest``."""
+    runs: list[list[int]] = []
+    for i in at:
+        low, high = max(0, i - 50), min(count, i + 51)
+        if runs and low <= runs[-1][1]:
+            runs[-1][1] = high
+        else:
+            runs.append([low, high])
+    return [slice(i, min(i + longest, high)) for low, high in runs for i in range(low, high, longest)]
+
+
+def field_texts(
+    rows: list, found: set[int], sample: Sample
+) -> tuple[list[list[str]], list[np.ndarray], list[list[str]]]:
+    """Words and marks of toxic texts, and words of clean ones, to train the field on.
+
+    The first texts of each label are taken in the order of ``rows``. A toxic
+    text that is too long gives the windows around its marked words, a clean one
+    a window at a place told by its hash. Later toxic texts give the windows
+    around the marked forms that those before them lack, so no form is left out.
+    """
+    memo: dict[str, set[int]] = {}
+    bad, marks, good = [], [], []
+    covered: set[int] = set()
+    texts = 0
     for r in rows:
-        if r["y"] == label and len(found) < sample.field_documents:
-            words = r["text"].split()
-            if 0 < len(words) <= sample.field_words:
-                found.append(words)
-    return found
+        words = r["text"].split()
+        if not words:
+            continue
+        if r["y"] != 1:
+            if len(good) < sample.field_documents:
+                room = max(0, len(words) - sample.field_words)
+                at = zlib.crc32(r["text"].encode("utf-8", "surrogatepass")) % (room + 1)
+                good.append(words[at:at + sample.field_words])
+            continue
+        for w in words:
+            if w not in memo:
+                memo[w] = marked_forms(w, found)
+        first = texts < sample.field_documents
+        if first and len(words) <= sample.field_words:
+            parts = [slice(0, len(words))]
+        else:
+            places = []
+            known = set() if first else set(covered)
+            for i, w in enumerate(words):
+                if memo[w] - known:
+                    places.append(i)
+                    if not first:
+                        known |= memo[w]
+            parts = _windows(places, len(words), sample.field_words)
+        texts += bool(parts)
+        for part in parts:
+            some = words[part]
+            bad.append(some)
+            marks.append(np.array([bool(memo[w]) for w in some]))
+            covered.update(*(memo[w] for w in some))
+    return bad, marks, good
 
 
 def train(
@@ -316,14 +366,14 @@ def train(
         documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
         .where(F.length("text") <= sample.longest_text)
         .join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
-        .dropDuplicates(["doc_id"]).collect()
+        .dropDuplicates(["doc_id"]).withColumn("order", F.xxhash64("doc_id")).collect()
     )
-    rows.sort(key=lambda r: r["doc_id"])
+    # by the order that chose them, which no source or language follows
+    rows.sort(key=lambda r: (r["order"], r["doc_id"]))
     found = toxic_forms(*(one_of_each([r["text"] for r in rows if r["y"] == y]) for y in (1, 0)))
     if not found:
         return Model(np.zeros(BUCKETS, np.float32), np.zeros((2, 2)), -8.0, (-4.0, 0.0, 0.0))
-    bad, good = (_short_texts(rows, y, sample) for y in (1, 0))
-    marks = [np.array([is_toxic(w, found) for w in words]) for words in bad]
+    bad, marks, good = field_texts(rows, found, sample)
     for fit in range(sample.refits + 1):
         weights, transitions, start = train_field(
             bad + good, marks + [np.zeros(len(w), bool) for w in good], sample.rounds)

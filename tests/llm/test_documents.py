@@ -8,6 +8,7 @@ import re
 import zlib
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -111,6 +112,34 @@ def _labelled(rng, n):
     return docs, labels
 
 
+@pytest.mark.parametrize("field", [
+    {"field_documents": 8},  # far fewer than the toxic texts
+    {"field_words": 4},  # all texts are longer
+])
+def test_toxic_forms_of_all_ids_and_of_long_texts_are_learnt(spark, field):
+    rng = random.Random(4)
+    docs, labels = _labelled(rng, 900)
+    docs = [(i, t if i < 450 else t.replace("grobul", "zinkar"), *x) for i, t, *x in docs]
+    df = spark.createDataFrame(docs, "doc_id long, text string, score string, predicted double")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text string")
+    model = toxicity.train(df, marks, toxicity.Sample(**field))
+    truth = {i: t for i, _, t, _ in labels}
+    got = toxicity.score_documents(df, model).collect()
+    for held in ([r for r in got if r.held_out and (r.doc_id < 450) == early] for early in (True, False)):
+        assert sum(r.predicted == truth[r.doc_id] for r in held) >= 0.97 * len(held)
+
+
+def test_field_texts_hold_every_form_and_whole_marks():
+    texts = [" ".join([f"bad{i}"] * 2 + ["word"] * 300 + [f"bad{i}"]) for i in range(30)]
+    rows = [{"text": t, "y": 1} for t in texts] + [{"text": "so " * 900, "y": 0}]
+    found = {xxhash.xxh3_64_intdigest(f"=bad{i}") for i in range(30)}
+    sample = toxicity.Sample(field_documents=3, field_words=40)
+    bad, marks, good = toxicity.field_texts(rows, found, sample)
+    assert {w for words in bad for w in words} == {"word"} | {f"bad{i}" for i in range(30)}
+    assert max(map(len, bad)) <= 40 and [len(w) for w in good] == [40]
+    assert all(m == w.startswith("bad") for words, flags in zip(bad, marks) for w, m in zip(words, flags))
+
+
 def test_toxicity_on_the_held_out_fold(spark):
     docs, labels = _labelled(random.Random(3), 600)
     odd = [(10_000, None, "", 0.0), (10_001, "", "", 0.0), (None, "grobulo1 alone", "", 0.0), docs[0],
