@@ -12,7 +12,7 @@ from sitegrade.functions.clean import bounded_list
 from sitegrade.functions.geometry import cell_volume, generated_scope, orthogonal_matrix, site_symmetry
 from sitegrade.operators import contacts as con
 from sitegrade.operators.inventory import overfull_sites
-from sitegrade.operators.lookup import literature
+from sitegrade.operators.lookup import literature, residue_classes
 from sitegrade.operators.radius import coincident_images, nearest_neighbors, radius_join
 from sitegrade.session import cut_lineage
 
@@ -240,14 +240,15 @@ GROUP BY m.entry_id, m.chain_index, m.residue_index, m.atom_index
 
 # ---- candidates ----------------------------------------------------------------
 def contact_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explicit_stage(spark, sf_dir).select(
+    stage = con.with_neighbor_class(explicit_stage(spark, sf_dir), residue_classes(spark))
+    return stage.select(
         "entry_id", "m_atom_index", "n_atom_index", fixed("distance").alias("distance"),
         "inferred_donor_rule", "reference_kind", "assignment_reference",
         fixed("target").alias("target"), fixed("first_sphere_cutoff").alias("cutoff"),
         "eligibility_status", "eligibility_reason", "first_sphere_eligible",
         "inferred_contact_eligible",
         F.array_join(con.contact_reasons(False), "|").alias("context_reasons"),
-        con.neighbor_class(F.col("n_is_water"), F.col("n_residue_name")).alias("neighbor_class"),
+        "neighbor_class",
     )
 
 

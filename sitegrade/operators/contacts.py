@@ -670,13 +670,14 @@ def coordination_status(declared: Column, inferred: Column) -> Column:
     return first_label([(declared, "declared"), (inferred, "inferred")], "unassigned")
 
 
-def neighbor_class(water: Column, residue: Column) -> Column:
-    """Coarse chemical class of a donor residue."""
-    return first_label(
-        [
-            (water, "water"),
-            (residue.isin(*vocab.NUCLEOTIDES), "nucleotide"),
-            (residue.isin(*vocab.AMINO_ACIDS, *vocab.MODIFIED_AMINO_ACIDS), "amino_acid"),
-        ],
-        "other",
-    )
+def with_neighbor_class(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Add the coarse chemical class of a donor residue; ``other`` if no class is told.
+
+    ``classes`` holds ``residue_name, residue_class``, one row per component.
+    """
+    named = classes.select(
+        F.col("residue_name").alias("n_residue_name"), F.col("residue_class").alias("__class"))
+    return rows.join(named, "n_residue_name", "left").withColumn(
+        "neighbor_class",
+        F.when(F.col("n_is_water"), F.lit("water")).otherwise(F.coalesce("__class", F.lit("other"))),
+    ).drop("__class")

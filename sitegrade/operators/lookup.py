@@ -18,6 +18,23 @@ def literature(spark: SparkSession) -> DataFrame:
     return rows
 
 
+def residue_classes(spark: SparkSession, table: DataFrame | None = None) -> DataFrame:
+    """One row per component: ``residue_name, residue_class`` (nucleotide or amino_acid).
+
+    ``table`` is the class table of all components, named in upper case; the few
+    bundled names only fill in what it lacks. A component of both classes is a
+    nucleotide.
+    """
+    bundled = spark.createDataFrame(
+        [(n, "nucleotide") for n in vocab.NUCLEOTIDES]
+        + [(n, "amino_acid") for n in (*vocab.AMINO_ACIDS, *vocab.MODIFIED_AMINO_ACIDS)],
+        "residue_name string, residue_class string")
+    if table is None:
+        return bundled
+    told = table.groupBy("residue_name").agg(F.max("residue_class").alias("residue_class"))
+    return told.unionByName(bundled.join(told, "residue_name", "left_anti"))
+
+
 def longest_target(reference: DataFrame, keys: Sequence[str], value: str = "mu") -> DataFrame:
     """The largest reference value per coarse key."""
     return reference.groupBy(*keys).agg(F.max(value).alias("fallback_target"))

@@ -11,6 +11,7 @@ from sitegrade import vocab
 from sitegrade.functions.geometry import generated_scope
 from sitegrade.functions.ids import contact_id, site_id, symmetry_code
 from sitegrade.operators import contacts as con
+from sitegrade.operators.lookup import residue_classes
 from sitegrade.operators.radius import nearest_neighbors
 from sitegrade.session import cut_lineage
 
@@ -107,7 +108,7 @@ def _common_columns() -> dict[str, Column]:
         "metal_model_index": F.lit(0),
         "neighbor_model_index": F.lit(0),
         "neighbor_b_iso": F.col("n_b_iso"),
-        "neighbor_class": con.neighbor_class(F.col("n_is_water"), F.col("n_residue_name")),
+        "neighbor_class": F.col("neighbor_class"),
         "symmetry_image_index": F.col("image_index"),
         "cell_translation_x": F.col("tx"),
         "cell_translation_y": F.col("ty"),
@@ -269,6 +270,7 @@ def analyze_contacts(
     cells: DataFrame | None = None,
     operations: DataFrame | None = None,
     declared: DataFrame | None = None,
+    components: DataFrame | None = None,
 ) -> ContactTables:
     """Candidate, bond and site tables of all entries.
 
@@ -277,7 +279,10 @@ def analyze_contacts(
     ``operations`` only deposited coordinates are searched; with them the
     image-inclusive scope is primary for every entry that has them.
     ``declared`` holds placed candidate rows of declared connections.
+    ``components`` (``residue_name, residue_class``) classes the residues of
+    declared neighbours; without it only the bundled names are known.
     """
+    classes = residue_classes(atoms.sparkSession, components)
     atoms = cut_lineage(atoms)
     metals, donors = con.metals_of(atoms), con.donors_of(atoms)
     near = None if declared is None else declared.where(~F.col("symmetry_contact"))
@@ -304,7 +309,10 @@ def analyze_contacts(
             wide.unionByName(own.join(rest, "entry_id", "left_semi"))
             for wide, own in ((image.candidates, explicit.candidates), (image.contacts, explicit.contacts))
         ))
-    bonds = cut_lineage(bond_table(_identified(_ncs_ids(primary.contacts, operations))))
-    candidates = candidate_table(_identified(_ncs_ids(primary.candidates, operations)), bonds)
+    contacts, found = (
+        con.with_neighbor_class(_identified(_ncs_ids(rows, operations)), classes)
+        for rows in (primary.contacts, primary.candidates))
+    bonds = cut_lineage(bond_table(contacts))
+    candidates = candidate_table(found, bonds)
     everyone = con._prefixed(atoms.where(con.is_metal()), "m_")
     return ContactTables(candidates, bonds, site_table(everyone, explicit, primary, entries))

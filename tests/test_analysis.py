@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from sitegrade.functions.geometry import orthogonal_matrix
 from sitegrade.operators import declared as dec
 from sitegrade.operators import inventory as inv
-from sitegrade.operators.contacts import as_explicit
-from sitegrade.operators.lookup import literature
+from sitegrade.operators.contacts import as_explicit, with_neighbor_class
+from sitegrade.operators.lookup import literature, residue_classes
 from sitegrade.plans.contacts import analyze_contacts
 from sitegrade.session import cut_lineage
 
@@ -109,6 +109,26 @@ def test_images_and_declarations(spark, atoms, entries):
     assert override[0].connection_id == "l1" and override[0].zscore is None
 
 
+def test_residue_classes_come_from_the_component_table(spark):
+    rows = spark.createDataFrame(
+        [("PSU", False), ("5MC", False), ("HYP", False), ("HIS", False), ("DA", False), ("XYZ", False), ("DOD", True), (None, False)],
+        "n_residue_name string, n_is_water boolean")
+    table = spark.createDataFrame(
+        [("PSU", "nucleotide"), ("5MC", "nucleotide"), ("5MC", "nucleotide"), ("HYP", "amino_acid")],
+        "residue_name string, residue_class string")
+    got = with_neighbor_class(rows, residue_classes(spark, table)).collect()
+    assert sorted((r.n_residue_name or "", r.neighbor_class) for r in got) == [
+        ("", "other"), ("5MC", "nucleotide"), ("DA", "nucleotide"), ("DOD", "water"), ("HIS", "amino_acid"),
+        ("HYP", "amino_acid"), ("PSU", "nucleotide"), ("XYZ", "other")]
+
+
+def test_component_table_reaches_both_tables(spark, atoms, entries):
+    told = spark.createDataFrame([("TRP", "nucleotide")], "residue_name string, residue_class string")
+    result = analyze_contacts(atoms, entries, literature(spark), components=told)
+    assert {r.neighbor_class for r in result.candidates.where("neighbor_resname = 'TRP'").collect()} == {"nucleotide"}
+    assert {r.neighbor_class for r in result.bonds.where("neighbor_resname = 'HIS'").collect()} == {"amino_acid"}
+
+
 def test_entries_without_an_image_search_keep_the_explicit_scope(spark, atoms, entries):
     """A cell without a search, and a search without a cell: explicit scope, no repeats."""
     cell = spark.createDataFrame(
