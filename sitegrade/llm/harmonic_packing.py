@@ -20,7 +20,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 from math import ceil
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
@@ -28,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitegrade.llm.common import arrow_schema, cut_lineage
-from sitegrade.llm.pieces import Pieces
+from sitegrade.llm.pieces import worker_pieces
 
 CAPACITY = 2048
 _PIECE_COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
@@ -131,7 +130,8 @@ def pack(
     arrow = arrow_schema(schema + ", task int")
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(tokenizer, lower=True)
+        pieces = worker_pieces(tokenizer, lower=True)
+        last = end_id.to_bytes(4, "little")
         task = TaskContext.get().partitionId()
         bins = _Bins(_first_sequence(0, task))
 
@@ -147,12 +147,11 @@ def pack(
                 placed: list[tuple] = []
                 for doc, ids in zip(part.column(0).to_pylist(),
                                     pieces.ids(part.column(1).to_pylist()), strict=True):
-                    ids.append(end_id)
-                    data = np.array(ids, dtype="<u4").tobytes()
-                    start = 0
-                    for length in cut_points(len(ids), capacity, min_fill):
-                        crc = zlib.crc32(data[4 * start:4 * (start + length)])
-                        placed += bins.add(capacity // length, (doc, start, length, crc, len(ids)))
+                    ids += last
+                    total, start = len(ids) // 4, 0
+                    for length in cut_points(total, capacity, min_fill):
+                        crc = zlib.crc32(ids[4 * start:4 * (start + length)])
+                        placed += bins.add(capacity // length, (doc, start, length, crc, total))
                         start += length
                 if placed:
                     yield out(placed)

@@ -1,4 +1,4 @@
-"""Pre-tokens of two public tokenizers, cut and encoded with a per-task memory.
+"""Pre-tokens of two public tokenizers, cut and encoded with a worker's memory.
 
 Cutting uses plain character classes for texts of Latin letters and common
 punctuation; every other text, and every text holding a special string, goes to
@@ -8,8 +8,11 @@ the tokenizer library whole, so results are always the library's own.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from itertools import chain
 
+import numpy as np
+
 #: Code points U+0000 to U+02AF by class, and common punctuation.
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ʯ"
 NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
@@ -39,11 +42,12 @@ def _byte_alphabet() -> dict[int, str]:
 
 
 class Pieces:
-    """Cuts texts into pre-tokens and encodes each distinct one once per task.
+    """Cuts texts into pre-tokens and encodes each distinct one once.
 
-    ``known`` maps a pre-token to its ids. It starts from a broadcast table of
-    frequent pre-tokens and grows with what the task meets; beyond ``limit``
-    entries it falls back to the frequent ones, so memory stays bounded.
+    ``known`` maps a pre-token to its ids (32-bit little-endian, as bytes) or to
+    their number. It starts from a broadcast table of frequent pre-tokens and
+    grows with what the worker meets; beyond ``limit`` entries it falls back to
+    the frequent ones, so memory stays bounded.
     """
 
     def __init__(self, path: str, lower: bool, frequent: dict | None = None,
@@ -67,6 +71,12 @@ class Pieces:
         self.find = (_WORD_PIECES if lower else _BYTE_PIECES).findall
         self.unusual = (_UNUSUAL_CASE if lower else _UNUSUAL).search
 
+    def start_from(self, frequent: dict) -> None:
+        """Take over a table of frequent pre-tokens, once."""
+        if self.frequent is not frequent:
+            self.frequent = frequent
+            self.known.update(frequent)
+
     def cut(self, text: str) -> list[str] | None:
         """The pre-tokens of a text, or None where the library must cut."""
         if any(s in text for s in self.specials):
@@ -83,8 +93,9 @@ class Pieces:
             fresh = [p for p in pieces if p not in known]
         for piece in fresh:
             spelled = piece.encode().decode("latin-1").translate(self.alphabet)
-            ids = tuple(t.id for t in tokenize(spelled))
-            known[piece] = len(ids) if self.counts_only else ids
+            tokens = tokenize(spelled)
+            known[piece] = len(tokens) if self.counts_only else b"".join(
+                [t.id.to_bytes(4, "little") for t in tokens])
 
     def lengths(self, texts: list[str]) -> list[int]:
         """Token counts of whole texts."""
@@ -97,13 +108,24 @@ class Pieces:
             for t, p in zip(texts, cut, strict=True)
         ]
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        """Token ids of whole texts."""
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Token ids of whole texts, 32-bit little-endian."""
         cut = [self.cut(t) for t in texts]
         self.learn(set(chain.from_iterable(p for p in cut if p)))
         at = self.known.__getitem__
         return [
-            self.library.encode(t, add_special_tokens=False).ids
-            if p is None else list(chain.from_iterable(map(at, p)))
+            np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+            if p is None else b"".join(map(at, p))
             for t, p in zip(texts, cut, strict=True)
         ]
+
+
+@lru_cache(maxsize=2)
+def worker_pieces(path: str, lower: bool, counts_only: bool = False, table: int | None = None,
+                  ) -> Pieces:
+    """The pieces of this worker process, kept from task to task.
+
+    ``table`` numbers the broadcast table of frequent pre-tokens in use; its
+    content is given to ``start_from`` by the first task that needs it.
+    """
+    return Pieces(path, lower, counts_only=counts_only)

@@ -1,12 +1,13 @@
 """Token counts of whole texts by a two-tier lookup on the map side.
 
 Tier one is a broadcast table of the lengths of frequent pre-tokens, tier two a
-bounded memory in each task for the rest. No pre-token is ever shuffled: one
+bounded memory in each worker process for the rest. No pre-token is ever shuffled: one
 narrow scan gives the counts.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitegrade.llm.common import map_batches
-from sitegrade.llm.pieces import Pieces
+from sitegrade.llm.pieces import Pieces, worker_pieces
 
 #: Bounds of the frequent table: it never exceeds ENTRIES pre-tokens of at most
 #: LONGEST characters, whatever the corpus (some 4 MB).
@@ -76,9 +77,11 @@ def count_tokens(
     if frequent is None:
         frequent = frequent_lengths(documents, tokenizer, text)
     shared = documents.sparkSession.sparkContext.broadcast(frequent)
+    number = uuid.uuid4().int  # worker memories never mix two tables
 
     def make():
-        pieces = Pieces(tokenizer, lower=False, frequent=shared.value, counts_only=True)
+        pieces = worker_pieces(tokenizer, False, True, number)
+        pieces.start_from(shared.value)
 
         def step(batch: pa.RecordBatch) -> dict:
             texts = batch.column("text")
