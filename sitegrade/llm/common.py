@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,7 +12,8 @@ from pyspark.sql.types import StructType
 
 from sitegrade.session import cut_lineage, ensure_checkpoint_dir
 
-__all__ = ["arrow_schema", "cut_lineage", "ensure_checkpoint_dir", "map_batches", "table"]
+__all__ = ["arrow_schema", "cut_lineage", "drop_folder", "ensure_checkpoint_dir", "map_batches",
+           "shared_folder", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder of this name in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4()}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate rows that no later step reads."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     """The Arrow schema of a Spark schema text (on the driver; tasks get the result)."""
     return to_arrow_schema(StructType.fromDDL(ddl))

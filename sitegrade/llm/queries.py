@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sitegrade.llm.ball_tree import exact_top_k, grid_vectors
 from sitegrade.llm.chat_format import conversation_digests, text_part
+from sitegrade.llm.collocations import collocations
 from sitegrade.llm.common import table
 from sitegrade.llm.harmonic_packing import pack
 from sitegrade.llm.hilbert_search import nearest, usable_vectors
@@ -111,12 +112,57 @@ def op10_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, asked)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+WITH pieces AS MATERIALIZED (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\n\x0B\x0C\r]')) AS piece FROM documents)
+), f AS MATERIALIZED (
+  SELECT lang, k, words, count(*) AS a FROM (
+    SELECT lang, k, ws[i:i + k - 1] AS words
+    FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+          FROM pieces CROSS JOIN (VALUES (1), (2), (3), (4)) AS lengths(k) WHERE len(ws) >= k))
+  GROUP BY ALL
+), candidates AS MATERIALIZED (
+  SELECT * FROM f WHERE k >= 2 AND a >= 30
+), parts AS (
+  SELECT lang, words[i:i + m - 1] AS words, max(a) AS cover
+  FROM (SELECT lang, words, a, k, m, unnest(range(1, k - m + 2)) AS i
+        FROM (SELECT lang, words, a, k, unnest(range(2, k)) AS m FROM candidates))
+  GROUP BY ALL
+), cuts AS (
+  SELECT lang, words, k, a, unnest(range(1, k)) AS cut FROM candidates
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) AS place FROM (
+    SELECT c.lang, c.words, c.a, c.cut, l.a AS l, r.a AS r,
+           CAST((CAST(2000000 AS HUGEINT) * c.a) // (l.a + r.a) AS BIGINT) AS score
+    FROM cuts c
+    JOIN f l ON l.lang = c.lang AND l.words = c.words[1:c.cut]
+    JOIN f r ON r.lang = c.lang AND r.words = c.words[c.cut + 1:c.k])
+), ranked AS (
+  SELECT b.lang, array_to_string(b.words, ' ') AS phrase, b.a, b.l, b.r, b.score
+  FROM best b LEFT JOIN parts p ON p.lang = b.lang AND p.words = b.words
+  WHERE b.place = 1 AND (p.cover IS NULL OR 100 * p.cover < 80 * b.a)
+)
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked
+) JOIN (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang) USING (lang)
+WHERE rank <= 2000
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_piece_lattice, op2_token_counts, op3_exact_top_k, op4_chat_format, op5_html_text,
               op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing,
-              op9_secret_scan, op10_hilbert_neighbours)
+              op9_secret_scan, op10_hilbert_neighbours, op11_phrase_collocations)
 }
 
 #: Twins of the queries that SQL can express.
-ORACLES: dict[str, str] = {"op3_exact_top_k": OP3_SQL, "op4_chat_format": OP4_SQL}
+ORACLES: dict[str, str] = {
+    "op3_exact_top_k": OP3_SQL, "op4_chat_format": OP4_SQL, "op11_phrase_collocations": OP11_SQL}
