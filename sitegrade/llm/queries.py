@@ -135,15 +135,16 @@ WITH pieces AS MATERIALIZED (
   FROM (SELECT lang, words, a, k, m, unnest(range(1, k - m + 2)) AS i
         FROM (SELECT lang, words, a, k, unnest(range(2, k)) AS m FROM candidates))
   GROUP BY ALL
-), cuts AS (
-  SELECT lang, words, k, a, unnest(range(1, k)) AS cut FROM candidates
+), cuts AS MATERIALIZED (
+  SELECT *, words[1:cut] AS first_words, words[cut + 1:k] AS last_words
+  FROM (SELECT lang, words, k, a, unnest(range(1, k)) AS cut FROM candidates)
+), lefts AS MATERIALIZED (
+  SELECT c.*, f.a AS l FROM cuts c JOIN f ON f.lang = c.lang AND f.words = c.first_words
 ), best AS (
   SELECT *, row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) AS place FROM (
-    SELECT c.lang, c.words, c.a, c.cut, l.a AS l, r.a AS r,
-           CAST((CAST(2000000 AS HUGEINT) * c.a) // (l.a + r.a) AS BIGINT) AS score
-    FROM cuts c
-    JOIN f l ON l.lang = c.lang AND l.words = c.words[1:c.cut]
-    JOIN f r ON r.lang = c.lang AND r.words = c.words[c.cut + 1:c.k])
+    SELECT c.lang, c.words, c.a, c.cut, c.l, f.a AS r,
+           CAST((CAST(2000000 AS HUGEINT) * c.a) // (c.l + f.a) AS BIGINT) AS score
+    FROM lefts c JOIN f ON f.lang = c.lang AND f.words = c.last_words)
 ), ranked AS (
   SELECT b.lang, array_to_string(b.words, ' ') AS phrase, b.a, b.l, b.r, b.score
   FROM best b LEFT JOIN parts p ON p.lang = b.lang AND p.words = b.words
