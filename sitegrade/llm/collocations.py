@@ -33,8 +33,8 @@ COVERED = (80, 100)  # a longer phrase covers a part with 100 * f(longer) >= 80
 REPORTED = 2000  # phrases of a language that are returned
 #: Words a block of a relation holds; a longer text is one block.
 BLOCK = 1 << 17
-#: Occurrences whose groups a task sorts at once.
-HELD = 1 << 22
+#: Occurrences whose groups a task sorts at once (some 100 MB with what it makes of them).
+HELD = 1 << 20
 #: Frequent groups, and bytes of frequent words, that may be broadcast.
 SENT = 1 << 20
 _SENT_BYTES = 32 * SENT
@@ -136,13 +136,19 @@ def neighbours(places: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.n
     return places[at], groups[at], groups[at + 1]
 
 
-def runs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs in order: left, right, number of each, and the run of each occurrence."""
+def runs(left: np.ndarray, right: np.ndarray, places: bool = True) -> tuple:
+    """Distinct pairs in order: left, right, number of each, and the run of each occurrence.
+
+    Without ``places``, the last is left out where that saves an argument sort.
+    """
     if not len(left):
         return left, right, np.zeros(0, np.int64), np.zeros(0, np.int64)
     if max(left.max(), right.max()) < _NARROW:
         key = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
-        key, run, n = np.unique(key, return_inverse=True, return_counts=True)
+        if places:
+            key, run, n = np.unique(key, return_inverse=True, return_counts=True)
+        else:
+            run, (key, n) = None, np.unique(key, return_counts=True)
         return ((key >> np.uint64(32)).astype(np.int64), (key & np.uint64(_NARROW - 1)).astype(np.int64),
                 n, run)
     order = np.lexsort((right, left))
@@ -162,10 +168,13 @@ def count_pairs(relation: DataFrame) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
-        def counted() -> pa.RecordBatch:
-            left, right, n, _ = runs(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64()) for x in (left, right, n)], schema=schema)
+        def counted() -> Iterator[pa.RecordBatch]:
+            left, right = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            columns = runs(left, right, places=False)[:3]
+            for low in range(0, len(columns[0]), 1 << 16):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[low:low + (1 << 16)], pa.int64()) for x in columns], schema=schema)
 
         for batch in batches:
             for steps, groups in zip(batch.column(0), batch.column(1), strict=True):
@@ -173,10 +182,10 @@ def count_pairs(relation: DataFrame) -> DataFrame:
                 held.append((left, right))
                 size += len(left)
                 if size >= HELD:
-                    yield counted()
-                    held, size = [], 0
+                    yield from counted()
+                    size = 0
         if held:
-            yield counted()
+            yield from counted()
 
     return (relation.select("steps", "groups").mapInArrow(run, "left bigint, right bigint, n bigint")
             .groupBy("left", "right").agg(F.sum("n").alias("a")))
