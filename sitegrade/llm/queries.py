@@ -16,6 +16,7 @@ from sitegrade.llm.html_text import extract_pages
 from sitegrade.llm.near_duplicates import near_duplicates
 from sitegrade.llm.piece_lattice import encode_documents
 from sitegrade.llm.secrets import secret_report
+from sitegrade.llm.spelling import spelling_variants
 from sitegrade.llm.token_counts import count_tokens
 from sitegrade.llm.toxicity import toxicity
 
@@ -157,13 +158,68 @@ WHERE rank <= 2000
 """
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = """
+WITH RECURSIVE checksums AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, i:
+    CASE WHEN c % 2 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END)) AS byte_sums
+), runs AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS times FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL
+), summed AS (
+  SELECT run, times, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes), lambda c, b:
+      xor(c >> 8, byte_sums[(xor(c, b) & 255) + 1])), CAST(4294967295 AS BIGINT)) AS h
+  FROM (SELECT run, times, list_transform(range(0, length(digits) // 2), lambda i:
+          CAST(('0x' || substr(digits, 2 * i + 1, 2)) AS BIGINT)) AS bytes
+        FROM (SELECT run, times, hex(doc_id || ':' || run) AS digits FROM runs)), checksums
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM (
+    SELECT times, CASE WHEN h % 199 = 0
+      THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM summed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
+), cut AS MATERIALIZED (
+  SELECT word, n, word AS rest FROM words
+  UNION SELECT word, n, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS MATERIALIZED (
+  SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n
+  FROM cut a JOIN cut b ON a.rest = b.rest AND a.word <> b.word
+  WHERE levenshtein(a.word, b.word) = 1
+), best AS MATERIALIZED (
+  SELECT word, n, count(*) AS n_near, min((-near_n, near)) AS first FROM near GROUP BY word, n
+), forms AS MATERIALIZED (
+  SELECT word, n_near, CASE WHEN -first[1] >= 5 * n THEN first[2] END AS form,
+         CASE WHEN -first[1] >= 5 * n THEN -first[1] END AS form_n FROM best
+), chains AS (
+  SELECT word, form AS root FROM forms WHERE form IS NOT NULL
+  UNION ALL
+  SELECT c.word, f.form FROM chains c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+), ends AS (
+  SELECT c.word, c.root FROM chains c LEFT JOIN forms f ON f.word = c.root WHERE f.form IS NULL
+)
+SELECT w.word, f.form, coalesce(e.root, w.word) AS root, w.n,
+       CAST(coalesce(f.n_near, 0) AS BIGINT) AS n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM words w LEFT JOIN forms f USING (word) LEFT JOIN ends e USING (word)
+"""
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_piece_lattice, op2_token_counts, op3_exact_top_k, op4_chat_format, op5_html_text,
               op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing,
-              op9_secret_scan, op10_hilbert_neighbours, op11_phrase_collocations)
+              op9_secret_scan, op10_hilbert_neighbours, op11_phrase_collocations,
+              op12_spelling_variants)
 }
 
 #: Twins of the queries that SQL can express.
 ORACLES: dict[str, str] = {
-    "op3_exact_top_k": OP3_SQL, "op4_chat_format": OP4_SQL, "op11_phrase_collocations": OP11_SQL}
+    "op3_exact_top_k": OP3_SQL, "op4_chat_format": OP4_SQL, "op11_phrase_collocations": OP11_SQL,
+    "op12_spelling_variants": OP12_SQL}
