@@ -10,6 +10,7 @@ from sitegrade.llm.ball_tree import exact_top_k, grid_vectors
 from sitegrade.llm.chat_format import conversation_digests, text_part
 from sitegrade.llm.collocations import collocations
 from sitegrade.llm.common import table
+from sitegrade.llm.fingerprints import fingerprints
 from sitegrade.llm.harmonic_packing import pack
 from sitegrade.llm.hilbert_search import nearest, usable_vectors
 from sitegrade.llm.html_text import extract_pages
@@ -211,12 +212,16 @@ FROM words w LEFT JOIN forms f USING (word) LEFT JOIN ends e USING (word)
 """
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_piece_lattice, op2_token_counts, op3_exact_top_k, op4_chat_format, op5_html_text,
               op6_toxicity, op7_minhash_near_duplicates, op8_harmonic_packing,
               op9_secret_scan, op10_hilbert_neighbours, op11_phrase_collocations,
-              op12_spelling_variants)
+              op12_spelling_variants, op13_fingerprints)
 }
 
 #: Twins of the queries that SQL can express.
