@@ -54,11 +54,19 @@ def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived(spark, sf_dir, CONNECTIONS)
 
 
-def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: The same, the neighbour also in the metal's own residue, over all statements of the unit.
+IMAGE_CONNECTIONS = CONNECTIONS.replace("""  AND n.chain_index = (m.chain_index + 1) % 4 AND n.residue_index = (m.residue_index + 1) % 10
+""", """  AND ((n.chain_index = (m.chain_index + 1) % 4 AND n.residue_index = (m.residue_index + 1) % 10)
+    OR (n.chain_index = m.chain_index AND n.residue_index = m.residue_index AND n.source_order <> m.source_order))
+""").replace("m.source_order * 7 + n.source_order AS position", "m.source_order * 1000003 + n.source_order AS position"
+            ).replace("'same' AS asu", "split_part('same,any,different,', ',', CAST(n.source_order % 4 + 1 AS INT)) AS asu")
+
+
+def outcomes(spark: SparkSession, sf_dir: str, stated: DataFrame | None = None) -> DataFrame:
     source = cut_lineage(source_atoms(spark, sf_dir))
     selections = inv.residue_selections(source)
     contact = inv.contact_atoms(source, selections).drop("extra_records")
-    named = dec.unique_connection_ids(connections(spark, sf_dir))
+    named = dec.unique_connection_ids(connections(spark, sf_dir) if stated is None else stated)
     first = dec.resolve_partner(named, "p1", source, contact, selections)
     return cut_lineage(
         dec.declared_outcomes(dec.resolve_partner(first, "p2", source, contact, selections))
@@ -71,9 +79,13 @@ def connection_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_IDS_SQL = f"""conn AS ({plain(CONNECTIONS)}),
+def _ids_sql(text: str) -> str:
+    return f"""conn AS ({plain(text)}),
 named AS (SELECT * EXCLUDE (connection_id), CASE WHEN row_number() OVER (PARTITION BY entry_id, connection_id ORDER BY position) = 1
     THEN connection_id ELSE connection_id || '_' || position END AS connection_id FROM conn)"""
+
+
+_IDS_SQL = _ids_sql(CONNECTIONS)
 _add("connection_ids", connection_ids, f"WITH {_IDS_SQL} SELECT entry_id, position, connection_id FROM named")
 
 
@@ -191,6 +203,122 @@ FROM prox p FULL OUTER JOIN decl d ON p.entry_id = d.entry_id AND p.ma = d.ma AN
 LEFT JOIN rules r ON r.entry_id = d.entry_id AND r.ma = d.ma AND r.na = d.na""")
 
 
+# ---- declared connections on symmetry images -----------------------------------
+def _searched_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of the entries whose images are searched; every seventh entry has none."""
+    return bc.cells(spark, sf_dir).where("entry_no % 7 <> 0")
+
+
+def placed_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stated = derived(spark, sf_dir, IMAGE_CONNECTIONS)
+    return cut_lineage(dec.place_declared(
+        outcomes(spark, sf_dir, stated), _searched_cells(spark, sf_dir), bc.operations(spark, sf_dir)))
+
+
+def declared_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every resolved declaration lies: image, scope, distance, issue, warnings."""
+    at = F.col("placement") == "placed"
+    return placed_connections(spark, sf_dir).select(
+        "entry_id", "position", "placement", *[F.when(at, F.col(c)).alias(c) for c in (
+            "image_index", "tx", "ty", "tz", "contact_scope")],
+        F.when(at, fixed("distance", 5)).alias("distance"), "issue",
+        F.array_join("warnings", "|").alias("warnings"))
+
+
+_PLACED_CTE = f"""{bc._IMAGE_CTE}, {_OUTCOME_CTE.replace(SELECTION_CTE + ",", "", 1).replace(_IDS_SQL, _ids_sql(IMAGE_CONNECTIONS), 1)},
+usable AS (
+  SELECT d.*, n.asu, CAST(substr(d.entry_id, 2) AS BIGINT) AS no, outcome = 'own_residue' AS own,
+    CASE WHEN m1 THEN ax ELSE bx END AS mx, CASE WHEN m1 THEN ay ELSE by_ END AS my, CASE WHEN m1 THEN az ELSE bz END AS mz,
+    CASE WHEN m1 THEN bx ELSE ax END AS nx, CASE WHEN m1 THEN by_ ELSE ay END AS ny, CASE WHEN m1 THEN bz ELSE az END AS nz_,
+    CASE WHEN CAST(substr(d.entry_id, 2) AS BIGINT) % 2 = 0 THEN cos(radians(90e0)) ELSE cos(radians(105e0)) END AS cb
+  FROM decided d JOIN named n ON n.entry_id = d.entry_id AND n.position = d.position
+  WHERE outcome IN ('candidate', 'own_residue')
+),
+turned AS (
+  SELECT u.entry_id, u.position, u.cb, u.mx, u.my, u.mz, o.image_index, o.is_ncs, u.asu,
+    o.a * ((nx - 18e0 * cb * (nz_ / (18e0 * sqrt(1 - cb * cb)))) / 20e0) + o.t1 AS gu,
+    o.b * (ny / 19e0) + o.t2 AS gv, o.c * (nz_ / (18e0 * sqrt(1 - cb * cb))) + o.t3 AS gw,
+    (mx - 18e0 * cb * (mz / (18e0 * sqrt(1 - cb * cb)))) / 20e0 AS lu, my / 19e0 AS lv,
+    mz / (18e0 * sqrt(1 - cb * cb)) AS lw
+  FROM usable u JOIN ops o ON u.no % 2 = o.parity AND (NOT o.is_ncs OR u.no % 5 = 0)
+  WHERE u.no % 7 <> 0 AND u.asu <> 'same'
+),
+set_down AS (
+  SELECT *, CAST(round(lu - gu) AS INT) AS tx, CAST(round(lv - gv) AS INT) AS ty, CAST(round(lw - gw) AS INT) AS tz FROM turned
+),
+gaps AS (
+  SELECT *, sqrt((20e0 * (gu + tx) + 18e0 * cb * (gw + tz) - mx) ** 2 + (19e0 * (gv + ty) - my) ** 2
+    + (18e0 * sqrt(1 - cb * cb) * (gw + tz) - mz) ** 2) AS d
+  FROM set_down
+),
+image_of AS (
+  SELECT * FROM gaps WHERE NOT (asu = 'different' AND image_index = 0 AND tx = 0 AND ty = 0 AND tz = 0)
+  QUALIFY row_number() OVER (PARTITION BY entry_id, position ORDER BY floor(d * 1e6 + 0.5e0), image_index) = 1
+),
+put AS (
+  SELECT u.*, i.image_index, i.is_ncs, i.tx, i.ty, i.tz, i.d AS image_d, u.no % 7 <> 0 AS searched,
+    coalesce(i.image_index <> 0 OR i.tx <> 0 OR i.ty <> 0 OR i.tz <> 0, FALSE) AS made,
+    i.image_index % (CASE WHEN u.no % 2 = 0 THEN 4 ELSE 2 END) <> 0 OR i.tx <> 0 OR i.ty <> 0 OR i.tz <> 0 AS crystal
+  FROM usable u LEFT JOIN image_of i ON i.entry_id = u.entry_id AND i.position = u.position
+),
+placed AS (
+  SELECT *, CASE WHEN asu = 'different' AND NOT made THEN 'unplaced' WHEN own AND NOT made THEN 'own_residue' ELSE 'placed' END AS placement,
+    CASE WHEN made THEN image_index ELSE 0 END AS pi, CASE WHEN made THEN tx ELSE 0 END AS ptx,
+    CASE WHEN made THEN ty ELSE 0 END AS pty, CASE WHEN made THEN tz ELSE 0 END AS ptz,
+    CASE WHEN made THEN image_d ELSE sqrt((mx - nx) * (mx - nx) + (my - ny) * (my - ny) + (mz - nz_) * (mz - nz_)) END AS pd,
+    CASE WHEN NOT made THEN 'explicit' WHEN is_ncs AND crystal THEN 'strict_ncs_and_crystallographic' WHEN is_ncs THEN 'strict_ncs'
+      WHEN crystal THEN 'crystallographic' ELSE 'explicit' END AS scope
+  FROM put
+)"""
+_add("declared_images", declared_images, f"""WITH {_PLACED_CTE}
+SELECT entry_id, position, placement, CASE WHEN placement = 'placed' THEN pi END AS image_index,
+  CASE WHEN placement = 'placed' THEN ptx END AS tx, CASE WHEN placement = 'placed' THEN pty END AS ty,
+  CASE WHEN placement = 'placed' THEN ptz END AS tz, CASE WHEN placement = 'placed' THEN scope END AS contact_scope,
+  CASE WHEN placement = 'placed' THEN {fixed_sql("pd", 5)} END AS distance,
+  CASE WHEN placement = 'unplaced' THEN 'LINK ' || connection_id || ' geometry unresolved: '
+    || CASE WHEN searched THEN 'no image in a different unit' ELSE 'symmetry metadata unavailable' END END AS issue,
+  concat_ws('|', CASE WHEN placement <> 'own_residue' AND swapped AND (ev OR m1 OR m2) THEN 'declared_connection_conformer_substituted' END,
+    CASE WHEN placement = 'placed' AND coalesce(nz, FALSE) THEN 'declared_connection_zero_occupancy_partner' END,
+    CASE WHEN placement = 'placed' AND NOT (nw OR nn IN ({_AMINO})) THEN 'declared_donor_outside_supported_classes' END) AS warnings
+FROM placed""")
+
+
+def merged_image_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Image-inclusive proximity and declared candidates, one row per atom image."""
+    atoms = bc.contact_table(spark, sf_dir)
+    frame = _searched_cells(spark, sf_dir)
+    proximity = con.image_candidates(
+        con.metals_of(atoms), con.donors_of(atoms), frame, bc.operations(spark, sf_dir))
+    declared = placed_connections(spark, sf_dir).where("placement = 'placed'").join(
+        frame.select("entry_id"), "entry_id", "left_semi").select(*proximity.columns)
+    return con.merge_candidates(proximity, declared).select(
+        "entry_id", "m_atom_index", "n_atom_index", "image_index", "tx", "ty", "tz",
+        fixed("distance", 5).alias("distance"), "contact_scope",
+        F.array_join("sources", "|").alias("sources"),
+        F.array_join(F.transform("declared", lambda d: d["connection_id"]), "|").alias("connection_ids"),
+        "donor_class_supported")
+
+
+_add("merged_image_candidates", merged_image_candidates, f"""WITH {_PLACED_CTE},
+decl AS (
+  SELECT entry_id, CASE WHEN m1 THEN fa ELSE fb END AS ma, CASE WHEN m1 THEN fb ELSE fa END AS na, pi, ptx, pty, ptz,
+    string_agg(connection_id, '|' ORDER BY connection_id) AS ids, bool_and(nw OR nn IN ({_AMINO})) AS supported,
+    any_value(pd) AS d, any_value(scope) AS scope
+  FROM placed WHERE placement = 'placed' AND searched GROUP BY ALL
+),
+prox AS (
+  SELECT entry_id, ma, na, image_index AS pi, tx AS ptx, ty AS pty, tz AS ptz, d,
+    CASE WHEN is_ncs AND crystal THEN 'strict_ncs_and_crystallographic' WHEN is_ncs THEN 'strict_ncs'
+         WHEN crystal THEN 'crystallographic' ELSE 'explicit' END AS scope
+  FROM image_pairs WHERE NOT (mc = nc AND mr = nr AND NOT generated) AND CAST(substr(entry_id, 2) AS BIGINT) % 7 <> 0
+)
+SELECT entry_id, ma AS m_atom_index, na AS n_atom_index, pi AS image_index, ptx AS tx, pty AS ty, ptz AS tz,
+  {fixed_sql("coalesce(p.d, d.d)", 5)} AS distance, coalesce(p.scope, d.scope) AS contact_scope,
+  CASE WHEN p.d IS NULL THEN 'LINK' WHEN d.ids IS NULL THEN 'proximity_4A' ELSE 'LINK|proximity_4A' END AS sources,
+  d.ids AS connection_ids, coalesce(d.supported, TRUE) AS donor_class_supported
+FROM prox p FULL OUTER JOIN decl d USING (entry_id, ma, na, pi, ptx, pty, ptz)""")
+
+
 def polymer_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line numbers as sequence positions, the order's largest as its length."""
     lines = table(spark, sf_dir, "lineitem")

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from sitegrade import vocab
 from sitegrade.functions.clean import first_label, labels
-from sitegrade.operators.contacts import ATOM_COLUMNS, is_metal
+from sitegrade.functions.geometry import (
+    apply_operation, distance, fractionalize, image_provenance, orthogonalize,
+)
+from sitegrade.operators.contacts import ATOM_COLUMNS
 from sitegrade.session import cut_lineage
 
 RESIDUE = ("entry_id", "chain_index", "residue_index")
@@ -204,8 +207,6 @@ def declared_outcomes(resolved: DataFrame) -> DataFrame:
         ],
         "candidate",
     )
-    supported = F.col("neighbor.is_water") | F.col("neighbor.residue_name").isin(*vocab.AMINO_ACIDS)
-    zero = F.col("neighbor.occupancy_valid") & (F.col("neighbor.occupancy") == 0)
     decided = flagged.withColumn("outcome", outcome)
     is_candidate = F.col("outcome") == "candidate"
     traced = F.col("outcome").isin(
@@ -223,49 +224,158 @@ def declared_outcomes(resolved: DataFrame) -> DataFrame:
     return decided.withColumns(
         {
             "issue": issue,
-            "donor_class_supported": F.coalesce(supported, F.lit(False)),
-            "warnings": labels(
-                [
-                    (traced & F.col("substituted") & F.col("involves_metal"),
-                     "declared_connection_conformer_substituted"),
-                    (is_candidate & F.coalesce(zero, F.lit(False)),
-                     "declared_connection_zero_occupancy_partner"),
-                    (F.col("outcome") == "unsupported_element", "declared_donor_element_unsupported"),
-                    (is_candidate & ~F.coalesce(supported, F.lit(False)),
-                     "declared_donor_outside_supported_classes"),
-                ]
-            ),
+            "donor_class_supported": _supported_class(),
+            "warnings": _warnings(traced, is_candidate),
         }
     )
 
 
-def declared_pairs(outcomes: DataFrame) -> DataFrame:
-    """Candidate rows (``m_``, ``n_``, provenance) of the usable declarations.
+def _supported_class() -> Column:
+    """Whether the neighbour's residue class has reference distances."""
+    named = F.col("neighbor.is_water") | F.col("neighbor.residue_name").isin(*vocab.AMINO_ACIDS)
+    return F.coalesce(named, F.lit(False))
 
-    Geometry is added by ``as_explicit`` for pairs in one asymmetric unit, or
-    by an image search for the rest.
-    """
-    distance = F.when(F.col("reported_distance") > 0, F.col("reported_distance"))
+
+def _warnings(traced: Column, usable: Column) -> Column:
+    """Warnings of a declaration that leaves a trace, and of one that is a candidate."""
+    zero = F.col("neighbor.occupancy_valid") & (F.col("neighbor.occupancy") == 0)
+    return labels(
+        [
+            (traced & F.col("substituted") & F.col("involves_metal"),
+             "declared_connection_conformer_substituted"),
+            (usable & F.coalesce(zero, F.lit(False)), "declared_connection_zero_occupancy_partner"),
+            (F.col("outcome") == "unsupported_element", "declared_donor_element_unsupported"),
+            (usable & ~_supported_class(), "declared_donor_outside_supported_classes"),
+        ]
+    )
+
+
+def _pair_columns() -> list[Column]:
+    """Candidate columns (``m_``, ``n_``, provenance) of a resolved declaration."""
+    reported = F.when(F.col("reported_distance") > 0, F.col("reported_distance"))
     record = F.struct(
         "source", "connection_id", F.lower("connection_type").alias("connection_type"),
         F.trim("link_id").alias("link_id"), F.lower("asu").alias("asu"),
-        distance.alias("reported_distance"),
+        reported.alias("reported_distance"),
     )
-    kept = outcomes.where(F.col("outcome") == "candidate")
-    return kept.select(
-        "entry_id",
+    return [
+        F.col("entry_id"),
         *[F.col(f"metal.{c}").alias(f"m_{c}") for c in ATOM_COLUMNS],
         *[F.col(f"neighbor.{c}").alias(f"n_{c}") for c in (*ATOM_COLUMNS, "polymer_position")],
         F.array("source").alias("sources"),
         F.array(record).alias("declared"),
-        "donor_class_supported",
+        F.col("donor_class_supported"),
         F.lower("asu").alias("asu"),
-    )
+    ]
 
 
-def metals_by_entry(atoms: DataFrame) -> DataFrame:
-    """Selected metals per entry: the sites declarations may name."""
-    return atoms.where(is_metal()).groupBy("entry_id").agg(F.count(F.lit(1)).alias("n_metals"))
+def declared_pairs(outcomes: DataFrame) -> DataFrame:
+    """Candidate rows (``m_``, ``n_``, provenance) of the usable declarations.
+
+    Geometry is added by ``as_explicit`` for pairs in one asymmetric unit;
+    :func:`place_declared` also finds the image of pairs in different ones.
+    """
+    return outcomes.where(F.col("outcome") == "candidate").select(*_pair_columns())
+
+
+def nearest_images(pairs: DataFrame, cells: DataFrame, operations: DataFrame, keys: list[str]) -> DataFrame:
+    """The nearest image of each pair's second point around its first one.
+
+    ``pairs`` carries ``keys`` (``entry_id`` and more, unique), ``m_x, m_y, m_z``,
+    ``n_x, n_y, n_z`` and ``elsewhere``: whether the deposited position itself is
+    no answer. Each pair meets the operations of its own entry, each with the
+    whole-cell shift that brings the points within half a cell of one another
+    along every axis. Equal distances go to the lower operation. Returns the
+    keys with ``image_index, tx, ty, tz``, the image's position ``px, py, pz``,
+    and ``operation_count``; pairs without any image are missing.
+    """
+    matrix = cells.select("entry_id", "m11", "m12", "m13", "m22", "m23", "m33")
+    counted = operations.where(~F.col("is_ncs")).groupBy("entry_id").agg(
+        F.count(F.lit(1)).cast("int").alias("operation_count"))
+    framed = pairs.select(*keys, "elsewhere", *[f"{s}_{a}" for s in "mn" for a in "xyz"]).join(
+        matrix, "entry_id").join(counted, "entry_id")
+    sides = [F.col(f"{s}_{a}") for s in "mn" for a in "xyz"]
+    near, far = fractionalize(*sides[:3]), fractionalize(*sides[3:])
+    pointed = framed.withColumns(dict(zip(("lu", "lv", "lw", "ru", "rv", "rw"), (*near, *far), strict=True)))
+    met = pointed.join(operations, "entry_id")
+    moved = dict(zip(("gu", "gv", "gw"), apply_operation(*(F.col(f"r{x}") for x in "uvw")), strict=True))
+    shifts = {f"t{a}": F.round(F.col(f"l{u}") - F.col(f"g{u}")).cast("int") for a, u in zip("xyz", "uvw")}
+    placed = met.withColumns(moved).withColumns(shifts).withColumns(
+        {f"i{u}": F.col(f"g{u}") + F.col(f"t{a}") for a, u in zip("xyz", "uvw")})
+    position = orthogonalize(F.col("iu"), F.col("iv"), F.col("iw"))
+    placed = placed.withColumns(dict(zip(("px", "py", "pz"), position, strict=True)))
+    deposited = (F.col("image_index") == 0) & (F.col("tx") == 0) & (F.col("ty") == 0) & (F.col("tz") == 0)
+    gap = distance(tuple(sides[:3]), tuple(F.col(c) for c in ("px", "py", "pz")))
+    # equal up to arithmetic noise counts as equal
+    rank = F.struct(F.floor(gap * 1e6 + 0.5).alias("gap"), F.col("image_index"))
+    image = F.struct("image_index", "tx", "ty", "tz", "px", "py", "pz", "operation_count")
+    return placed.where(~(F.col("elsewhere") & deposited)).groupBy(*keys).agg(
+        F.min_by(image, rank).alias("image")).select(*keys, "image.*")
+
+
+def place_declared(
+    outcomes: DataFrame, cells: DataFrame | None = None, operations: DataFrame | None = None
+) -> DataFrame:
+    """Declarations whose partners resolved, at the image they name.
+
+    ``outcomes`` comes from :func:`declared_outcomes`. A declaration in the
+    ``same`` asymmetric unit keeps the deposited positions, one in a
+    ``different`` unit takes the nearest other image, any other statement the
+    nearest image of all. Images are searched in entries with a cell and
+    operations; elsewhere ``different`` cannot be placed, and the rest keep the
+    deposited positions. A neighbour in the metal's own residue counts only at
+    a generated image.
+
+    Adds to the candidate columns of :func:`declared_pairs` ``position``, the
+    geometry and image columns, ``placement`` (``placed``, ``own_residue`` or
+    ``unplaced``), and the final ``issue`` and ``warnings``.
+    """
+    usable = outcomes.where(F.col("outcome").isin("candidate", "own_residue"))
+    stated = F.lower(F.trim(F.coalesce("asu", F.lit(""))))
+    kept = cut_lineage(usable.select(
+        "position", F.concat_ws(" ", "source", "connection_id").alias("label"),
+        _warnings(F.lit(True), F.lit(True)).alias("warnings"),
+        _warnings(F.lit(True), F.lit(False)).alias("substitution"),
+        *_pair_columns(), stated.alias("stated")))
+    keys = ["entry_id", "position"]
+    if cells is None or operations is None:
+        joined = kept.withColumns({
+            "searched": F.lit(False), **{c: F.lit(None).cast("int") for c in ("image_index", "tx", "ty", "tz")},
+            **{c: F.lit(None).cast("double") for c in ("px", "py", "pz")},
+            "operation_count": F.lit(None).cast("int")})
+    else:
+        known = cells.select("entry_id").distinct().join(
+            operations.select("entry_id").distinct(), "entry_id").withColumn("searched", F.lit(True))
+        open_pairs = kept.where("stated <> 'same'").withColumn("elsewhere", F.col("stated") == "different")
+        images = nearest_images(open_pairs, cells, operations, keys)
+        joined = kept.join(known, "entry_id", "left").join(images, keys, "left").withColumn(
+            "searched", F.coalesce("searched", F.lit(False)))
+    generated = F.col("image_index").isNotNull() & (
+        (F.col("image_index") != 0) | (F.col("tx") != 0) | (F.col("ty") != 0) | (F.col("tz") != 0))
+    own = (F.col("m_chain_index") == F.col("n_chain_index")) & (
+        F.col("m_residue_index") == F.col("n_residue_index"))
+    found = joined.withColumn("generated", generated).withColumn("placement", first_label(
+        [
+            ((F.col("stated") == "different") & ~F.col("generated"), "unplaced"),
+            (own & ~F.col("generated"), "own_residue"),
+        ], "placed"))
+    # a pair at its deposited positions keeps them exactly
+    index = F.when(F.col("generated"), F.col("image_index")).otherwise(0)
+    shift = {c: F.when(F.col("generated"), F.col(c)).otherwise(0) for c in ("tx", "ty", "tz")}
+    spot = {f"p{a}": F.when(F.col("generated"), F.col(f"p{a}")).otherwise(F.col(f"n_{a}")) for a in "xyz"}
+    placed = found.withColumns({
+        "image_index": index, **shift, **spot, "operation_count": F.coalesce("operation_count", F.lit(1))})
+    reason = F.when(F.col("searched"), F.lit("no image in a different unit")).otherwise(
+        F.lit("symmetry metadata unavailable"))
+    lost = F.col("placement") == "unplaced"
+    none = F.array().cast("array<string>")
+    return placed.withColumns({
+        "distance": distance(tuple(F.col(f"m_{a}") for a in "xyz"), tuple(F.col(f"p{a}") for a in "xyz")),
+        **image_provenance("image_index", ("tx", "ty", "tz"), "operation_count"),
+        "issue": F.when(lost, F.concat("label", F.lit(" geometry unresolved: "), reason)),
+        "warnings": F.when(lost, F.col("substitution"))
+        .when(F.col("placement") == "own_residue", none).otherwise(F.col("warnings")),
+    }).drop("label", "substitution", "stated", "searched", "generated", "operation_count")
 
 
 # ---- residues and polymers -----------------------------------------------------
