@@ -21,7 +21,9 @@ from sitegrade.operators import reflections as ref
 from sitegrade.operators.distribution import value_histogram
 from sitegrade.session import cut_lineage, ensure_checkpoint_dir
 from sitegrade.sources import files as src
+from sitegrade.sources import tables
 from sitegrade.streaming import jobs
+from sitegrade.streaming.store import EntryStore
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -746,17 +748,159 @@ def stream_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 _add("stream_status_counts", stream_status_counts, "SELECT event_type, count(*) AS count FROM events GROUP BY event_type")
 
 
+def _waves(spark: SparkSession, rows: DataFrame, folder: str, wave: int) -> DataFrame:
+    """Write the rows of one wave and return the folder of all waves as a stream."""
+    rows.write.parquet(f"{folder}/wave={wave}")
+    return spark.readStream.schema(rows.schema).parquet(f"{folder}/wave=*")
+
+
+def stream_score_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders arrive in three batches that repeat sites, inside a batch and across batches."""
+    orders = table(spark, sf_dir, "orders")
+    frozen = cut_lineage(value_histogram(_orders_as_inputs(orders.where("o_orderkey % 2 = 0"))))
+    folder = _workspace(spark, "repeats")
+    for wave in range(3):
+        own = orders.where(F.col("o_orderkey") % 3 <= wave).withColumn(
+            "o_totalprice", F.col("o_totalprice") + 1000.0 * wave)
+        twice = own.where("o_orderkey % 5 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 60000.0)
+        arriving = _waves(spark, _orders_as_inputs(own.unionByName(twice)), f"{folder}/in", wave)
+        jobs.score_batches(arriving, frozen, f"{folder}/scores", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/scores").select(
+        "metal_site_id", "density_score", "geometry_score", "site_score", F.col("batch").cast("long").alias("batch"))
+
+
+_add("stream_score_repeats", stream_score_repeats, f"""
+WITH s AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 11 <> 0 THEN abs(o_totalprice - 250000e0) / 40000e0 END AS d,
+    CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice / 200000e0 END AS g FROM orders WHERE o_orderkey % 2 = 0),
+h AS (SELECT {exact_sql("d", 3)} AS d3, {exact_sql("g", 3)} AS g3 FROM s),
+came AS (
+  SELECT o_orderkey AS k, w AS batch, o_totalprice + 1000e0 * w + 60000e0 * t AS p
+  FROM orders, (VALUES (0), (1), (2)) AS waves(w), (VALUES (0), (1)) AS times(t)
+  WHERE o_orderkey % 3 = w AND (t = 0 OR o_orderkey % 5 = 0)
+),
+named AS (
+  SELECT *, CASE WHEN k % 11 <> 0 THEN abs(p - 250000e0) / 40000e0 END AS d, CASE WHEN k % 7 <> 0 THEN p / 200000e0 END AS g FROM came
+),
+kept AS (
+  SELECT * FROM named QUALIFY row_number() OVER (PARTITION BY k ORDER BY d NULLS FIRST, g NULLS FIRST) = 1
+),
+v AS (SELECT *, {exact_sql("d", 3)} AS d3, {exact_sql("g", 3)} AS g3 FROM kept),
+fd AS (SELECT d3 AS v, count(*) AS n, sum(count(*)) OVER (ORDER BY d3) AS u FROM h WHERE d3 IS NOT NULL GROUP BY d3),
+fg AS (SELECT g3 AS v, count(*) AS n, sum(count(*)) OVER (ORDER BY g3) AS u FROM h WHERE g3 IS NOT NULL GROUP BY g3),
+x AS (SELECT v.k, 100e0 * ((SELECT sum(n) FROM fd) - CASE WHEN f.v = v.d3 THEN f.u - 0.5e0 * f.n ELSE coalesce(f.u, 0) END) / (SELECT sum(n) FROM fd) AS r
+      FROM v ASOF LEFT JOIN fd f ON v.d3 >= f.v WHERE v.d3 IS NOT NULL),
+y AS (SELECT v.k, 100e0 * ((SELECT sum(n) FROM fg) - CASE WHEN f.v = v.g3 THEN f.u - 0.5e0 * f.n ELSE coalesce(f.u, 0) END) / (SELECT sum(n) FROM fg) AS r
+      FROM v ASOF LEFT JOIN fg f ON v.g3 >= f.v WHERE v.g3 IS NOT NULL),
+z AS (SELECT v.*, {exact_sql("x.r", 6)} AS ds, {exact_sql("y.r", 6)} AS gs FROM v LEFT JOIN x ON x.k = v.k LEFT JOIN y ON y.k = v.k)
+SELECT CAST(k AS VARCHAR) AS metal_site_id, ds AS density_score, gs AS geometry_score, least(ds, gs) AS site_score, batch FROM z""")
+
+
+def stream_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inputs accumulate over two waves; the cohort is refused, frozen, and then left alone."""
+    folder = _workspace(spark, "cohort")
+    inputs = _orders_as_inputs(table(spark, sf_dir, "orders")).withColumns({
+        "score_inputs_status": F.lit("complete"), "context_warning": F.lit(False),
+        "context_warning_reasons": F.lit("")})
+    rows = manifest(spark, sf_dir)
+    late = F.col("status").isin("skip", "error") | F.col("retryable")
+    finished = rows.withColumns({
+        "status": F.when(late, F.lit("ok")).otherwise(F.col("status")), "retryable": F.lit(False)})
+    steps = []
+    first = F.col("metal_site_id").cast("long") % 3 != 0
+    for step, (wave, told) in enumerate([(inputs.where(first), rows), (inputs.where(~first), finished), (None, finished)]):
+        if wave is not None:
+            arriving = _waves(spark, wave, f"{folder}/in", step)
+            jobs.collect_cohort(arriving, f"{folder}/inputs", f"{folder}/checkpoint").awaitTermination()
+        outcome = jobs.freeze_cohort(
+            spark, f"{folder}/inputs", f"{folder}/scores", f"{folder}/reference", told)
+        steps.append((step, *(outcome.get(c) for c in (
+            "score_status", "score_recoverable_entries", "input_row_count", "input_entry_count",
+            "density_reference_size", "geometry_reference_size"))))
+    return spark.createDataFrame(
+        steps, "step int, score_status string, score_recoverable_entries long, input_row_count long,"
+        " input_entry_count long, density_reference_size long, geometry_reference_size long")
+
+
+_add("stream_cohort", stream_cohort, f"""
+WITH m AS ({plain(MANIFEST)}),
+t AS (SELECT count(*) FILTER (status = 'skip' OR (status = 'partial' AND retryable)
+  OR (status = 'error' AND reason_text <> 'deterministic_processing_error')) AS open FROM m),
+c AS (SELECT count(*) AS n, count(DISTINCT o_custkey) AS e, count(*) FILTER (o_orderkey % 11 <> 0) AS d,
+  count(*) FILTER (o_orderkey % 7 <> 0) AS g FROM orders)
+SELECT 0 AS step, 'not_finalized_incomplete_run' AS score_status, open AS score_recoverable_entries,
+  CAST(NULL AS BIGINT) AS input_row_count, CAST(NULL AS BIGINT) AS input_entry_count,
+  CAST(NULL AS BIGINT) AS density_reference_size, CAST(NULL AS BIGINT) AS geometry_reference_size FROM t
+UNION ALL SELECT 1, 'finalized', 0, n, e, d, g FROM c
+UNION ALL SELECT 2, 'already_finalized', 0, n, e, d, g FROM c""")
+
+
 def stream_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two versions of an order table: the second replaces whole customers."""
-    folder = _workspace(spark, "replace")
+    """Two batches of results: the second replaces whole customers in the stored orders."""
+    store = EntryStore(spark, _workspace(spark, "replace"), ("sites", "manifest"))
     orders = table(spark, sf_dir, "orders").selectExpr("CAST(o_custkey AS STRING) AS entry_id", "o_orderkey", "o_orderstatus")
     entries = manifest(spark, sf_dir).select("entry_id", "status")
-    jobs.replace_entries(spark, {"sites": orders.where("o_orderstatus <> 'P'")}, entries, folder, 0)
-    jobs.replace_entries(spark, {"sites": orders.where("o_orderstatus = 'P'")}, entries.where("status = 'skip'"), folder, 1)
-    return spark.read.parquet(f"{folder}/sites/version=1")
+    everyone = orders.select("entry_id").distinct()
+    store.commit({"sites": orders.where("o_orderstatus <> 'P'"), "manifest": entries}, everyone, 0)
+    store.commit({"sites": orders.where("o_orderstatus = 'P'"), "manifest": entries}, entries.where("status = 'skip'"), 1)
+    return store.read("sites")
 
 
 _add("stream_replace", stream_replace, f"""
 WITH m AS ({plain(MANIFEST)}), s AS (SELECT k FROM m WHERE status = 'skip')
 SELECT CAST(o_custkey AS VARCHAR) AS entry_id, o_orderkey, o_orderstatus FROM orders
 WHERE (o_orderstatus = 'P') = (o_custkey IN (SELECT k FROM s))""")
+
+
+#: Results of customers in three waves: retries, entries computed anew, and two results of one entry.
+RESULTS = """
+SELECT CAST(c_custkey AS STRING) AS entry_id, w AS attempt, 'config-a' AS analysis_config_id,
+  CASE WHEN w = 0 AND c_custkey % 5 = 0 THEN 'partial' WHEN w = 1 AND c_custkey % 4 = 0 THEN 'error' ELSE 'ok' END AS status,
+  w = 0 AND c_custkey % 5 = 0 AS retryable
+FROM {customer} CROSS JOIN (SELECT explode(sequence(0, 3)) AS w)
+WHERE w = 0 OR (w IN (1, 2) AND c_custkey % 5 = 0) OR (w = 3 AND c_custkey % 7 = 0)
+"""
+
+
+def stream_replace_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches of results and a replayed one replace entries in two tables and the manifest."""
+    folder = _workspace(spark, "tables")
+    store = EntryStore(spark, f"{folder}/store", ("sites", "bonds", "manifest"), buckets=16)
+    orders = table(spark, sf_dir, "orders").selectExpr("CAST(o_custkey AS STRING) AS entry_id", "o_orderkey")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
+    results = derived(spark, sf_dir, RESULTS)
+
+    def stage(final: DataFrame) -> dict[str, DataFrame]:
+        sites = orders.join(final.select("entry_id", "attempt"), "entry_id")
+        return {"sites": sites, "bonds": sites.join(lines, "o_orderkey").select(
+            "entry_id", "o_orderkey", "l_linenumber", "attempt")}
+
+    def run(arriving: DataFrame) -> None:
+        jobs.replace_stream(arriving, stage, store, f"{folder}/checkpoint").awaitTermination()
+
+    for wave, attempts in enumerate(((0,), (1, 2), (3,))):
+        arriving = _waves(spark, results.where(F.col("attempt").isin(*attempts)), f"{folder}/in", wave)
+        run(arriving)
+    # the last batch's commit record is lost: the stream runs it again, the store skips it
+    target, system = tables._hadoop_path(spark, f"{folder}/checkpoint/commits/2")
+    system.delete(target, False)
+    run(arriving)
+    counted = [
+        store.read(name).groupBy("entry_id").agg(
+            F.count(F.lit(1)).alias("rows"), F.min("attempt").alias("first"), F.max("attempt").alias("last")
+        ).select(F.lit(name).alias("kind"), "entry_id", "rows", "first", "last")
+        for name in ("sites", "bonds", "manifest")]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+_add("stream_replace_tables", stream_replace_tables, """
+WITH r AS (SELECT c_custkey AS k, w, NOT (w = 0 AND c_custkey % 5 = 0) AND NOT (w = 1 AND c_custkey % 4 = 0) AS final
+  FROM customer, (VALUES (0), (1), (2), (3)) AS waves(w)
+  WHERE w = 0 OR (w IN (1, 2) AND c_custkey % 5 = 0) OR (w = 3 AND c_custkey % 7 = 0)),
+batch AS (SELECT *, row_number() OVER (PARTITION BY k, CASE WHEN w = 0 THEN 0 WHEN w < 3 THEN 1 ELSE 2 END ORDER BY w DESC) AS i FROM r),
+m AS (SELECT k, max(w) AS w FROM batch WHERE i = 1 AND final GROUP BY k),
+t AS (
+  SELECT 'manifest' AS kind, k, w FROM m
+  UNION ALL SELECT 'sites', k, w FROM m JOIN orders ON o_custkey = k
+  UNION ALL SELECT 'bonds', k, w FROM m JOIN orders ON o_custkey = k JOIN lineitem ON l_orderkey = o_orderkey)
+SELECT kind, CAST(k AS VARCHAR) AS entry_id, count(*) AS rows, CAST(min(w) AS INTEGER) AS first, CAST(max(w) AS INTEGER) AS last
+FROM t GROUP BY kind, k""")

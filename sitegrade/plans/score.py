@@ -34,7 +34,11 @@ def score_inputs_against(
     inputs: DataFrame, distribution: DataFrame, *, same_cohort: bool = False
 ) -> DataFrame:
     """Levels, verdict and scores of prepared rows ranked in ``distribution``."""
-    ranked = dist.rank_against(inputs, distribution, same_cohort=same_cohort)
+    return score_ranked(dist.rank_against(inputs, distribution, same_cohort=same_cohort))
+
+
+def score_ranked(ranked: DataFrame) -> DataFrame:
+    """Levels, verdict and scores of rows that carry ``density_rank`` and ``geometry_rank``."""
     scored = with_rounded(
         ranked,
         {

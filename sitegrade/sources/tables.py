@@ -157,8 +157,7 @@ def write_reference(inputs: DataFrame, folder: str, provenance: dict | None = No
         "fingerprint": fingerprint,
         "reference_id": f"score-ref-{fingerprint[:20]}",
     }
-    identity = f"{values['reference_id']}\n{_rows_digest(inputs)}"
-    values["cohort_id"] = "cohort-" + hashlib.sha256(identity.encode()).hexdigest()[:20]
+    values["cohort_id"] = _cohort_id(values["reference_id"], inputs)
     names = T.StructType.fromDDL(METADATA_SCHEMA).names
     statuses = dist.status_histogram(inputs).where(
         F.col("status").isin(*vocab.SCORE_INPUT_STATUSES)).collect()
@@ -170,6 +169,27 @@ def write_reference(inputs: DataFrame, folder: str, provenance: dict | None = No
     return spark.read.schema(METADATA_SCHEMA).json(metadata_path(folder))
 
 
+def _cohort_id(reference_id: str, inputs: DataFrame) -> str:
+    identity = f"{reference_id}\n{_rows_digest(inputs)}"
+    return "cohort-" + hashlib.sha256(identity.encode()).hexdigest()[:20]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on any file system Spark knows."""
+    target, system = _hadoop_path(spark, path)
+    return bool(system.exists(target))
+
+
+def frozen_cohort(spark: SparkSession, folder: str, inputs_path: str) -> dict | None:
+    """The metadata of the reference under ``folder`` if it was made of exactly these inputs."""
+    if not exists(spark, metadata_path(folder)):
+        return None
+    row = spark.read.schema(METADATA_SCHEMA).json(metadata_path(folder)).first()
+    if row is None or row["cohort_id"] != _cohort_id(row["reference_id"], spark.read.parquet(inputs_path)):
+        return None
+    return row.asDict()
+
+
 def _rows_digest(inputs: DataFrame) -> str:
     """Identity of a cohort's rows in any order: sums of two 64-bit hashes and a count."""
     columns = sorted(c for c, kind in inputs.dtypes if not kind.startswith("map"))

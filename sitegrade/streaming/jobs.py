@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sitegrade.functions import scoring as fs
-from sitegrade.operators.runs import replace_by_key, status_counts
-from sitegrade.plans.score import score_inputs_against, with_reference_columns
+from sitegrade.operators.intervals import interval_index, rank_by_interval
+from sitegrade.operators.runs import batch_tally, replaceable, status_counts
+from sitegrade.plans import jobs as plans
+from sitegrade.plans.score import score_ranked, with_reference_columns
+from sitegrade.session import cut_lineage
+from sitegrade.sources import tables
+from sitegrade.streaming.store import EntryStore, KeyStore
 
 
 def classify_stream(arriving: DataFrame) -> DataFrame:
@@ -31,18 +36,20 @@ def score_batches(
 ) -> StreamingQuery:
     """Score a stream to Parquet, ranking unseen values exactly and each site once.
 
-    Every micro-batch ranks its own values against the frozen distribution.
-    A batch is written under its own number, so a replayed batch overwrites
-    itself; sites already stored, or repeated within the batch, are dropped.
+    The distribution is turned into its interval index once, before the stream
+    starts; a batch only joins it. Of rows that repeat a site, the earliest
+    batch's stays, within a batch the smallest in column order; sites of earlier
+    batches are looked up in ``<output>-keys``, by the buckets of the batch's own
+    sites. A batch is written under its own number, so a replay overwrites it.
     """
+    index = cut_lineage(interval_index(distribution))
+    seen = KeyStore(arriving.sparkSession, f"{output.rstrip('/')}-keys", keys)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates(list(keys))
-        if batch_id > 0:
-            stored = spark.read.parquet(output).where(F.col("batch") < batch_id)
-            fresh = fresh.join(stored.select(*keys), list(keys), "left_anti")
-        scored = with_reference_columns(score_inputs_against(fresh, distribution), metadata)
+        fresh = cut_lineage(seen.fresh(batch, batch_id))
+        scored = with_reference_columns(score_ranked(rank_by_interval(fresh.drop("bucket"), index)), metadata)
         scored.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+        seen.add(fresh, batch_id)
 
     return (
         arriving.writeStream.foreachBatch(write)
@@ -71,22 +78,49 @@ def collect_cohort(arriving: DataFrame, output: str, checkpoint: str) -> Streami
     )
 
 
-def replace_entries(
-    spark: SparkSession, tables: dict[str, DataFrame], manifest: DataFrame, folder: str, version: int
-) -> None:
-    """Replace the manifest's entries in every table, the manifest last.
+def freeze_cohort(
+    spark: SparkSession, inputs_path: str, output_path: str, reference_folder: str,
+    manifest: DataFrame, software: tuple[str, ...] = (), config_id: str | None = None,
+) -> dict:
+    """Freeze an accumulated cohort once its run is complete; may be called again at any time.
+
+    While a retry could still add an entry nothing is written:
+    ``{"score_status": "not_finalized_incomplete_run", "score_recoverable_entries": n}``.
+    Afterwards the reference and the scores are made once; a later call with the
+    same rows leaves them, and one with other rows makes them anew.
+    """
+    unfinished = batch_tally(manifest).first()["recoverable_incompleteness"]
+    if unfinished:
+        return {"score_status": "not_finalized_incomplete_run", "score_recoverable_entries": unfinished}
+    frozen = tables.frozen_cohort(spark, reference_folder, inputs_path)
+    if frozen is not None and tables.exists(spark, f"{output_path}/_SUCCESS"):
+        return {"score_status": "already_finalized", "score_recoverable_entries": 0, **frozen}
+    metadata = plans.finalize(
+        spark, inputs_path, output_path, reference_folder, manifest, software, config_id)
+    return {"score_status": "finalized", "score_recoverable_entries": 0, **metadata}
+
+
+def replace_stream(
+    results: DataFrame, stage: Callable[[DataFrame], dict[str, DataFrame]], store: EntryStore,
+    checkpoint: str, order: str = "attempt",
+) -> StreamingQuery:
+    """Replace entries in a store's tables as their results arrive.
 
-    Each table is written as a new numbered version built from the previous
-    one; readers take the version the manifest folder names, so a run that
-    dies half way changes nothing they see, and a replay writes the same
-    version again.
+    ``results`` is a stream of manifest rows. Of several results of an entry in
+    one batch the one with the highest ``order`` counts. Only final outcomes
+    replace: ``stage`` gets their rows and returns the new rows of every table
+    but ``manifest``, which the results themselves fill.
     """
-    for name, staged in [*tables.items(), ("manifest", manifest)]:
-        target = f"{folder}/{name}/version={version}"
-        if version == 0:
-            staged.write.mode("overwrite").parquet(target)
-            continue
-        previous = spark.read.parquet(f"{folder}/{name}/version={version - 1}")
-        replace_by_key(previous, staged, manifest.select("entry_id")).write.mode(
-            "overwrite"
-        ).parquet(target)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        last = batch.groupBy("entry_id").agg(
+            F.max_by(F.struct(*batch.columns), F.col(order)).alias("row")).select("row.*")
+        last = cut_lineage(last)
+        final = cut_lineage(last.join(replaceable(last), "entry_id", "left_semi").select(*batch.columns))
+        store.commit({**stage(final), "manifest": final}, final, batch_id)
+
+    return (
+        results.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
