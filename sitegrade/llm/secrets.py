@@ -1,7 +1,8 @@
 """Secret scans in SQL functions: fixed patterns, and character Markov models.
 
 Positions come from one cut per pattern: the pieces between matches and the
-matches themselves alternate, so running lengths give code point offsets. Runs
+matches themselves alternate, so running lengths, summed in blocks, give code
+point offsets, and values are the matches as they were cut. Runs
 of secret-like characters that no fixed pattern covers are scored by the
 log-likelihood ratio of two first-order character models, one of random strings
 and one of ordinary identifiers, both counted from labelled samples.
@@ -9,6 +10,7 @@ and one of ordinary identifiers, both counted from labelled samples.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from math import log
 
@@ -27,7 +29,10 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-="
 RUN = r"[A-Za-z0-9+/_=-]{20,}"
 ORDINARY = r"[A-Za-z0-9+/_=-]{8,}"
 _SIDE = len(ALPHABET) + 1
-_SPAN = "array<struct<start:int,kind:int,end:int>>"
+_MATCH = "array<struct<start:int,kind:int,end:int,found:string>>"
+#: Numbers, or spans, that are handled as one block; code points of a page.
+_BLOCK = 128
+_PAGE = 4096
 
 
 @dataclass(frozen=True)
@@ -40,39 +45,71 @@ class Settings:
     least_mean: float = 0.4  # and its mean for a pair of characters
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _before(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """For every number of an array, all earlier ones merged (a sum, or a maximum; 0 at first).
+
+    Arrays grow by appending within blocks of ``_BLOCK`` numbers and over the
+    totals of blocks only, so the copies stay in proportion for long arrays.
+    """
+    none = F.struct(F.lit(0).alias("total"), F.array().cast("array<int>").alias("seen"))
+
+    def add(acc: Column, value: Column) -> Column:
+        return F.struct(merge(acc["total"], value).alias("total"),
+                        F.concat(acc["seen"], F.array(acc["total"])).alias("seen"))
+
+    def of(held: Column) -> Column:
+        count = F.floor((F.greatest(F.size(held), F.lit(1)) - 1) / _BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), count), lambda b: F.aggregate(
+            F.slice(held, b * _BLOCK + 1, F.lit(_BLOCK)), none, add))
+        return _let(blocks, lambda bs: _let(
+            F.aggregate(F.transform(bs, lambda b: b["total"]), none, add, lambda acc: acc["seen"]),
+            lambda starts: F.flatten(F.transform(bs, lambda b, i: F.transform(
+                b["seen"], lambda x: merge(F.get(starts, i), x))))))
+
+    return _let(values, of)
+
+
 def _matches(text: Column, pattern: str, kind: int, value: bool = False) -> Column:
-    """Spans of all leftmost non-overlapping matches; short values are dropped."""
+    """Leftmost non-overlapping matches (start, kind, end, found); short values are dropped."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    kept = F.regexp_extract_all(text, F.lit(pattern), F.lit(2 if value else 0))
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("lead"), whole.alias("whole"),
-                         kept.alias("kept"))
-
-    def step(acc: Column, part: Column) -> Column:
-        start = acc["at"] + F.length(part["lead"])
-        end = start + F.coalesce(F.length(part["whole"]), F.lit(0))
-        span = F.array(F.struct(
-            start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))
-        ok = F.length(part["kept"]) >= (ASSIGN_VALUE if value else 1)
-        return F.struct(
-            end.alias("at"), F.when(ok, F.concat(acc["found"], span)).otherwise(acc["found"])
-            .alias("found"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
-    found = F.aggregate(parts, start, step, lambda acc: acc["found"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(_SPAN))
-
-
-def base_spans(documents: DataFrame) -> DataFrame:
-    """Add ``base``: the spans of the fixed patterns, by start and kind."""
+    kept = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if value else whole
+    parts = F.arrays_zip(
+        F.transform(F.split(text, pattern, -1), F.length).alias("lead"), whole.alias("whole"),
+        F.transform(kept, F.length).alias("kept"))
+
+    def placed(ps: Column) -> Column:
+        steps = F.transform(ps, lambda p: p["lead"] + F.coalesce(F.length(p["whole"]), F.lit(0)))
+        return F.transform(
+            F.arrays_zip(ps.alias("p"), _before(steps, lambda a, b: a + b).alias("at")),
+            lambda z: F.struct(
+                (z["at"] + z["p"]["lead"]).alias("start"), F.lit(kind).alias("kind"),
+                (z["at"] + z["p"]["lead"] + F.length(z["p"]["whole"])).alias("end"),
+                z["p"]["whole"].alias("found"), z["p"]["kept"].alias("kept")))
+
+    # the last lead has no match
+    found = F.filter(_let(parts, placed), lambda m: m["kept"] >= (ASSIGN_VALUE if value else 1))
+    matches = F.transform(found, lambda m: F.struct(
+        *(m[name].alias(name) for name in ("start", "kind", "end", "found"))))
+    return F.when(text.rlike(pattern), matches).otherwise(F.array().cast(_MATCH))
+
+
+def _spans(matches: Column) -> Column:
+    return F.transform(matches, lambda m: F.struct(
+        *(m[name].alias(name) for name in ("start", "kind", "end"))))
+
+
+def base_matches(documents: DataFrame) -> DataFrame:
+    """Add ``matches``: the matches of the fixed patterns, by start and kind."""
     text = F.col("text")
-    return documents.withColumn("base", F.array_sort(F.concat(
+    return documents.withColumn("matches", F.array_sort(F.concat(
         _matches(text, ASSIGN, 0, value=True), _matches(text, ACCESS, 1), _matches(text, HEX, 2))))
 
 
-def _value(span: Column) -> Column:
-    return F.substring(F.col("text"), span["start"] + 1, span["end"] - span["start"])
-
-
 def labelled_samples(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(value, random): strings of a bounded sample of documents, labelled.
 
@@ -83,8 +120,8 @@ def labelled_samples(documents: DataFrame, settings: Settings = Settings()) -> D
     chosen = (
         documents.select("doc_id").where("doc_id IS NOT NULL").distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample_documents))
-    rows = base_spans(documents.join(F.broadcast(chosen), "doc_id", "left_semi"))
-    secret = rows.select(F.explode(F.transform("base", _value)).alias("value"))
+    rows = base_matches(documents.join(F.broadcast(chosen), "doc_id", "left_semi"))
+    secret = rows.select(F.explode(F.transform("matches", lambda m: m["found"])).alias("value"))
     last = F.regexp_extract("value", r"([A-Za-z0-9+/_=-]+)$", 1)
     bare = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
     plain = rows.select(
@@ -144,22 +181,36 @@ def find_secrets(
 
     Offsets are code points of the whole text, end exclusive. A null text is
     empty and has no spans; repeated rows keep their own results. Input columns
-    of the names base, markov and runs are replaced.
+    of the names base, markov, runs and matches are replaced or dropped.
     """
     ratios = F.split(F.lit(",".join(f"{x:.6g}" for x in table)), ",").cast("array<double>")
-    rows = base_spans(documents.withColumn("text", F.coalesce("text", F.lit(""))))
+    rows = base_matches(documents.withColumn("text", F.coalesce("text", F.lit(""))))
 
-    def random_run(span: Column) -> Column:
-        score = _ratio(_value(span), ratios)
+    def random_run(run: Column) -> Column:
+        score = _ratio(run["found"], ratios)
         return (score >= settings.least_ratio) & (
-            score >= settings.least_mean * (span["end"] - span["start"] - 1))
+            score >= settings.least_mean * (run["end"] - run["start"] - 1))
+
+    def apart(blocks: Column) -> Callable[[Column], Column]:
+        def meets(run: Column) -> Callable[[Column], Column]:
+            return lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])
 
-    def apart(span: Column) -> Column:
-        return ~F.exists("base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+        return lambda run: ~F.exists(blocks, lambda block: meets(run)(block) & F.exists(
+            block["spans"], meets(run)))
 
-    runs = _matches(F.col("text"), RUN, 3)
-    return rows.withColumn("runs", F.filter(runs, apart)).withColumn(
-        "markov", F.filter("runs", random_run)).drop("runs")
+    runs = _let(_blocks(F.col("base")), lambda blocks: F.filter(
+        _matches(F.col("text"), RUN, 3), apart(blocks)))
+    return rows.withColumn("base", _spans(F.col("matches"))).drop("matches").withColumn(
+        "runs", runs).withColumn("markov", _spans(F.filter("runs", random_run))).drop("runs")
+
+
+def _blocks(spans: Column) -> Column:
+    """Runs of ``_BLOCK`` spans in order, each with the range it lies in."""
+    count = F.floor((F.greatest(F.size(spans), F.lit(1)) - 1) / _BLOCK).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), count), lambda b: F.slice(spans, b * _BLOCK + 1, F.lit(_BLOCK)))
+    return F.transform(cut, lambda part: F.struct(
+        F.array_min(F.transform(part, lambda s: s["start"])).alias("start"),
+        F.array_max(F.transform(part, lambda s: s["end"])).alias("end"), part.alias("spans")))
 
 
 def described(spans: Column) -> Column:
@@ -170,17 +221,29 @@ def described(spans: Column) -> Column:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """The text with every span, overlapping ones together, replaced by a mark."""
-    def step(acc: Column, s: Column) -> Column:
-        fresh = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
-                         F.lit(mark))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
+    """The text with every span, overlapping ones together, replaced by a mark.
 
-    return F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    ``spans`` are in order. The text is cut into pages once, so that no piece is
+    searched from the start of a long text.
+    """
+    def piece(pages: Column, start: Column, end: Column) -> Column:
+        page = F.floor(start / _PAGE).cast("int")
+        last = F.floor((end - 1) / _PAGE).cast("int")
+        return F.when(end > start, F.array_join(F.transform(F.sequence(page, F.greatest(page, last)), lambda i: (
+            F.substring(F.get(pages, i), F.greatest(start - i * _PAGE, F.lit(0)) + 1,
+                        F.least(end - i * _PAGE, F.lit(_PAGE)) - F.greatest(start - i * _PAGE, F.lit(0))))), "")
+        ).otherwise("")
+
+    def joined(pages: Column) -> Column:
+        ends = F.transform(spans, lambda s: s["end"])
+        pairs = F.arrays_zip(spans.alias("s"), _before(ends, F.greatest).alias("at"))
+        masked = F.transform(pairs, lambda p: F.when(
+            p["s"]["start"] >= p["at"],
+            F.concat(piece(pages, p["at"], p["s"]["start"]), F.lit(mark))).otherwise(""))
+        tail = piece(pages, F.coalesce(F.array_max(ends), F.lit(0)), F.length(text))
+        return F.concat(F.array_join(masked, ""), tail)
+
+    return _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PAGE}}}"), F.lit(0)), joined)
 
 
 def secret_report(documents: DataFrame, settings: Settings = Settings()) -> DataFrame:
