@@ -80,7 +80,7 @@ def likeness(a: Column, b: Column, bins: int = BINS, bits: int = BITS) -> Column
 
 
 def in_order(documents: DataFrame) -> DataFrame:
-    """Documents (doc_id, mark, n, fingerprint) with the key and fingerprint of the next one.
+    """Distinct documents (doc_id, mark, n) with the key of the next one.
 
     The order is by descending doc_id, nulls last, then by mark; after the last
     document comes the first. Documents are dealt to tasks by range. A task sees
@@ -91,7 +91,7 @@ def in_order(documents: DataFrame) -> DataFrame:
     dealt = cut_lineage(
         documents.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
     inside = Window.partitionBy("part").orderBy(*order)
-    this = F.struct("doc_id", "mark", "fingerprint")
+    this = F.struct("doc_id", "mark")
     rows = dealt.withColumn("next", F.lead(this).over(inside)).withColumn(
         "place", F.row_number().over(inside))
     heads = rows.where("place = 1").select("part", this.alias("head"))
@@ -99,32 +99,28 @@ def in_order(documents: DataFrame) -> DataFrame:
         F.lead("head").over(Window.orderBy("part")),
         F.first("head").over(Window.orderBy("part"))).alias("after"))
     return rows.join(F.broadcast(ends), "part").withColumn("next", F.coalesce("next", "after")).select(
-        "doc_id", "mark", "n", "fingerprint", F.col("next.doc_id").alias("next_id"),
-        F.col("next.mark").alias("next_mark"), F.col("next.fingerprint").alias("next_fingerprint"))
+        "doc_id", "mark", "n", F.col("next.doc_id").alias("next_id"), F.col("next.mark").alias("next_mark"))
+
+
+_SAME = "a.doc_id <=> b.doc_id AND a.mark = b.mark"
 
 
 def edited_texts(texts: DataFrame, order: DataFrame) -> DataFrame:
     """(doc_id, mark, edited): the first half of each text and as much of the next document's start.
 
-    A text sends its first half to its own key and its start to the key of the
-    document before it, so whole texts meet only their own row of ``order``.
+    Every document sends its start, as long as asked for, to the key of the
+    document before it. Both joins read one exchange of the texts.
     """
-    half = F.floor(F.col("n") / 2)
-    before = order.select(
+    asking = order.select(
         F.col("next_id").alias("doc_id"), F.col("next_mark").alias("mark"),
-        F.col("doc_id").alias("before_id"), F.col("mark").alias("before_mark"),
-        half.cast("int").alias("asked"))
-    sent = texts.alias("t").join(
-        before.alias("b"), F.expr("t.doc_id <=> b.doc_id AND t.mark = b.mark"))
-    own = F.expr("left(t.text, length(t.text) - length(t.text) div 2)")
-    parts = sent.select(F.explode(F.array(
-        F.struct(F.col("t.doc_id").alias("doc_id"), F.col("t.mark").alias("mark"),
-                 own.alias("own"), F.lit(None).cast("string").alias("given")),
-        F.struct(F.col("b.before_id").alias("doc_id"), F.col("b.before_mark").alias("mark"),
-                 F.lit(None).cast("string").alias("own"), F.expr("left(t.text, b.asked)").alias("given")),
-    )).alias("part")).select("part.*")
-    return parts.groupBy("doc_id", "mark").agg(
-        F.concat(F.max("own"), F.max("given")).alias("edited"))
+        F.col("doc_id").alias("asker_id"), F.col("mark").alias("asker_mark"),
+        F.floor(F.col("n") / 2).cast("int").alias("asked"))
+    given = texts.alias("a").join(asking.alias("b"), F.expr(_SAME)).groupBy(
+        F.col("asker_id").alias("doc_id"), F.col("asker_mark").alias("mark")
+    ).agg(F.max(F.expr("left(a.text, b.asked)")).alias("given"))  # one text, though rows may repeat
+    own = F.expr("left(a.text, length(a.text) - length(a.text) div 2)")
+    return texts.alias("a").join(given.alias("b"), F.expr(_SAME)).select(
+        "a.doc_id", "a.mark", F.concat(own, F.col("b.given")).alias("edited"))
 
 
 def fingerprints(
@@ -144,23 +140,22 @@ def fingerprints(
     texts = documents.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     texts = texts.withColumn("mark", F.xxhash64("text"))
-    rows = cut_lineage(with_fingerprint(
-        texts.withColumn("n", F.length("text").cast("bigint")), "text", "fingerprint", bins, bits, words
-    ).drop("text"))
-    distinct = rows.groupBy("doc_id", "mark").agg(
-        F.max("n").alias("n"), F.max("fingerprint").alias("fingerprint"))
-    order = cut_lineage(in_order(distinct))
+    rows = with_fingerprint(
+        texts.withColumn("n", F.length("text").cast("bigint")), "text", "fingerprint", bins, bits, words)
+    known = cut_lineage(rows.groupBy("doc_id", "mark").agg(
+        F.max("n").alias("n"), F.max("fingerprint").alias("fingerprint")))
+    order = cut_lineage(in_order(known.select("doc_id", "mark", "n")))
+    following = known.select("doc_id", "mark", F.col("fingerprint").alias("next_fingerprint"))
+    pairs = known.alias("a").join(order.alias("b"), F.expr(_SAME)).select(
+        "a.*", F.col("b.next_id").alias("next_id"), F.col("b.next_mark").alias("next_mark"))
+    pairs = pairs.alias("a").join(
+        following.alias("b"), F.expr("a.next_id <=> b.doc_id AND a.next_mark = b.mark")
+    ).select("a.doc_id", "a.mark", "a.n", "a.fingerprint", "b.next_fingerprint")
     edited = with_fingerprint(
-        edited_texts(texts, order), "edited", "edited_fingerprint", bins, bits, words)
-    edited = edited.select(
-        "doc_id", "mark", F.sha2("edited", 256).alias("edited_sha256"), "edited_fingerprint")
-    found = cut_lineage(order.alias("o").join(
-        edited.alias("e"), F.expr("o.doc_id <=> e.doc_id AND o.mark = e.mark")
-    ).select("o.*", "e.edited_sha256", "e.edited_fingerprint"))
-    mine = F.col("f.fingerprint")
-    return rows.select("doc_id", "mark").alias("r").join(
-        found.alias("f"), F.expr("r.doc_id <=> f.doc_id AND r.mark = f.mark")
-    ).select(
-        "r.doc_id", F.col("f.n").alias("n_chars"), "f.edited_sha256", mine.alias("fingerprint"),
-        "f.edited_fingerprint", likeness(mine, F.col("f.edited_fingerprint"), bins, bits).alias("near_edited"),
-        likeness(mine, F.col("f.next_fingerprint"), bins, bits).alias("near_next"))
+        edited_texts(texts, order), "edited", "edited_fingerprint", bins, bits, words
+    ).select("doc_id", "mark", F.sha2("edited", 256).alias("edited_sha256"), "edited_fingerprint")
+    mine = F.col("b.fingerprint")
+    return edited.alias("a").join(pairs.alias("b"), F.expr(_SAME)).select(
+        "a.doc_id", F.col("b.n").alias("n_chars"), "a.edited_sha256", mine.alias("fingerprint"),
+        "a.edited_fingerprint", likeness(mine, F.col("a.edited_fingerprint"), bins, bits).alias("near_edited"),
+        likeness(mine, F.col("b.next_fingerprint"), bins, bits).alias("near_next"))
