@@ -85,8 +85,9 @@ def signature(shingles: np.ndarray, size: int) -> np.ndarray:
     return ((least * np.uint32(0x85EBCA6B)) >> np.uint32(16)).astype(np.uint16)
 
 
-def sketches(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, digest, sig): set size, set identity, signature."""
+def sketches(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
+             mark: str | None = None) -> DataFrame:
+    """(doc_id, mark, n_shingles, digest, sig): set size, set identity, signature."""
 
     def make():
         hashes = WordHashes()
@@ -95,6 +96,7 @@ def sketches(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             sets = [shingle_set(t, hashes) for t in batch.column(1).to_pylist()]
             return {
                 "doc_id": batch.column(0),
+                "mark": batch.column(2),
                 "n_shingles": [len(s) for s in sets],
                 "digest": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                 "sig": [signature(s, CHUNKS * WIDTH).tobytes() if len(s) else None for s in sets],
@@ -104,8 +106,9 @@ def sketches(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
     return map_batches(
         documents.select(F.col(doc_id).cast("bigint").alias("doc_id"),
-                         F.coalesce(F.col(text), F.lit("")).alias("text")),
-        make, "doc_id bigint, n_shingles bigint, digest binary, sig binary")
+                         F.coalesce(F.col(text), F.lit("")).alias("text"),
+                         (F.lit(None) if mark is None else F.col(mark)).cast("bigint").alias("mark")),
+        make, "doc_id bigint, mark bigint, n_shingles bigint, digest binary, sig binary")
 
 
 def chunk_keys(sig: str = "sig") -> Column:
@@ -273,19 +276,20 @@ def similar_links(documents: DataFrame, representatives: DataFrame) -> DataFrame
 
 
 def near_duplicates(
-    documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", mark: str | None = None,
 ) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
+    """One row per input row: doc_id, n_shingles, component_id, kept, and ``mark`` where named.
 
     Texts are read whole. A null or empty text, or one without words, has an
     empty set and is linked with nothing; with fewer than five words the whole
     word sequence is the one shingle. Repeated rows of one doc_id are the same
     document; a null doc_id is never kept, and its component is that of its
     copies, else null; other columns are ignored.
-    ``kept`` marks the smallest doc_id of each component.
+    ``kept`` marks the smallest doc_id of each component. ``mark`` names a bigint
+    column that comes along with each row, to tell rows of one doc_id apart.
     """
     plain = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    drawn = cut_lineage(sketches(plain))
+    drawn = cut_lineage(sketches(documents, doc_id, text, mark))
     # copies: documents with the same set are one representative
     representatives = cut_lineage(
         drawn.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest")
@@ -302,4 +306,5 @@ def near_duplicates(
     filled = drawn.where("digest IS NOT NULL").join(classes, "digest", "left")
     return filled.unionByName(empty).select(
         "doc_id", "n_shingles", own.alias("component_id"),
-        F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"))
+        F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"),
+        *([] if mark is None else ["mark"]))

@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -398,23 +399,31 @@ def train(
 
 
 def score_documents(
-    documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text"
+    documents: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted, spans.
 
     Whole texts are scored; a null or empty text has no words and takes the
-    layer's bias as its score. Repeated rows are scored each; other columns
-    are ignored. ``spans`` holds code point offsets of toxic runs.
+    layer's bias as its score. Repeated rows are scored each. The columns named
+    in ``carry`` come along with each row, others are ignored; a carried column
+    of the name of a result is refused. ``spans`` holds code point offsets of
+    toxic runs.
     """
+    clash = {"doc_id", "held_out", "score", "predicted", "spans"} & set(carry)
+    if clash:
+        raise ValueError(f"carried columns have names of results: {sorted(clash)}")
+    kinds = {f.name: f.dataType.simpleString() for f in documents.schema}
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def make():
         scorer = Scorer(shared.value)
 
         def step(batch: pa.RecordBatch) -> dict:
-            texts = batch.column("text").to_pylist()
+            texts = [t or "" for t in batch.column("__text").to_pylist()]
             p = scorer.marginals(texts)
             return {
+                **{name: batch.column(name) for name in carry},
                 "doc_id": batch.column("doc_id"),
                 "held_out": batch.column("held_out"),
                 "score": (scores := [scorer.score(x) for x in p]),
@@ -424,15 +433,15 @@ def score_documents(
 
         return step
 
-    id_type = documents.schema[doc_id].dataType.simpleString()
     return map_batches(
         documents.select(
-            F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-            F.coalesce(held_out(F.col(doc_id)), F.lit(False)).alias("held_out")),
-        make, f"doc_id {id_type}, held_out boolean, score double, predicted int, "
-        "spans array<struct<start: int, end: int>>")
+            F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"),
+            F.coalesce(held_out(F.col(doc_id)), F.lit(False)).alias("held_out"), *carry),
+        make, f"doc_id {kinds[doc_id]}, held_out boolean, score double, predicted int, "
+        "spans array<struct<start: int, end: int>>"
+        + "".join(f", `{name}` {kinds[name]}" for name in carry))
 
 
-def toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity(documents: DataFrame, labels: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Train on the labelled rows and score all documents."""
-    return score_documents(documents, train(documents, labels))
+    return score_documents(documents, train(documents, labels), carry=carry)

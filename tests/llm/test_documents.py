@@ -307,3 +307,31 @@ def test_pipeline_stages_take_effect(spark, corpus):
     packed = stages["packing"](spark, masked, folder)
     assert {r.doc_id for r in packed.select("doc_id").collect()} == kept
     assert corpus_pipeline.run(spark, folder).count() == packed.count()
+
+
+def test_pipeline_stages_with_null_and_repeated_ids(spark, corpus):
+    """Every row is decided: null ids, repeated ids with equal and other texts, an empty table."""
+    folder, toxic = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    bad = texts[next(i for i, t in toxic.items() if t)]
+    clean = [texts[i] for i, t in toxic.items() if not t and len(texts[i].split()) > 20][:6]
+    rows = [(None, bad), (7001, bad), (None, clean[0]), (None, clean[1] + " tail"), (7002, clean[2]), (7002, clean[2]),
+            (7003, clean[3]), (7003, "another text of seven words in all"), (None, "alone without id is this text"),
+            (None, "alone without id is this text"), (7004, ""), (7004, None), (None, None)]
+    extra = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], docs.schema)
+    both = docs.where(~F.col("text").isin(clean[2], clean[3]) | F.col("text").isNull()).unionByName(extra)
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["toxicity"](spark, both, folder)
+    left = [(r.doc_id, r.text) for r in kept.collect()]
+    assert (None, bad) not in left and (7001, bad) not in left
+    assert left.count((7002, clean[2])) == 2 and left.count((None, None)) == 1
+    single = [(r.doc_id, r.text) for r in stages["near_duplicates"](spark, kept, folder).collect()]
+    assert single.count((7002, clean[2])) == 1
+    assert (None, clean[0]) not in single and (None, clean[1] + " tail") not in single
+    assert single.count((None, "alone without id is this text")) == 1
+    assert sum(i == 7003 for i, _ in single) == 1 and sum(i == 7004 for i, _ in single) == 1
+    assert single.count((None, None)) == 1
+    empty = docs.limit(0)
+    for name in ("toxicity", "near_duplicates", "secrets", "packing"):
+        assert stages[name](spark, empty, folder).count() == 0
