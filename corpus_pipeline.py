@@ -6,13 +6,11 @@ predecessor kept; ``run`` writes what a stage returns and reads it again.
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitegrade.llm.common import ensure_checkpoint_dir, table
+from sitegrade.llm.common import drop_folder, shared_folder, table
 from sitegrade.llm.harmonic_packing import pack
 from sitegrade.llm.near_duplicates import near_duplicates
 from sitegrade.llm.secrets import (
@@ -27,19 +25,40 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that the toxicity score does not reject."""
-    bad = toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1")
-    return docs.join(bad.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    """Keep the documents that the toxicity score does not reject.
+
+    Every row is decided by its own text, with or without a doc_id, repeated or
+    not. A null or empty text is kept; an empty table stays empty.
+    """
+    scored = toxicity(docs, table(spark, sf_dir, "labels"), carry=COLUMNS[1:])
+    return scored.where("predicted = 0").select(*COLUMNS)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, the smallest doc_id, of each group of near duplicates."""
-    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """Keep one document, the smallest doc_id, of each group of near duplicates.
+
+    Rows that repeat a doc_id are one document, of which the row with the
+    smallest text hash (then the smallest row) stays. A document without a doc_id
+    is named by its text, after all others: it stays unless a document with an
+    id, or an equal text, is in its group. Texts without words are in no group.
+    """
+    named = docs.select(*COLUMNS).withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
+    unnamed = F.shiftrightunsigned("mark", 2).bitwiseOR(1 << 62)
+    named = named.withColumn("name", F.coalesce(F.col("doc_id").cast("bigint"), unnamed))
+    counted = near_duplicates(named, doc_id="name", mark="mark").where("kept").groupBy(
+        F.col("doc_id").alias("name"), "mark").agg(F.count("*").alias("n"))
+    chosen = counted.groupBy("name").agg(F.min(F.struct("mark", "n")).alias("c")).select(
+        "name", "c.mark", "c.n")
+    found = named.join(chosen, ["name", "mark"])
+    several = found.where("n > 1").groupBy("name").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return found.where("n = 1").select(*COLUMNS).unionByName(several.select("row.*"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep every document; texts lose their secrets, and n_chars follows the text."""
+    """Keep every document; texts lose their secrets, and n_chars follows the text.
+
+    A null text becomes empty; repeated rows and null ids are handled each.
+    """
     plain = docs.select("doc_id", "text")
     found = find_secrets(docs.select(*COLUMNS), train_secrets(labelled_samples(plain)))
     spans = F.array_sort(F.concat("base", "markov"))
@@ -49,7 +68,10 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, dealt to training sequences."""
+    """The pieces of all documents, dealt to training sequences.
+
+    Every row is packed, with or without a doc_id; an empty table has no pieces.
+    """
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -65,11 +87,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage's rows are written and read again."""
+    """All stages over ``documents``; every stage's rows are written and read again.
+
+    What a stage read is removed once its own rows are written; the last stage's
+    rows stay, for the caller to read.
+    """
     docs = table(spark, sf_dir, "documents")
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4()}"
+    folder, before = shared_folder(spark, "pipeline"), None
     for name, stage in STAGES:
         path = f"{folder}/{name}.parquet"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            drop_folder(spark, before)
+        before = path
     return docs
