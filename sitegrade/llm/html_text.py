@@ -77,58 +77,84 @@ NAMES = 2.5  # other class, id and role names
 FORM = 1.0  # whole pages stand in forms
 SHALLOW = 4.5  # the classifier stays within; alone or with the edges it can outweigh all of them
 SMOOTH = 1.2
+FARTHEST = 64  # steps in the tree; an edge of more would weigh less than 1e-13
+#: Elements that end tags of inline elements inside do not reach out of.
+WALLS = frozenset("td th article body".split())
 #: Weights of the shallow features before any page is seen: long, unlinked,
 #: punctuated blocks are content.
 PRIOR = np.array([-2.0, 0.8, -3.0, 1.0, 0.5, -0.5, 0.0, 0.0])
 
 
+@dataclass(eq=False)
+class _Open:
+    """An open element; links and places, so that no question walks the whole stack."""
+
+    name: str
+    number: int
+    stance: float
+    fixed: bool  # an enclosed element cannot turn it to content again
+    hidden: bool
+    depth: int = 0  # block-level elements from the outermost one to this one
+    block: _Open | None = None  # the innermost block-level element, maybe this one
+    outer: _Open | None = None  # the innermost block-level element around this one
+    edge: int = -1  # place of the innermost block-level, svg, math or embedded html element
+    wall: int = -1  # place of the innermost element that end tags of inline elements stay inside
+
+
 @dataclass
 class Block:
     """A run of text between block-level tags, with its place in the tree."""
 
     text: str
-    path: tuple[int, ...]  # numbers of the open block-level elements, outermost first
-    tag: str
+    within: _Open | None  # the innermost block-level element, linked to those around it
     stance: float  # what the elements around say: above 0 content, below 0 boilerplate
     link_chars: int
 
-
-@dataclass
-class _Open:
-    name: str
-    number: int
-    stance: float
-    fixed: bool  # an enclosed element cannot turn it to content again
-    hidden: bool
+    @property
+    def tag(self) -> str:
+        return self.within.name if self.within else ""
 
 
 @dataclass
 class _Page:
     blocks: list[Block] = field(default_factory=list)
     stack: list[_Open] = field(default_factory=list)
+    places: dict[str, list[int]] = field(default_factory=dict)  # of the open elements, by name
     text: list[str] = field(default_factory=list)
     links: int = 0
     count: int = 0
     foreigners: bool = False  # an svg or math element was opened
 
+    def push(self, element: _Open) -> None:
+        at, name = len(self.stack), element.name
+        up = self.stack[-1] if self.stack else None
+        element.depth, element.outer = (up.depth, up.block) if up else (0, None)
+        element.block = element.outer
+        if name in BLOCKS:
+            element.depth, element.block = element.depth + 1, element
+        element.edge = at if name in BLOCKS or name in FOREIGN or name in HTML_INSIDE else up.edge if up else -1
+        element.wall = at if name in WALLS else up.wall if up else -1
+        self.places.setdefault(name, []).append(at)
+        self.stack.append(element)
+
+    def cut(self, at: int) -> None:
+        """End the element of this place and all inside it."""
+        for element in self.stack[at:]:
+            self.places[element.name].pop()
+        del self.stack[at:]
+
     def end_head(self, name: str) -> None:
         """End an open head before what cannot stand in it; its end tag may be left out."""
         if name == "body":
-            for i, e in enumerate(self.stack):
-                if e.name == "head":
-                    del self.stack[i:]
-                    return
+            if heads := self.places.get("head"):
+                self.cut(heads[0])
         elif self.stack and self.stack[-1].name == "head" and name not in HEAD_ONLY:
-            self.stack.pop()
+            self.cut(len(self.stack) - 1)
 
     def foreign(self) -> int:
         """Place of the open svg or math element whose syntax holds here; -1 for none."""
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].name in FOREIGN:
-                return i
-            if self.stack[i].name in HTML_INSIDE or self.stack[i].name in BLOCKS:
-                return -1
-        return -1
+        at = self.stack[-1].edge if self.stack else -1
+        return at if at >= 0 and self.stack[at].name in FOREIGN else -1
 
     def add(self, text: str) -> None:
         if text and not text.isspace():
@@ -144,10 +170,9 @@ class _Page:
         if self.text:
             words = " ".join("".join(self.text).split())
             if words:
-                inside = [e for e in self.stack if e.name in BLOCKS]
+                top = self.stack[-1] if self.stack else None
                 self.blocks.append(Block(
-                    words, tuple(e.number for e in inside), inside[-1].name if inside else "",
-                    self.stack[-1].stance if self.stack else 0, self.links))
+                    words, top.block if top else None, top.stance if top else 0, self.links))
             self.text, self.links = [], 0
 
     def open(self, name: str, rest: str) -> bool:
@@ -155,17 +180,19 @@ class _Page:
         self.end_head(name)
         at = self.foreign() if self.foreigners else -1
         if at >= 0 and name in BREAKOUT:
-            del self.stack[at:]
+            self.cut(at)
         elif (at >= 0 or name in FOREIGN) and rest.endswith("/>"):
             return False
         if name in BLOCKS:
             self.end_block()
-            for i in range(len(self.stack) - 1, -1, -1):
-                other = self.stack[i].name
+            at = self.stack[-1].edge if self.stack else -1
+            while at >= 0:
+                other, below = self.stack[at].name, self.stack[at - 1].edge if at else -1
                 if other in ENDS.get(name, ()):
-                    del self.stack[i:]
+                    self.cut(at)
                 elif other in BLOCKS or other in HTML_INSIDE:
                     break
+                at = below
         elif name == "br":
             self.text.append(" ")
         if name in EMPTY:
@@ -174,20 +201,21 @@ class _Page:
         up = self.stack[-1] if self.stack else _Open("", 0, 0.0, False, False)
         stance, fixed = (up.stance, True) if up.fixed else _stance(name, rest, up.stance)
         self.count += 1
-        self.stack.append(_Open(name, self.count, stance, fixed, up.hidden or name in HIDDEN))
+        self.push(_Open(name, self.count, stance, fixed, up.hidden or name in HIDDEN))
         return True
 
     def close(self, name: str) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].name == name:
-                if any(e.name in BLOCKS for e in self.stack[i:]):
-                    self.end_block()
-                del self.stack[i:]
-                return
-            if self.stack[i].name in ("td", "th", "article", "body") and name not in BLOCKS:
-                return
-        if name in BLOCKS:
+        places = self.places.get(name)
+        if not places:
+            if name in BLOCKS:
+                self.end_block()
+            return
+        at = places[-1]
+        if name not in BLOCKS and self.stack[-1].wall > at:
+            return
+        if self.stack[-1].depth > (self.stack[at - 1].depth if at else 0):
             self.end_block()
+        self.cut(at)
 
 
 def _named(rest: str) -> tuple[int, int, bool]:
@@ -271,24 +299,25 @@ def shallow_features(blocks: list[Block]) -> np.ndarray:
 def smooth_edges(blocks: list[Block]) -> list[tuple[int, int, float]]:
     """Edges of neighbouring blocks and of siblings, weaker with tree distance."""
     edges = []
-    last_of: dict[tuple[int, ...], int] = {}
+    last_of: dict[int, int] = {}
 
     def weight(a: Block, b: Block) -> float:
-        same = 0
-        for x, y in zip(a.path, b.path):
-            if x != y:
-                break
-            same += 1
-        apart = len(a.path) + len(b.path) - 2 * same
-        return SMOOTH * 0.6 ** max(0, apart - 2)
+        x, y, apart = a.within, b.within, 0
+        while x is not y and apart < FARTHEST:
+            if y is None or x is not None and x.depth >= y.depth:
+                x, apart = x.outer, apart + 1
+            else:
+                y, apart = y.outer, apart + 1
+        return 0.0 if x is not y else SMOOTH * 0.6 ** max(0, apart - 2)
 
     for i, b in enumerate(blocks):
         if i:
             edges.append((i - 1, i, weight(blocks[i - 1], b)))
-        before = last_of.get(b.path[:-1])
+        around = b.within.outer.number if b.within and b.within.outer else 0
+        before = last_of.get(around)
         if before is not None and before < i - 1:
             edges.append((before, i, 0.5 * weight(blocks[before], b)))
-        last_of[b.path[:-1]] = i
+        last_of[around] = i
     return edges
 
 

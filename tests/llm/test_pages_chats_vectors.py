@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -230,3 +231,15 @@ def test_nearest_neighbours_recall_and_scores(spark):
         hits += len({i for _, i in best} & {r[1] for r in rows})
     assert hits / 2000 >= 0.9
     assert hilbert_search.nearest(vectors.limit(0), asked.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page", [
+    "<div>word text here " * 200_000,
+    "<b>" * 100_000 + "<p>word text</p></i></span></b>" * 100_000,
+    "<table><tr><td>" * 50_000 + "cell </td></u></tr></table>" * 50_000,
+    "<svg><desc>" * 50_000 + "<g/></x>" * 50_000,
+])
+def test_deep_pages_take_time_in_proportion(page):
+    start = time.time()
+    text = html_text.main_text(page, html_text.PRIOR)
+    assert isinstance(text, str) and time.time() - start < 60
