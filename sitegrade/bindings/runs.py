@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegrade import vocab
+from sitegrade.bindings import contacts as bc
 from sitegrade.bindings.common import Query, derived, fixed, fixed_sql, plain, table
+from sitegrade.bindings.inventory import source_atoms
 from sitegrade.functions.clean import pipe_split
 from sitegrade.operators import runs
+from sitegrade.operators.lookup import literature
+from sitegrade.plans import run
+from sitegrade.session import cut_lineage, ensure_checkpoint_dir
+from sitegrade.streaming.store import EntryStore
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -351,3 +360,89 @@ r AS (SELECT entry_id, CASE WHEN metal_site_limit_exceeded <> list_contains(rs,
   WHEN metal_site_limit_exceeded AND (no_metals OR status <> 'ok' OR n_metals <= 100) THEN 'invalid_exclusion'
   WHEN no_metals AND (status <> 'ok' OR n_metals <> 0) THEN 'invalid_no_metals' END AS rule FROM m)
 SELECT * FROM r WHERE rule IS NOT NULL""")
+
+
+# ---- a whole run ---------------------------------------------------------------
+#: Entries that readers failed on: an eighth at the bonds, and some at the input.
+FAILURES = """
+SELECT DISTINCT concat('e', CAST(CAST(floor(l_orderkey / 40) AS BIGINT) AS STRING)) AS entry_id,
+  CASE WHEN floor(l_orderkey / 40) % 8 = 3 THEN 'bonds' ELSE 'input' END AS stage,
+  CASE WHEN floor(l_orderkey / 40) % 3 = 1 THEN 'ValueError' ELSE 'OSError' END AS error_class, 'unreadable' AS message
+FROM {lineitem} WHERE floor(l_orderkey / 40) % 8 = 3 OR floor(l_orderkey / 40) % 32 = 5
+"""
+RUN_LIMIT = 12
+
+
+def entry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Atom records to manifest: a run with failures, then a resumed one that mends the bonds."""
+    records = cut_lineage(source_atoms(spark, sf_dir))
+    frame = bc.cells(spark, sf_dir)
+    entries = frame.select(
+        "entry_id", (0.05 + F.pmod("entry_no", F.lit(10)) / 100).alias("dpi"),
+        F.lit("").alias("dpi_reason"), F.lit(False).alias("searched"))
+    failures = derived(spark, sf_dir, FAILURES)
+    ids = frame.select("entry_id").unionByName(
+        table(spark, sf_dir, "nation").select(F.concat(F.lit("gone"), F.col("n_nationkey")).alias("entry_id")))
+    store = EntryStore(
+        spark, f"{ensure_checkpoint_dir(spark)}/run-{uuid.uuid4().hex}", run.TABLES, buckets=16)
+    told = run.RunOptions(site_limit=RUN_LIMIT, config_id="config-a")
+    run.run_entries(spark, ids, run.RunInputs(
+        records, entries, literature(spark), failures=failures), store, 0, told)
+    run.run_entries(spark, ids, run.RunInputs(
+        records, entries, literature(spark), failures=failures.where("stage = 'input'")), store, 1,
+        replace(told, resume=True))
+    counted = [
+        store.read(name).groupBy("entry_id").agg(F.count(F.lit(1)).alias(f"stored_{name}"))
+        for name in ("inventory", "sites", "bonds", "candidates")]
+    rows = store.read("manifest").drop("analysis_config_id")
+    for part in counted:
+        rows = rows.join(part, "entry_id", "left")
+    return rows.fillna(0).withColumns({
+        c: F.array_join(c, "|") for c in ("reason_codes", "warning_codes")})
+
+
+_simple("entry_run", entry_run, f"""WITH {bc.CONTACT_CTE},
+e AS (SELECT entry_id, entry_no, count(*) AS records, count(*) FILTER (element_status <> 'valid') AS unknown FROM source GROUP BY ALL),
+m AS (SELECT entry_id, count(*) FILTER (NOT coalesce(ok AND occupancy = 0, FALSE)) AS n,
+    count(*) FILTER (coalesce(ok AND occupancy = 0, FALSE)) AS zero,
+    count(*) FILTER (NOT coalesce(ok AND occupancy = 0, FALSE) AND (x IS NULL OR y IS NULL OR z IS NULL)) AS lost
+  FROM atoms WHERE element IN ({", ".join(f"'{x}'" for x in vocab.METALS)}) GROUP BY entry_id),
+site AS (SELECT entry_id, residue_name || '/' || chain_id || '/' || resnum || '/' || atom_name AS site,
+    row_number() OVER (PARTITION BY entry_id ORDER BY chain_index, residue_index, atom_index) AS k
+  FROM atoms WHERE element IN ({", ".join(f"'{x}'" for x in vocab.METALS)}) AND NOT coalesce(ok AND occupancy = 0, FALSE)
+    AND (x IS NULL OR y IS NULL OR z IS NULL)),
+why AS (SELECT entry_id, 'geometry unavailable for selected metal site(s) with non-finite coordinates: '
+    || string_agg(CASE WHEN k <= 5 THEN site END, ', ' ORDER BY k)
+    || CASE WHEN count(*) > 5 THEN ' (and ' || (count(*) - 5) || ' more)' ELSE '' END AS message FROM site GROUP BY entry_id),
+pair AS (SELECT DISTINCT entry_id, me || '-' || ne AS pair FROM judged WHERE target IS NULL AND allowed),
+bare AS (SELECT entry_id, list(pair ORDER BY pair) AS ps FROM pair GROUP BY entry_id),
+c AS (SELECT entry_id, count(*) AS n_candidates, count(*) FILTER (inside AND allowed) AS n_bonds FROM judged GROUP BY entry_id),
+j AS (
+  SELECT e.*, coalesce(m.n, 0) AS n, coalesce(m.zero, 0) AS zero, coalesce(m.lost, 0) AS lost, why.message, bare.ps,
+    coalesce(c.n_candidates, 0) AS nc, coalesce(c.n_bonds, 0) AS nb,
+    CASE WHEN entry_no % 32 = 5 THEN 'input' WHEN coalesce(m.n, 0) > {RUN_LIMIT} THEN 'over'
+      WHEN coalesce(m.n, 0) = 0 AND unknown > 0 THEN 'unknown' WHEN coalesce(m.n, 0) = 0 THEN 'none' ELSE 'run' END AS way,
+    concat_ws('|', CASE WHEN unknown > 0 THEN 'unknown_elements' END,
+      CASE WHEN coalesce(m.zero, 0) > 0 THEN 'zero_occupancy_metal_excluded' END) AS ws
+  FROM e LEFT JOIN m USING (entry_id) LEFT JOIN why USING (entry_id) LEFT JOIN bare USING (entry_id) LEFT JOIN c USING (entry_id)
+),
+r AS (
+  SELECT *, CASE way WHEN 'input' THEN CASE WHEN entry_no % 3 = 1 THEN 'deterministic_processing_error' ELSE 'unexpected_processing_error' END
+    WHEN 'over' THEN 'metal_site_limit_exceeded' WHEN 'unknown' THEN 'metal_presence_indeterminate' WHEN 'none' THEN ''
+    ELSE concat_ws('|', CASE WHEN lost > 0 THEN 'non_finite_metal_coordinates' END,
+      CASE WHEN ps IS NOT NULL THEN 'missing_first_sphere_reference' END) END AS rs
+  FROM j
+)
+SELECT entry_id, CASE WHEN way = 'input' THEN 'error' WHEN way IN ('over', 'none') OR rs = '' THEN 'ok' ELSE 'partial' END AS status,
+  way = 'input' AS retryable, rs AS reason_codes, CASE WHEN way = 'input' THEN '' ELSE ws END AS warning_codes,
+  CASE way WHEN 'input' THEN CASE WHEN entry_no % 3 = 1 THEN 'ValueError' ELSE 'OSError' END || ': unreadable'
+    WHEN 'unknown' THEN 'cannot establish metal absence: ' || unknown || ' atom(s) have missing or invalid element symbols'
+    WHEN 'run' THEN concat_ws('; ', message, CASE WHEN ps IS NOT NULL THEN 'no first-sphere reference for ' || array_to_string(ps[1:5], ', ')
+      || CASE WHEN len(ps) > 5 THEN ' (and ' || (len(ps) - 5) || ' more)' ELSE '' END END) ELSE '' END AS status_detail,
+  CASE WHEN way = 'input' THEN 0 ELSE n END AS n_metals, CASE WHEN way = 'run' THEN nb ELSE 0 END AS n_bonds,
+  CASE WHEN way = 'run' THEN nc ELSE 0 END AS n_candidates, way = 'none' AS no_metals, way = 'over' AS metal_site_limit_exceeded,
+  CASE WHEN way = 'input' THEN 0 ELSE 1 END AS stored_inventory, CASE WHEN way = 'run' THEN n ELSE 0 END AS stored_sites,
+  CASE WHEN way = 'run' THEN nb ELSE 0 END AS stored_bonds, CASE WHEN way = 'run' THEN nc ELSE 0 END AS stored_candidates
+FROM r
+UNION ALL SELECT 'gone' || n_nationkey, 'skip', TRUE, 'missing_input', '', 'missing input: no records',
+  0, 0, 0, FALSE, FALSE, 0, 0, 0, 0 FROM nation""")

@@ -362,9 +362,18 @@ def metals_without_position(atoms: DataFrame, named: int = 5) -> DataFrame:
 
 def unsupported_pairs(candidates: DataFrame) -> DataFrame:
     """Per entry, the metal-donor pairs no reference covers, sorted and shortened."""
+    return _pairs_without_reference(candidates, "m_element", "n_element")
+
+
+def uncovered_pairs(candidates: DataFrame) -> DataFrame:
+    """The same of published candidate rows."""
+    return _pairs_without_reference(candidates, "metal_element", "neighbor_element")
+
+
+def _pairs_without_reference(candidates: DataFrame, metal: str, donor: str) -> DataFrame:
     pairs = candidates.where(
         F.col("eligibility_status") == "missing_assignment_reference"
-    ).select("entry_id", F.concat_ws("-", "m_element", "n_element").alias("pair")).distinct()
+    ).select("entry_id", F.concat_ws("-", metal, donor).alias("pair")).distinct()
     return pairs.groupBy("entry_id").agg(
         F.array_sort(F.collect_list("pair")).alias("pairs")
     )

@@ -361,12 +361,12 @@ def weighted_atom_count(deposited: Column, ncs_operations: Column) -> Column:
     return deposited * (1 + F.coalesce(ncs_operations, F.lit(0)))
 
 
-def early_outcome(entries: DataFrame) -> DataFrame:
+def early_outcome(entries: DataFrame, site_limit: int = vocab.MAX_METAL_SITES) -> DataFrame:
     """Entries that finish before any contact or density work, with their outcome.
 
     ``entries`` holds ``entry_id, n_metals, unknown_element_atom_count``.
     """
-    over = F.col("n_metals") > vocab.MAX_METAL_SITES
+    over = F.col("n_metals") > site_limit
     none = F.col("n_metals") == 0
     unknown = none & (F.col("unknown_element_atom_count") > 0)
     status = F.when(over, F.lit("ok")).when(unknown, F.lit("partial")).when(none, F.lit("ok"))
