@@ -142,8 +142,9 @@ def fingerprints(
     texts = texts.withColumn("mark", F.xxhash64("text"))
     rows = with_fingerprint(
         texts.withColumn("n", F.length("text").cast("bigint")), "text", "fingerprint", bins, bits, words)
+    # packed to bytes on the way, as digits in the result
     known = cut_lineage(rows.groupBy("doc_id", "mark").agg(
-        F.max("n").alias("n"), F.max("fingerprint").alias("fingerprint")))
+        F.max("n").alias("n"), F.max(F.unhex("fingerprint")).alias("fingerprint")))
     order = cut_lineage(in_order(known.select("doc_id", "mark", "n")))
     following = known.select("doc_id", "mark", F.col("fingerprint").alias("next_fingerprint"))
     pairs = known.alias("a").join(order.alias("b"), F.expr(_SAME)).select(
@@ -154,8 +155,12 @@ def fingerprints(
     edited = with_fingerprint(
         edited_texts(texts, order), "edited", "edited_fingerprint", bins, bits, words
     ).select("doc_id", "mark", F.sha2("edited", 256).alias("edited_sha256"), "edited_fingerprint")
-    mine = F.col("b.fingerprint")
-    return edited.alias("a").join(pairs.alias("b"), F.expr(_SAME)).select(
-        "a.doc_id", F.col("b.n").alias("n_chars"), "a.edited_sha256", mine.alias("fingerprint"),
-        "a.edited_fingerprint", likeness(mine, F.col("a.edited_fingerprint"), bins, bits).alias("near_edited"),
-        likeness(mine, F.col("b.next_fingerprint"), bins, bits).alias("near_next"))
+    found = edited.alias("a").join(pairs.alias("b"), F.expr(_SAME)).select(
+        "a.doc_id", "b.n", "a.edited_sha256", "a.edited_fingerprint",
+        F.lower(F.hex("b.fingerprint")).alias("fingerprint"),
+        F.lower(F.hex("b.next_fingerprint")).alias("next_fingerprint"))
+    mine = F.col("fingerprint")
+    return found.select(
+        "doc_id", F.col("n").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint",
+        likeness(mine, F.col("edited_fingerprint"), bins, bits).alias("near_edited"),
+        likeness(mine, F.col("next_fingerprint"), bins, bits).alias("near_next"))
