@@ -80,7 +80,8 @@ class EntryStore:
     def commit(self, staged: dict[str, DataFrame], replaced: DataFrame, batch_id: int) -> bool:
         """Replace the entries of ``replaced`` in every table by their ``staged`` rows.
 
-        Rows of other entries in ``staged`` are ignored. Returns False, and does
+        Rows of other entries in ``staged`` are ignored. A table may gain columns,
+        which rows stored before lack. Returns False, and does
         nothing, for a batch that was committed before.
         """
         if set(staged) != set(self.tables):
@@ -101,7 +102,7 @@ class EntryStore:
                 old = self._rows(state, name, touched).withColumn("__key", key)
                 kept = old.join(ids, "__key", "left_anti").withColumn(
                     "bucket", _bucket([F.col("__key")], self.buckets)).drop("__key")
-                fresh = kept.unionByName(fresh)
+                fresh = kept.unionByName(fresh, allowMissingColumns=True)
             path = f"{self.folder}/{name}/batch={batch_id}"
             # adaptive execution splits a bucket that one entry crowds
             fresh.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
@@ -109,7 +110,7 @@ class EntryStore:
             before = {} if state is None else state["buckets"][name]
             held[name] = {str(b): v for b, v in before.items() if int(b) not in touched} | {
                 str(b): batch_id for b in found}
-            schemas[name] = staged[name].schema.jsonValue()
+            schemas[name] = fresh.drop("bucket").schema.jsonValue()
         pointer = json.dumps({"batch": batch_id, "schemas": schemas, "buckets": held})
         self.spark.createDataFrame([(pointer,)], "value string").coalesce(1).write.mode("overwrite").text(
             f"{self.folder}/pointer/batch={batch_id}")
