@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegrade.bindings import contacts as bc
-from sitegrade.bindings.common import Query, exact_sql, fixed, fixed_sql
+from sitegrade.bindings.common import Query, derived, exact_sql, fixed, fixed_sql, plain, table
+from sitegrade.bindings.inventory import source_atoms
+from sitegrade.operators import contacts as con
 from sitegrade.operators.lookup import literature
 from sitegrade.plans.contacts import ContactTables, analyze_contacts
+from sitegrade.plans.sites import annotated_sites, entry_precision
+from sitegrade.session import cut_lineage
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -157,3 +161,77 @@ SELECT entry_id || ':m0:c' || mc || ':r' || mr || ':a' || ma AS metal_site_id, f
   warned AS context_warning, pnb AS donor_b_iso_count,
   CASE WHEN finite THEN coalesce(n6, 0) END AS nearby_metal_count_6a, nearest AS nearest_metal_element
 FROM f"""
+
+
+# ---- columns of the entry and the metal ----------------------------------------
+PRECISION = """
+SELECT DISTINCT concat('e', CAST(CAST(floor(l_orderkey / 40) AS BIGINT) AS STRING)) AS entry_id,
+  1.5e0 + (CAST(floor(l_orderkey / 40) AS BIGINT) % 20) / 10e0 AS resolution,
+  CASE WHEN floor(l_orderkey / 40) % 9 <> 0 THEN 0.21e0 END AS r_free,
+  (CAST(floor(l_orderkey / 40) AS BIGINT) % 13) * 1500e0 AS reflection_count,
+  6840e0 AS asu_volume, 120e0 + (CAST(floor(l_orderkey / 40) AS BIGINT) % 50) / 7e0 AS occupancy_weighted_atom_count,
+  60e0 + (CAST(floor(l_orderkey / 40) AS BIGINT) % 50) / 14e0 AS deposited_occupancy_weighted_atom_count,
+  floor(l_orderkey / 40) % 10 <> 7 AS has_source, floor(l_orderkey / 40) % 17 <> 0 AS metadata_numeric,
+  floor(l_orderkey / 40) % 11 = 0 AS occupancy_validation_failed
+FROM {lineitem}
+"""
+
+
+def site_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every selected metal with the columns of its entry and of itself; a third has no symmetry."""
+    records = cut_lineage(source_atoms(spark, sf_dir))
+    atoms = bc.contact_table(spark, sf_dir)
+    metals = con._prefixed(atoms.where(con.is_metal()), "m_").select(*con.SITE)
+    structural = table(spark, sf_dir, "nation").select(
+        F.when(F.col("n_nationkey") == 0, "HEM").otherwise(F.concat(F.lit("N"), "n_nationkey")).alias("residue_name"),
+        F.when(F.col("n_nationkey") == 0, "heme").otherwise("cluster").alias("structural_class"))
+    found = annotated_sites(
+        metals, records, atoms, entry_precision(derived(spark, sf_dir, PRECISION)),
+        bc.cells(spark, sf_dir).where("entry_no % 3 <> 2"), bc.operations(spark, sf_dir), structural, cutoff=3.0)
+    return found.withColumns({"resolution": fixed("resolution", 3), "asu_volume": fixed("asu_volume", 3)})
+
+
+QUERIES["site_annotations"] = site_annotations
+ORACLES["site_annotations"] = f"""
+WITH {bc._IMAGE_CTE},
+site AS (SELECT * FROM atoms WHERE element IN ({bc._METALS}) AND NOT coalesce(ok AND occupancy = 0, FALSE)),
+near AS (
+  SELECT m.entry_id, m.chain_index, m.residue_index, m.atom_index, o.image_index, m.cb,
+    n.gu - m.u - round(n.gu - m.u) AS du, n.gv - m.v - round(n.gv - m.v) AS dv, n.gw - m.w - round(n.gw - m.w) AS dw
+  FROM fract m JOIN imaged n ON m.entry_id = n.entry_id AND m.chain_index = n.chain_index
+    AND m.residue_index = n.residue_index AND m.atom_index = n.atom_index
+    JOIN ops o ON o.image_index = n.image_index AND o.parity = m.entry_no % 2 AND NOT o.is_ncs AND NOT n.is_ncs
+  WHERE m.element IN ({bc._METALS}) AND m.entry_no % 3 <> 2
+),
+k AS (SELECT entry_id, chain_index, residue_index, atom_index,
+    count(*) FILTER (image_index > 0 AND (20e0 * du + 18e0 * cb * dw) ** 2 + (19e0 * dv) ** 2
+      + (18e0 * sqrt(1 - cb * cb) * dw) ** 2 <= 9e0) AS k FROM near GROUP BY ALL),
+f AS (SELECT entry_id, chain_index, residue_index, atom_name, element_key,
+    CASE WHEN bool_and(ok) THEN count(*) > 1 AND sum(CAST(occupancy AS DECIMAL(18, 6))) > 1 END AS over
+  FROM source WHERE element_key IN ({bc._METALS}) GROUP BY ALL),
+parts AS (SELECT entry_id, chain_index, residue_index, count(*) AS n FROM atoms GROUP BY ALL),
+b AS (SELECT entry_id, median(b_iso) AS b FROM atoms
+  WHERE NOT is_water AND NOT is_hydrogen AND NOT coalesce(ok AND occupancy = 0, FALSE) GROUP BY entry_id),
+p AS (SELECT *, CASE WHEN NOT has_source THEN 'missing_dpi_metadata_source' WHEN NOT metadata_numeric THEN 'invalid_dpi_metadata'
+    WHEN occupancy_validation_failed THEN 'invalid_occupancy' WHEN reflection_count <= 0 THEN 'missing_or_invalid_reflection_count'
+    WHEN r_free IS NULL THEN 'missing_or_invalid_rfree' ELSE '' END AS dpi_reason FROM ({plain(PRECISION)})),
+d AS (SELECT *, CASE WHEN dpi_reason = '' THEN 1.28e0 * pow(occupancy_weighted_atom_count, 0.5e0) * pow(asu_volume, 1e0 / 3)
+    * pow(reflection_count, -5e0 / 6) * r_free END AS raw FROM p),
+j AS (
+  SELECT s.*, k.k, CASE WHEN s.entry_no % 2 = 0 THEN 4 ELSE 2 END AS n_ops, f.over, parts.n AS parts
+  FROM site s LEFT JOIN k USING (entry_id, chain_index, residue_index, atom_index)
+  LEFT JOIN f ON f.entry_id = s.entry_id AND f.chain_index = s.chain_index AND f.residue_index = s.residue_index
+    AND f.atom_name = s.atom_name AND f.element_key = s.element
+  LEFT JOIN parts ON parts.entry_id = s.entry_id AND parts.chain_index = s.chain_index AND parts.residue_index = s.residue_index
+)
+SELECT j.entry_id, j.chain_index AS m_chain_index, j.residue_index AS m_residue_index, j.atom_index AS m_atom_index,
+  over AS metal_overfull_occupancy,
+  CASE WHEN residue_name = 'HEM' THEN 'heme' WHEN parts = 1 THEN 'ion' ELSE 'other' END AS metal_component_class,
+  k > 0 AS metal_special_position, CASE WHEN n_ops % (k + 1) = 0 THEN k + 1 END AS metal_site_symmetry_order,
+  CASE WHEN n_ops % (k + 1) = 0 THEN {fixed_sql("1e0 / (k + 1)")} END AS metal_expected_crystallographic_occupancy,
+  CASE WHEN n_ops % (k + 1) = 0 AND ok THEN abs(occupancy - 1e0 / (k + 1)) <= 0.015e0 END AS metal_occupancy_matches_site_symmetry,
+  {exact_sql("b", 3)} AS entry_nonwater_median_b_iso, {exact_sql("raw", 4)} AS dpi, dpi_reason,
+  {fixed_sql("resolution", 3)} AS resolution, r_free, reflection_count, {fixed_sql("asu_volume", 3)} AS asu_volume,
+  {exact_sql("occupancy_weighted_atom_count", 6)} AS occupancy_weighted_atom_count,
+  {exact_sql("deposited_occupancy_weighted_atom_count", 6)} AS deposited_occupancy_weighted_atom_count
+FROM j LEFT JOIN b ON b.entry_id = j.entry_id LEFT JOIN d ON d.entry_id = j.entry_id"""
