@@ -351,6 +351,36 @@ j AS (SELECT entry_id, status, CAST(CASE WHEN metal_site_limit_exceeded THEN 0 E
 SELECT * FROM j WHERE CASE WHEN status = 'ok' THEN actual <> expected ELSE actual > expected END""")
 
 
+def artifact_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three stored tables against one manifest: sites, bonds and candidates from orders and lines."""
+    orders = table(spark, sf_dir, "orders").selectExpr("CAST(o_custkey AS STRING) AS entry_id", "o_orderkey", "o_orderstatus")
+    lines = table(spark, sf_dir, "lineitem").where("l_linenumber > 4").select(F.col("l_orderkey").alias("o_orderkey"))
+    strange = table(spark, sf_dir, "nation").select(F.concat(F.lit(" X"), "n_nationkey").alias("entry_id"))
+    return runs.reconcile_tables(manifest(spark, sf_dir), {
+        "sites": (orders.where("o_orderstatus = 'P'").select("entry_id").unionByName(strange), "n_metals"),
+        "bonds": (orders.select("entry_id"), "n_bonds"),
+        "candidates": (orders.join(lines, "o_orderkey").select("entry_id"), "n_candidates"),
+    })
+
+
+_simple("artifact_tables", artifact_tables, f"""WITH {_M},
+rows AS (SELECT 'sites' AS "table", CAST(o_custkey AS VARCHAR) AS e FROM orders WHERE o_orderstatus = 'P'
+  UNION ALL SELECT 'sites', 'x' || n_nationkey FROM nation
+  UNION ALL SELECT 'bonds', CAST(o_custkey AS VARCHAR) FROM orders
+  UNION ALL SELECT 'candidates', CAST(o_custkey AS VARCHAR) FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber > 4),
+c AS (SELECT "table", e, count(*) AS n FROM rows GROUP BY ALL),
+told AS (SELECT 'sites' AS "table", entry_id, status, terminal, metal_site_limit_exceeded AS out, n_metals AS n FROM t
+  UNION ALL SELECT 'bonds', entry_id, status, terminal, metal_site_limit_exceeded, n_bonds FROM t
+  UNION ALL SELECT 'candidates', entry_id, status, terminal, metal_site_limit_exceeded, n_candidates FROM t),
+j AS (SELECT coalesce(a."table", c."table") AS "table", coalesce(a.entry_id, c.e) AS entry_id, status, terminal, out,
+    coalesce(a.n, 0) AS s, coalesce(c.n, 0) AS actual, a.entry_id IS NULL AS lone
+  FROM told a FULL OUTER JOIN c ON a."table" = c."table" AND a.entry_id = c.e),
+r AS (SELECT *, CASE WHEN lone THEN 'unknown_entry' WHEN NOT terminal THEN '' WHEN out THEN CASE WHEN actual > 0 THEN 'none' ELSE '' END
+    WHEN status = 'ok' AND actual <> s THEN 'equal' WHEN status <> 'ok' AND actual > s THEN 'at_most' ELSE '' END AS rule FROM j)
+SELECT "table", entry_id, status, CASE WHEN lone THEN NULL WHEN out THEN 0 ELSE CAST(s AS BIGINT) END AS stated, actual, rule
+FROM r WHERE rule <> ''""")
+
+
 def manifest_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.manifest_conflicts(manifest(spark, sf_dir))
 

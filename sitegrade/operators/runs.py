@@ -365,6 +365,48 @@ def reconcile_counts(
     return joined.where(wrong).select(key, "status", "expected", "actual")
 
 
+def reconcile_tables(
+    manifest: DataFrame, tables: dict[str, tuple[DataFrame, str]], key: str = "entry_id",
+) -> DataFrame:
+    """Every disagreement of protected manifest rows with the stored tables of a run.
+
+    ``tables`` maps a name to its rows and the manifest column that counts them.
+    All rows are tagged and counted in one aggregate, then met once by the
+    manifest. An ok entry needs the exact number (``equal``), a partial one at
+    most that many (``at_most``), an excluded one none (``none``); a blank number
+    stands for zero. Rows of entries without any manifest row are ``unknown_entry``.
+    """
+    tagged = None
+    for name, (rows, _) in tables.items():
+        part = rows.select(F.lit(name).alias("table"), F.lower(F.trim(key)).alias("__key"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    counted = tagged.groupBy("table", "__key").agg(F.count(F.lit(1)).alias("actual"))
+    told = manifest.select(
+        F.lower(F.trim(key)).alias("__key"), "status",
+        is_terminal("status", "retryable", "reason_codes").alias("protected"),
+        F.coalesce(F.col("metal_site_limit_exceeded"), F.lit(False)).alias("excluded"),
+        F.explode(F.array(*[
+            F.struct(F.lit(name).alias("table"), F.coalesce(F.col(count).cast("long"), F.lit(0)).alias("stated"))
+            for name, (_, count) in tables.items()])).alias("t"),
+    ).select("__key", "status", "protected", "excluded", "t.*")
+    joined = told.join(counted, ["table", "__key"], "full_outer").withColumn(
+        "actual", F.coalesce("actual", F.lit(0)))
+    ok = F.col("status") == "ok"
+    rule = first_label(
+        [
+            (F.col("protected").isNull(), "unknown_entry"),
+            (~F.col("protected"), ""),
+            (F.col("excluded") & (F.col("actual") > 0), "none"),
+            (F.col("excluded"), ""),
+            (ok & (F.col("actual") != F.col("stated")), "equal"),
+            (~ok & (F.col("actual") > F.col("stated")), "at_most"),
+        ], "")
+    return joined.withColumn("rule", rule).where("rule <> ''").select(
+        F.col("table"), F.col("__key").alias(key), "status",
+        F.when(F.col("excluded"), F.lit(0)).otherwise(F.col("stated")).cast("long").alias("stated"),
+        "actual", "rule")
+
+
 def manifest_conflicts(manifest: DataFrame) -> DataFrame:
     """Rows whose flags contradict one another, with the rule they break."""
     ok = F.col("status") == "ok"
