@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitegrade import vocab
-from sitegrade.bindings.common import Query, table
+from sitegrade.bindings.common import Query, derived, plain, table
 from sitegrade.functions import clean
 from sitegrade.functions.ids import policy_digest, portable_path
 from sitegrade.operators import catalog, conditions, density, distribution, inventory
+from sitegrade.operators.contacts import with_neighbor_class
+from sitegrade.operators.lookup import residue_classes
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -185,3 +187,39 @@ _add(data_statuses, """
 SELECT doc_id, CASE WHEN doc_id % 5 <> 0 AND toxic = 1 THEN 'available' WHEN doc_id % 7 = 0 THEN 'input_unavailable'
   WHEN doc_id % 3 <> 0 AND quality <> 1 THEN 'unparseable' ELSE 'not_reported' END AS status
 FROM labels""")
+
+
+# ---- residue classes -----------------------------------------------------------
+#: Lines as neighbours: parts are components, every eleventh a residue of a common name.
+NEIGHBORS = """
+SELECT l_orderkey, l_linenumber, l_linestatus = 'F' AND l_tax = 0 AS n_is_water,
+  CASE WHEN l_partkey % 11 = 0
+       THEN split_part('A,DG,MSE,SEP,HIS,U,DT,SEC,ZZZ', ',', CAST(l_suppkey % 9 + 1 AS INT))
+       ELSE concat('P', CAST(l_partkey AS STRING)) END AS n_residue_name
+FROM {lineitem}
+"""
+#: The class table: some parts are in it, some in both classes, and it overrules a bundled name.
+CLASSES = """
+SELECT concat('P', CAST(p_partkey AS STRING)) AS residue_name, 'nucleotide' AS residue_class
+FROM {part} WHERE p_partkey % 7 = 0
+UNION ALL SELECT concat('P', CAST(p_partkey AS STRING)), 'amino_acid' FROM {part} WHERE p_partkey % 5 = 0
+UNION ALL SELECT 'SEC', 'nucleotide' FROM {region} WHERE r_regionkey = 0
+"""
+
+
+def neighbor_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every neighbour's residue by the component table and the bundled names."""
+    rows = derived(spark, sf_dir, NEIGHBORS)
+    classes = residue_classes(spark, derived(spark, sf_dir, CLASSES))
+    return with_neighbor_class(rows, classes).groupBy("n_residue_name", "neighbor_class").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+QUERIES["neighbor_classes"] = neighbor_classes
+ORACLES["neighbor_classes"] = f"""
+WITH r AS ({plain(NEIGHBORS)}), c AS (SELECT residue_name, max(residue_class) AS kind FROM ({plain(CLASSES)}) GROUP BY 1)
+SELECT n_residue_name, CASE WHEN n_is_water THEN 'water' WHEN kind IS NOT NULL THEN kind
+    WHEN n_residue_name IN ('A', 'DG', 'U', 'DT') THEN 'nucleotide' WHEN n_residue_name IN ('MSE', 'SEP', 'HIS') THEN 'amino_acid'
+    ELSE 'other' END AS neighbor_class, count(*) AS n
+FROM r LEFT JOIN c ON residue_name = n_residue_name GROUP BY ALL
+"""

@@ -280,8 +280,11 @@ def analyze_contacts(
     image-inclusive scope is primary for every entry that has them.
     ``declared`` holds placed candidate rows of declared connections.
     ``components`` (``residue_name, residue_class``) classes the residues of
-    declared neighbours; without it only the bundled names are known.
+    neighbours. Proximity finds standard amino acids and waters only, declared
+    connections any residue, so ``declared`` needs the table.
     """
+    if declared is not None and components is None:
+        raise ValueError("declared neighbours may be of any residue: give the class table of components")
     classes = residue_classes(atoms.sparkSession, components)
     atoms = cut_lineage(atoms)
     metals, donors = con.metals_of(atoms), con.donors_of(atoms)

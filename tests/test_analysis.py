@@ -96,7 +96,10 @@ def test_images_and_declarations(spark, atoms, entries):
     assert {r.position: (r.outcome, r.issue) for r in outcomes.collect()} == {
         1: ("candidate", None), 2: ("unresolved", "LINK l2 partner unresolved"), 3: ("ignored", None)}
     declared = as_explicit(dec.declared_pairs(outcomes).drop("asu").withColumn("distance", F.lit(2.2)))
-    result = analyze_contacts(atoms, entries, literature(spark), cells, ops, declared)
+    with pytest.raises(ValueError, match="class table"):
+        analyze_contacts(atoms, entries, literature(spark), cells, ops, declared)
+    classes = spark.createDataFrame([], "residue_name string, residue_class string")
+    result = analyze_contacts(atoms, entries, literature(spark), cells, ops, declared, classes)
     zn = result.sites.where("m_element = 'ZN'").first()
     # The two-fold axis runs through the metal: every off-axis donor appears twice.
     assert zn.explicit_candidate_contact_count == 4 and zn.candidate_contact_count == 6
