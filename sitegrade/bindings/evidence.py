@@ -451,3 +451,90 @@ ORACLES["request_reconciliation"] = """
 SELECT CAST(doc_id AS VARCHAR) AS entry_id, quality, quality IS NOT NULL AS entry_available
 FROM documents LEFT JOIN labels USING (doc_id)
 """
+
+
+# ---- conditions of the winning source ------------------------------------------
+#: Orders as local conditions and large lines as deposited ones of customers.
+LOCAL_CONDITIONS = """
+SELECT CAST(o_custkey AS STRING) AS entry_id, o_orderkey AS position, '' AS crystal_id, 'VAPOR DIFFUSION' AS method,
+  CASE WHEN o_orderkey % 3 = 0 THEN CAST(4 + o_orderkey % 7 AS STRING) ELSE '' END AS pH, '' AS pH_range,
+  CAST(270 + o_orderkey % 40 AS STRING) AS temperature_K, '' AS temperature_details,
+  CASE WHEN o_orderkey % 2 = 0 THEN concat('salt ', CAST(o_orderkey % 10 AS STRING)) ELSE '' END AS raw_details
+FROM {orders} WHERE o_custkey % 4 <> 1
+"""
+DEPOSITED_CONDITIONS = """
+SELECT CAST(o_custkey AS STRING) AS entry_id, l_orderkey * 10 + l_linenumber AS position, '1' AS crystal_id,
+  CASE WHEN l_linenumber = 1 THEN '' ELSE 'BATCH' END AS method, '' AS pH, '' AS pH_range, '' AS temperature_K,
+  '' AS temperature_details, '' AS raw_details
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey WHERE l_quantity > 45
+"""
+
+
+def _read_conditions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, cond.ConditionSource, cond.ConditionSource]:
+    customers = table(spark, sf_dir, "customer")
+    local = customers.where("c_custkey % 5 <> 0").selectExpr(
+        "CAST(c_custkey AS STRING) AS entry_id", "c_custkey % 8 <> 1 AS present", "c_custkey % 6 <> 1 AS parsed",
+        "'pdb' AS source_format", "'coordinate_file' AS metadata_source", "CAST(NULL AS STRING) AS retrieved_at_utc",
+        "CAST(NULL AS STRING) AS entry_revision_date")
+    deposited = customers.where("c_custkey % 3 <> 0").selectExpr(
+        "CAST(c_custkey AS STRING) AS entry_id", "c_nationkey % 2 = 0 AS present", "true AS parsed",
+        "'json' AS source_format", "'service' AS metadata_source", "'2020' AS retrieved_at_utc", "'2019' AS entry_revision_date")
+    return (
+        customers.select(F.col("c_custkey").cast("string").alias("entry_id")),
+        cond.ConditionSource(derived(spark, sf_dir, LOCAL_CONDITIONS).join(
+            local.where("parsed AND present").select("entry_id"), "entry_id", "left_semi"), local),
+        cond.ConditionSource(derived(spark, sf_dir, DEPOSITED_CONDITIONS).join(
+            deposited.select("entry_id"), "entry_id", "left_semi"), deposited))
+
+
+def condition_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One summary of every customer from the source that wins, default rows included."""
+    entries, local, deposited = _read_conditions(spark, sf_dir)
+    _, summary = cond.condition_context(entries, local, deposited)
+    return summary.select(
+        "entry_id", "chosen", "status", "source_format", "metadata_source", "retrieved_at_utc", "entry_revision_date",
+        "condition_count", "pH_min", "pH_max", "temperature_min_K", "temperature_max_K", "any_metal",
+        F.array_join("metals", "|").alias("metals"), "raw_text")
+
+
+def winning_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The condition rows of the winning sources, the local one preferred."""
+    entries, local, deposited = _read_conditions(spark, sf_dir)
+    rows, _ = cond.condition_context(entries, local, deposited, prefer_local=True)
+    return rows.select("entry_id", "position", "ordinal", "method", "metadata_source")
+
+
+_CONTEXT_CTE = f"""l0 AS (SELECT c_custkey AS k, c_custkey % 8 <> 1 AS present, c_custkey % 6 <> 1 AS parsed FROM customer WHERE c_custkey % 5 <> 0),
+d0 AS (SELECT c_custkey AS k, c_nationkey % 2 = 0 AS present FROM customer WHERE c_custkey % 3 <> 0),
+lr AS (SELECT r.*, row_number() OVER (PARTITION BY entry_id ORDER BY position) AS ordinal FROM ({plain(LOCAL_CONDITIONS)}) r
+  JOIN l0 ON entry_id = CAST(k AS VARCHAR) WHERE present AND parsed),
+dr AS (SELECT r.*, row_number() OVER (PARTITION BY entry_id ORDER BY position) AS ordinal FROM ({plain(DEPOSITED_CONDITIONS)}) r
+  JOIN d0 ON entry_id = CAST(k AS VARCHAR) WHERE r.method <> ''),
+ls AS (SELECT c_custkey AS k, CASE WHEN l0.k IS NULL THEN 'input_unavailable' WHEN CAST(c_custkey AS VARCHAR) IN (SELECT entry_id FROM lr) THEN 'available'
+    WHEN NOT present THEN 'input_unavailable' WHEN NOT parsed THEN 'unparseable' ELSE 'not_reported' END AS l, l0.k IS NOT NULL AS lk
+  FROM customer LEFT JOIN l0 ON l0.k = c_custkey),
+ds AS (SELECT k, CASE WHEN CAST(k AS VARCHAR) IN (SELECT entry_id FROM dr) THEN 'available' WHEN NOT present THEN 'input_unavailable'
+    ELSE 'not_reported' END AS d FROM d0),
+pick AS (SELECT ls.k, l, d, lk, CASE WHEN d IS NULL THEN 'local' WHEN d = 'available' THEN 'deposited' WHEN l = 'available' THEN 'local' ELSE 'deposited' END AS chosen,
+    CASE WHEN d IS NULL OR l = 'available' THEN 'local' WHEN d = 'available' THEN 'deposited' ELSE 'local' END AS manual
+  FROM ls LEFT JOIN ds ON ds.k = ls.k)"""
+QUERIES["condition_context"] = condition_context
+ORACLES["condition_context"] = f"""WITH {_CONTEXT_CTE},
+won AS (SELECT lr.* FROM lr JOIN pick ON entry_id = CAST(k AS VARCHAR) WHERE chosen = 'local'
+  UNION ALL SELECT dr.* FROM dr JOIN pick ON entry_id = CAST(k AS VARCHAR) WHERE chosen = 'deposited'),
+t AS (SELECT entry_id, string_agg(raw_details, ' || ' ORDER BY first_at) AS raw FROM (
+    SELECT entry_id, raw_details, min(ordinal) AS first_at FROM won WHERE raw_details <> '' GROUP BY ALL) GROUP BY entry_id),
+s AS (SELECT entry_id, count(*) AS n, min(try_cast(pH AS DOUBLE)) AS lo, max(try_cast(pH AS DOUBLE)) AS hi,
+    min(try_cast(temperature_K AS DOUBLE)) AS cold, max(try_cast(temperature_K AS DOUBLE)) AS warm FROM won GROUP BY entry_id)
+SELECT CAST(k AS VARCHAR) AS entry_id, chosen, CASE chosen WHEN 'local' THEN l ELSE d END AS status,
+  CASE WHEN chosen = 'deposited' THEN 'json' WHEN lk THEN 'pdb' ELSE '' END AS source_format,
+  CASE WHEN chosen = 'deposited' THEN 'service' WHEN lk THEN 'coordinate_file' ELSE '' END AS metadata_source,
+  CASE WHEN chosen = 'deposited' THEN '2020' ELSE '' END AS retrieved_at_utc,
+  CASE WHEN chosen = 'deposited' THEN '2019' ELSE '' END AS entry_revision_date,
+  coalesce(n, 0) AS condition_count, lo AS pH_min, hi AS pH_max, cold AS temperature_min_K, warm AS temperature_max_K,
+  FALSE AS any_metal, '' AS metals, coalesce(raw, '') AS raw_text
+FROM pick LEFT JOIN s ON s.entry_id = CAST(k AS VARCHAR) LEFT JOIN t ON t.entry_id = CAST(k AS VARCHAR)"""
+QUERIES["winning_conditions"] = winning_conditions
+ORACLES["winning_conditions"] = f"""WITH {_CONTEXT_CTE}
+SELECT entry_id, position, ordinal, method, 'coordinate_file' AS metadata_source FROM lr JOIN pick ON entry_id = CAST(k AS VARCHAR) WHERE manual = 'local'
+UNION ALL SELECT entry_id, position, ordinal, method, 'service' FROM dr JOIN pick ON entry_id = CAST(k AS VARCHAR) WHERE manual = 'deposited'"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from sitegrade.functions import conditions as fc
 from sitegrade.functions.clean import clean_placeholder, finite_text
 from sitegrade.functions.ids import condition_id, entry_id
 from sitegrade.operators.prefix import ordinal_within
+from sitegrade.session import cut_lineage
 
 CONTENT = ("method", "pH", "pH_range", "temperature_K", "temperature_details", "raw_details")
 #: Condition column -> item of the deposited category.
@@ -166,6 +168,68 @@ def choose_source(
     )
 
 
+PROVENANCE = ("source_format", "metadata_source", "retrieved_at_utc", "entry_revision_date")
+
+
+@dataclass(frozen=True)
+class ConditionSource:
+    """What one source says: condition rows, and how each entry was read.
+
+    ``rows`` holds ``entry_id, position`` and the condition columns; ``reads`` one
+    row per entry the source knows: ``entry_id, present, parsed`` and provenance.
+    """
+
+    rows: DataFrame
+    reads: DataFrame
+
+
+def _source_status(numbered: DataFrame, reads: DataFrame) -> DataFrame:
+    """Per entry of a source: its status, the number of its conditions, its provenance."""
+    counts = numbered.groupBy("entry_id").agg(F.count(F.lit(1)).alias("__n"))
+    known = reads.withColumn("entry_id", entry_id("entry_id")).join(counts, "entry_id", "left").withColumn(
+        "__found", F.coalesce("__n", F.lit(0)) > 0)
+    return known.withColumn("status", data_status("__found", "parsed", "present")).select(
+        "entry_id", "status", *PROVENANCE)
+
+
+def condition_context(
+    entries: DataFrame, local: ConditionSource, deposited: ConditionSource, *, prefer_local: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The condition rows of each entry's winning source, and one summary row for every entry.
+
+    An entry the local source does not know has no local input. Rows carry the
+    provenance of their source. Entries without conditions get a summary with the
+    reason as ``status``, zero conditions and unset flags.
+    """
+    asked = entries.select(entry_id("entry_id").alias("entry_id")).distinct()
+    sources = {}
+    for name, source in (("local", local), ("deposited", deposited)):
+        numbered = cut_lineage(number_conditions(source.rows))
+        sources[name] = numbered, cut_lineage(_source_status(numbered, source.reads))
+    blank = {c: F.coalesce(c, F.lit("")) for c in PROVENANCE}
+    here = asked.join(sources["local"][1], "entry_id", "left").withColumns(
+        {"status": F.coalesce("status", F.lit("input_unavailable")), **blank})
+    there = sources["deposited"][1].withColumns(blank)
+    chosen = choose_source(here, there.join(asked, "entry_id", "left_semi"), prefer_local=prefer_local)
+    told = [
+        chosen.where(F.col("chosen") == name).select("entry_id", "chosen", "status").join(
+            reads.drop("status"), "entry_id")
+        for name, reads in (("local", here), ("deposited", there))]
+    told = cut_lineage(told[0].unionByName(told[1]))
+    rows = [
+        sources[name][0].join(told.where(F.col("chosen") == name).drop("chosen", "status"), "entry_id")
+        for name in ("local", "deposited")]
+    won = cut_lineage(rows[0].unionByName(rows[1], allowMissingColumns=True))
+    said = summarize_conditions(won)
+    defaults = {"bigint": F.lit(0).cast("bigint"), "boolean": F.lit(False), "string": F.lit(""),
+                "array<string>": F.array().cast("array<string>")}
+    full = told.join(said, "entry_id", "left")
+    # numbers that describe a range stay null where there is nothing to describe
+    return won, full.withColumns({
+        name: F.coalesce(name, defaults[kind]) for name, kind in said.dtypes
+        if name != "entry_id" and kind in defaults})
+
+
 def reconcile_requests(requested: DataFrame, responses: DataFrame) -> DataFrame:
     """One payload per requested entry; an entry without a response is unavailable."""
     asked = requested.select(entry_id("entry_id").alias("entry_id")).distinct()
