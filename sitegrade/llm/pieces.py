@@ -123,9 +123,9 @@ class Pieces:
 @lru_cache(maxsize=2)
 def worker_pieces(path: str, lower: bool, counts_only: bool = False, table: int | None = None,
                   ) -> Pieces:
-    """The pieces of this worker process, kept from task to task.
+    """The pieces of this worker process, kept from task to task: some 60 MB at most.
 
     ``table`` numbers the broadcast table of frequent pre-tokens in use; its
     content is given to ``start_from`` by the first task that needs it.
     """
-    return Pieces(path, lower, counts_only=counts_only)
+    return Pieces(path, lower, limit=120_000, counts_only=counts_only)
