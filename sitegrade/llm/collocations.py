@@ -33,8 +33,8 @@ COVERED = (80, 100)  # a longer phrase covers a part with 100 * f(longer) >= 80
 REPORTED = 2000  # phrases of a language that are returned
 #: Words a block of a relation holds; a longer text is one block.
 BLOCK = 1 << 17
-#: Occurrences whose groups a task sorts at once (some 100 MB with what it makes of them).
-HELD = 1 << 20
+#: Occurrences whose groups a task sorts at once (some 50 MB with what it makes of them).
+HELD = 1 << 19
 #: Frequent groups, and bytes of frequent words, that may be broadcast.
 SENT = 1 << 20
 _SENT_BYTES = 32 * SENT
@@ -269,13 +269,19 @@ def _ids_of_blocks(rows: DataFrame, groups: DataFrame, on: list[str]) -> DataFra
         .groupBy("block").agg(F.collect_list(F.struct("run", "id")).alias("ids")))
 
 
-def keep_words(blocks: DataFrame, words: DataFrame, sent: int = SENT) -> DataFrame:
-    """The relation of length 1: places of frequent words (label, id) in every block."""
+def keep_words(blocks: DataFrame, words: DataFrame, sent: int = SENT,
+               sending: list | None = None) -> DataFrame:
+    """The relation of length 1: places of frequent words (label, id) in every block.
+
+    A broadcast made for it is added to ``sending``, to be freed once the relation is written.
+    """
     n, size = words.agg(F.count("*"), F.coalesce(F.sum(F.length("label")), F.lit(0))).first()
     if n <= sent and size <= _SENT_BYTES:
         table = words.select("label", "id").toArrow()
         known = dict(zip(table["label"].to_pylist(), table["id"].to_pylist(), strict=True))
         shared = blocks.sparkSession.sparkContext.broadcast(known)
+        if sending is not None:
+            sending.append(shared)
 
         def look() -> Callable:
             get = shared.value.get
@@ -395,7 +401,10 @@ def collocations(
     none = F.array().cast("array<bigint>")
     parts = words.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a",
                          none.alias("before"), none.alias("after"))
-    relation = written(keep_words(blocks, words, sent), "length1")
+    sending: list = []
+    relation = written(keep_words(blocks, words, sent, sending), "length1")
+    for shared in sending:
+        shared.destroy()
     drop_folder(spark, f"{folder}/blocks")
     found = []
     for length in range(2, LONGEST + 1):
