@@ -187,13 +187,13 @@ WITH RECURSIVE checksums AS MATERIALIZED (
     FROM summed)
   WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5
 ), cut AS MATERIALIZED (
-  SELECT word, n, word AS rest FROM words
-  UNION SELECT word, n, substr(word, 1, i) || substr(word, i + 2) AS rest
+  SELECT word, n, word AS rest, -1 AS i FROM words
+  UNION ALL SELECT word, n, substr(word, 1, i) || substr(word, i + 2) AS rest, i
   FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
 ), near AS MATERIALIZED (
   SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n
   FROM cut a JOIN cut b ON a.rest = b.rest AND a.word <> b.word
-  WHERE levenshtein(a.word, b.word) = 1
+  WHERE a.i = b.i OR a.i = -1 OR b.i = -1
 ), best AS MATERIALIZED (
   SELECT word, n, count(*) AS n_near, min((-near_n, near)) AS first FROM near GROUP BY word, n
 ), forms AS MATERIALIZED (
