@@ -92,14 +92,13 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First-model records with exact duplicates collapsed."""
-    return inv.dedupe_records(records(spark, sf_dir))
+    """First-model records with exact duplicates collapsed, dealt by residue."""
+    return inv.dedupe_records(records(spark, sf_dir).repartition(*inv.RESIDUE))
 
 
 def selected_atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Atoms of the selected conformers: what contacts are searched among."""
-    source = source_atoms(spark, sf_dir)
-    return inv.contact_atoms(source, inv.residue_selections(source))
+    return inv.contact_atoms(source_atoms(spark, sf_dir))
 
 
 # ---- record audit --------------------------------------------------------------

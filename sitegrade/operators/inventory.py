@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sitegrade import vocab
@@ -85,23 +85,28 @@ def model_counts(atoms: DataFrame) -> DataFrame:
     ).withColumn("multi_model_structure", F.col("input_model_count") > 1)
 
 
-def record_rank() -> Column:
-    """Sort key of competing records: valid first, higher occupancy, source order."""
+def _record_order() -> list[Column]:
+    """Order of competing records: valid first, higher occupancy, source order."""
     valid = F.col("occupancy_valid")
-    return F.struct(
+    return [
         (~valid).alias("invalid"),
         F.when(valid, -F.col("occupancy")).alias("negated"),
         F.col("source_order").alias("source_order"),
-    )
+    ]
+
+
+def record_rank() -> Column:
+    """Sort key of competing records, as one value."""
+    return F.struct(*_record_order())
 
 
 def dedupe_records(atoms: DataFrame, keys: Sequence[str] = EXACT_IDENTITY) -> DataFrame:
-    """One record per identity: the best by :func:`record_rank`."""
-    rest = [c for c in atoms.columns if c not in keys]
-    best = atoms.groupBy(*keys).agg(F.min_by(F.struct(*rest), record_rank()).alias("row"))
-    return best.select(
-        *[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in atoms.columns]
-    )
+    """One record per identity: the first by :func:`record_rank`.
+
+    Only the first of each identity leaves a task, so copies are not moved.
+    """
+    order = Window.partitionBy(*keys).orderBy(*_record_order())
+    return atoms.withColumn("__place", F.row_number().over(order)).where("__place = 1").drop("__place")
 
 
 def duplicate_audit(atoms: DataFrame, keys: Sequence[str] = EXACT_IDENTITY) -> DataFrame:
@@ -212,30 +217,48 @@ def options_text(options: str = "altloc_options") -> Column:
     )
 
 
+def with_selected_altloc(source: DataFrame, residue: Sequence[str] = RESIDUE) -> DataFrame:
+    """Add the ``selected_altloc`` of :func:`residue_selections` to every record.
+
+    Runs inside residues, so records dealt by residue stay where they are.
+    """
+    label, whole = Window.partitionBy(*residue, "altloc"), Window.partitionBy(*residue)
+    named = F.col("altloc") != ""
+    mean = F.avg(F.when(F.col("occupancy_valid"), F.col("occupancy"))).over(label)
+    top = F.max("__mean").over(whole)
+    close = F.col("__top") - F.col("__mean") <= F.lit(vocab.CONFORMER_TIE)
+    return (
+        source.withColumn("__label_mean", mean)
+        .withColumn("__mean", F.when(named, F.col("__label_mean")))
+        .withColumn("__top", top)
+        .withColumn("selected_altloc", F.coalesce(
+            F.min(F.when(close, F.col("altloc"))).over(whole),
+            F.min(F.when(named, F.col("altloc"))).over(whole), F.lit("")))
+        .drop("__label_mean", "__mean", "__top")
+    )
+
+
 def contact_atoms(
-    source: DataFrame, selections: DataFrame, residue: Sequence[str] = RESIDUE
+    source: DataFrame, selections: DataFrame | None = None, residue: Sequence[str] = RESIDUE
 ) -> DataFrame:
     """Atoms of the selected conformers, one per residue and atom name.
 
     A named record of the selected conformer supersedes a blank one; what
     remains is settled by :func:`record_rank`. ``extra_records`` counts the
-    records each atom superseded.
+    records each atom superseded. Without ``selections`` the conformers are
+    selected here, in the same pass over the records.
     """
-    eligible = source.join(
-        selections.select(*residue, "selected_altloc"), list(residue)
-    ).where((F.col("altloc") == "") | (F.col("altloc") == F.col("selected_altloc")))
-    keys = [*residue, "atom_name"]
-    rest = [c for c in source.columns if c not in keys]
-    best = eligible.groupBy(*keys).agg(
-        F.min_by(
-            F.struct(*rest), F.struct((F.col("altloc") == "").alias("blank"), record_rank())
-        ).alias("row"),
-        (F.count(F.lit(1)) - 1).alias("extra_records"),
-    )
-    return best.select(
-        *[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in source.columns],
-        "extra_records",
-    )
+    if selections is None:
+        chosen = with_selected_altloc(source, residue)
+    else:
+        chosen = source.join(selections.select(*residue, "selected_altloc"), list(residue))
+    eligible = chosen.where((F.col("altloc") == "") | (F.col("altloc") == F.col("selected_altloc")))
+    atom = Window.partitionBy(*residue, "atom_name")
+    placed = eligible.withColumns({
+        "__place": F.row_number().over(atom.orderBy(F.col("altloc") == "", *_record_order())),
+        "extra_records": F.count(F.lit(1)).over(atom) - 1,
+    })
+    return placed.where("__place = 1").select(*source.columns, "extra_records")
 
 
 def overfull_sites(source: DataFrame, site: Sequence[str] = CHEMICAL_SITE) -> DataFrame:

@@ -1,8 +1,8 @@
 """Distance joins on a grid: pairs within a radius, nearest neighbours, images.
 
-Space is cut into cells as wide as the radius, so a pair within reach lies in
-neighbouring cells and the join becomes an equi-join on the cell. The smaller
-side visits its 27 neighbouring cells; the larger side is never copied.
+Space is cut into cells two radii wide, so the ball around a point touches two
+cells along every axis and the join becomes an equi-join on the cell. The
+smaller side visits these eight cells; the larger side is never copied.
 """
 
 from __future__ import annotations
@@ -28,11 +28,13 @@ def _cells(xyz: Sequence[str], size: float) -> list[Column]:
 
 
 def _visited(df: DataFrame, xyz: Sequence[str], size: float) -> DataFrame:
-    """Each row once per neighbouring cell."""
+    """Each row once per cell that the ball of half a cell around it touches."""
+    reach = F.lit(size / 2 * (1 + 1e-9))
     spread = df
     for axis, cell in zip(xyz, CELL, strict=True):
-        own = F.floor(F.col(axis) / F.lit(size)).cast("long")
-        spread = spread.withColumn(cell, F.explode(F.sequence(own - 1, own + 1)))
+        first, last = (
+            F.floor(edge / F.lit(size)).cast("long") for edge in (F.col(axis) - reach, F.col(axis) + reach))
+        spread = spread.withColumn(cell, F.explode(F.sequence(first, last)))
     return spread
 
 
@@ -53,8 +55,8 @@ def radius_join(
     ``right`` are cut into slices, each met by a copy of the cell's ``left``
     rows, so one crowded cell spreads over many tasks.
     """
-    placed = right.select("*", *_cells(right_xyz, radius))
-    visitors = _visited(left, left_xyz, radius)
+    placed = right.select("*", *_cells(right_xyz, 2 * radius))
+    visitors = _visited(left, left_xyz, 2 * radius)
     on = [*keys, *CELL]
     gap = squared_distance(
         tuple(F.col(c) for c in left_xyz), tuple(F.col(c) for c in right_xyz)
