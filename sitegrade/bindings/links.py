@@ -66,13 +66,10 @@ IMAGE_CONNECTIONS = CONNECTIONS.replace("""  AND n.chain_index = (m.chain_index
 
 def outcomes(spark: SparkSession, sf_dir: str, stated: DataFrame | None = None) -> DataFrame:
     source = cut_lineage(source_atoms(spark, sf_dir))
-    selections = inv.residue_selections(source)
-    contact = inv.contact_atoms(source, selections).drop("extra_records")
+    contact = inv.contact_atoms(source).drop("extra_records")
+    chosen = inv.with_selected_altloc(source, dec.RESIDUE).select(*dec.RESIDUE, "selected_altloc").distinct()
     named = dec.unique_connection_ids(connections(spark, sf_dir) if stated is None else stated)
-    first = dec.resolve_partner(named, "p1", source, contact, selections)
-    return cut_lineage(
-        dec.declared_outcomes(dec.resolve_partner(first, "p2", source, contact, selections))
-    )
+    return dec.declared_outcomes(dec.resolve_partners(named, source, contact, chosen))
 
 
 def connection_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +159,7 @@ FROM decided""")
 
 def merged_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proximity and declared candidates of one image merged into one row."""
-    pairs = dec.declared_pairs(outcomes(spark, sf_dir)).drop("asu")
+    pairs = cut_lineage(dec.declared_pairs(outcomes(spark, sf_dir)).drop("asu"))
     near = tuple(F.col(f"m_{a}") for a in "xyz"), tuple(F.col(f"n_{a}") for a in "xyz")
     declared = con.as_explicit(pairs.withColumn("distance", distance(*near)))
     atoms = bc.contact_table(spark, sf_dir)
@@ -213,8 +210,8 @@ def _searched_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def placed_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     stated = derived(spark, sf_dir, IMAGE_CONNECTIONS)
-    return cut_lineage(dec.place_declared(
-        outcomes(spark, sf_dir, stated), _searched_cells(spark, sf_dir), bc.operations(spark, sf_dir)))
+    return dec.place_declared(
+        outcomes(spark, sf_dir, stated), _searched_cells(spark, sf_dir), bc.operations(spark, sf_dir))
 
 
 def declared_images(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,21 +28,23 @@ def unique_connection_ids(connections: DataFrame) -> DataFrame:
         "connection_id",
         F.when(name == "", F.concat_ws("_", "source", "position")).otherwise(name),
     )
+    # only the ids are stored between passes; each pass leaves the small table of ids to change
+    ids = cut_lineage(named.select("entry_id", "position", "connection_id"))
     while True:
-        seen = named.groupBy("entry_id", "connection_id").agg(
-            F.min("position").alias("__first"), F.count(F.lit(1)).alias("__n"))
-        repeated = seen.where("__n > 1").drop("__n")
-        named = cut_lineage(named.join(repeated, ["entry_id", "connection_id"], "left").withColumn(
-            "connection_id",
-            F.when(
-                F.col("position") > F.col("__first"),
-                F.concat_ws("_", "connection_id", "position"),
-            ).otherwise(F.col("connection_id")),
-        ))
-        changed = not named.where(F.col("position") > F.col("__first")).isEmpty()
-        named = named.drop("__first")
-        if not changed:
+        repeated = cut_lineage(ids.groupBy("entry_id", "connection_id").agg(
+            F.min("position").alias("__first"), F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n"))
+        if repeated.isEmpty():
             return named
+        ids, named = _renamed(ids, repeated), _renamed(named, repeated)
+
+
+def _renamed(named: DataFrame, repeated: DataFrame) -> DataFrame:
+    """All but the first of a repeated id with their position as suffix."""
+    return named.join(repeated, ["entry_id", "connection_id"], "left").withColumn(
+        "connection_id",
+        F.when(F.col("position") > F.col("__first"), F.concat_ws("_", "connection_id", "position"))
+        .otherwise(F.col("connection_id")),
+    ).drop("__first")
 
 
 def _residue_index(atoms: DataFrame) -> DataFrame:
@@ -55,6 +57,52 @@ def _residue_index(atoms: DataFrame) -> DataFrame:
     ).where("n = 1").drop("n")
 
 
+ADDRESS = ("entry_id", "chain_id", "residue_name", "resnum", "atom_name", "wanted_altloc")
+
+
+def _addresses(
+    source: DataFrame, contact: DataFrame, selections: DataFrame, renames: DataFrame | None
+) -> DataFrame:
+    """What every address of an atom answers: one row per atom and stated conformer.
+
+    Carries the keys of ``ADDRESS``, the declared record (``declared_index``,
+    ``element``) and ``atom``, the modelled atom of the same name and element.
+    Grows with the atoms, not with the connections that name them.
+    """
+    index = _residue_index(source)
+    if renames is not None:
+        author = ["entry_id", "chain_id", "residue_name", "resnum"]
+        alias = index.withColumnRenamed("chain_id", "new_chain").join(
+            renames.select("entry_id", "chain_id", "new_chain"), ["entry_id", "new_chain"])
+        index = index.unionByName(
+            alias.select(*index.columns).join(index.select(*author), author, "left_anti"))
+    label = F.coalesce("altloc", F.lit(""))
+    records = source.select(
+        *RESIDUE, "atom_name", "atom_index", label.alias("altloc"), "element", "source_order",
+    ).join(selections.select(*RESIDUE, "selected_altloc"), list(RESIDUE), "left")
+    # Without a stated conformer the selected one answers, else the first in file order.
+    atom = Window.partitionBy(*RESIDUE, "atom_name")
+    conformer = Window.partitionBy(*RESIDUE, "atom_name", "altloc")
+    placed = records.withColumns({
+        "__place": F.row_number().over(atom.orderBy(F.col("altloc") != F.col("selected_altloc"), "source_order")),
+        "__own": F.row_number().over(conformer.orderBy("source_order")),
+    })
+    answers = F.array(
+        F.when(F.col("__place") == 1, F.lit("")),
+        F.when((F.col("__own") == 1) & (F.col("altloc") != ""), F.col("altloc")))
+    answering = placed.where("__place = 1 OR __own = 1").select(
+        *RESIDUE, "atom_name", F.col("atom_index").alias("declared_index"), "element",
+        F.explode(F.filter(answers, lambda a: a.isNotNull())).alias("wanted_altloc"))
+    modelled = contact.select(
+        *RESIDUE, "atom_name",
+        F.struct(*[F.col(c) for c in ATOM_COLUMNS], F.col("polymer_position")).alias("atom"),
+    )
+    same = F.col("atom.element").eqNullSafe(F.col("element"))
+    return answering.join(modelled, [*RESIDUE, "atom_name"], "left").withColumn(
+        "atom", F.when(same, F.col("atom"))).join(index, list(RESIDUE)).select(
+        *ADDRESS, "declared_index", "element", "atom")
+
+
 def resolve_partner(
     connections: DataFrame,
     side: str,
@@ -71,79 +119,43 @@ def resolve_partner(
     ``<side>``: the atom of the selected conformer (null when unresolved), and
     ``<side>_found``, ``_substituted``, ``_metal_evidence``.
     """
+    return _resolved(connections, side, _addresses(source, contact, selections, renames))
+
+
+def resolve_partners(
+    connections: DataFrame,
+    source: DataFrame,
+    contact: DataFrame,
+    selections: DataFrame,
+    renames: DataFrame | None = None,
+) -> DataFrame:
+    """Both partners of every connection, from one table of addresses.
+
+    Each side is one join, whatever the connections hold; of their own address
+    only the columns later steps read go on.
+    """
+    addresses = _addresses(source, contact, selections, renames)
+    return _resolved(_resolved(connections, "p1", addresses), "p2", addresses)
+
+
+def _resolved(connections: DataFrame, side: str, addresses: DataFrame) -> DataFrame:
     a = lambda part: F.col(f"{side}_{part}")
-    address = connections.select(
-        "entry_id", "position",
-        a("chain").alias("chain_id"), F.upper(F.trim(a("resname"))).alias("residue_name"),
-        a("resnum").alias("resnum"), F.trim(a("atom")).alias("atom_name"),
-        F.coalesce(a("altloc"), F.lit("")).alias("wanted_altloc"),
-    )
-    index = _residue_index(source)
-    keys = ["entry_id", "chain_id", "residue_name", "resnum"]
-    placed = address.join(index, keys, "left")
-    if renames is not None:
-        alias = index.select(
-            "entry_id", F.col("chain_id").alias("new_chain"), "residue_name", "resnum",
-            F.col("chain_index").alias("alias_chain"), F.col("residue_index").alias("alias_residue"),
-        )
-        placed = (
-            placed.join(renames, ["entry_id", "chain_id"], "left")
-            .join(alias, ["entry_id", "new_chain", "residue_name", "resnum"], "left")
-            .withColumns(
-                {
-                    "chain_index": F.coalesce("chain_index", "alias_chain"),
-                    "residue_index": F.coalesce("residue_index", "alias_residue"),
-                }
-            )
-            .drop("new_chain", "alias_chain", "alias_residue")
-        )
-    named = placed.join(
-        selections.select(*RESIDUE, "selected_altloc"), list(RESIDUE), "left"
-    ).join(
-        source.select(*RESIDUE, "atom_name", "atom_index", "altloc", "element", "source_order"),
-        [*RESIDUE, "atom_name"], "left",
-    ).where(
-        (F.col("wanted_altloc") == "") | F.col("altloc").isNull()
-        | (F.col("altloc") == F.col("wanted_altloc"))
-    )
-    # Without a stated conformer the selected one answers, else the first in file order.
-    choice = F.when(
-        F.col("atom_index").isNotNull(),
-        F.struct((F.col("altloc") != F.col("selected_altloc")).cast("int"), F.col("source_order")),
-    )
-    chosen = named.groupBy("entry_id", "position").agg(
-        F.min_by(F.struct(*RESIDUE[1:], "atom_name", "atom_index", "element"), choice).alias("hit")
-    )
-    flat = address.join(chosen, ["entry_id", "position"], "left").select(
-        "entry_id", "position", "residue_name", "hit.chain_index", "hit.residue_index",
-        F.col("hit.atom_name").alias("atom_name"),
-        F.col("hit.atom_index").alias("declared_index"), "hit.element",
-    )
-    modelled = contact.select(
-        *RESIDUE, "atom_name",
-        F.struct(*[F.col(c) for c in ATOM_COLUMNS], F.col("polymer_position")).alias("atom"),
-    )
-    final = flat.join(modelled, [*RESIDUE, "atom_name"], "left")
-    same = F.col("atom.element").eqNullSafe(F.col("element"))
-    atom = F.when(same, F.col("atom"))
-    symbol = F.col("element")
-    evidence = F.when(
-        F.col("declared_index").isNotNull(), F.coalesce(symbol.isin(*vocab.METALS), F.lit(False))
-    ).otherwise(F.lit(False)) | (
+    stated = connections.withColumns({
+        "chain_id": a("chain"), "residue_name": F.upper(F.trim(a("resname"))), "resnum": a("resnum"),
+        "atom_name": F.trim(a("atom")), "wanted_altloc": F.coalesce(a("altloc"), F.lit("")),
+    })
+    evidence = (F.col("declared_index").isNotNull() & F.col("element").isin(*vocab.METALS)) | (
         F.col("residue_name").isin(*vocab.METALS)
         & ~F.col("residue_name").isin(*vocab.AMBIGUOUS_METAL_COMPONENTS)
     )
-    return connections.join(
-        final.select(
-            "entry_id", "position",
-            atom.alias(side),
-            F.col("declared_index").isNotNull().alias(f"{side}_found"),
-            F.coalesce(
-                atom.isNotNull() & (F.col("atom.atom_index") != F.col("declared_index")), F.lit(False)
-            ).alias(f"{side}_substituted"),
-            F.coalesce(evidence, F.lit(False)).alias(f"{side}_metal_evidence"),
-        ),
-        ["entry_id", "position"], "left",
+    return stated.join(addresses, list(ADDRESS), "left").select(
+        *[F.col(c) for c in connections.columns],
+        F.col("atom").alias(side),
+        F.col("declared_index").isNotNull().alias(f"{side}_found"),
+        F.coalesce(
+            F.col("atom").isNotNull() & (F.col("atom.atom_index") != F.col("declared_index")), F.lit(False)
+        ).alias(f"{side}_substituted"),
+        F.coalesce(evidence, F.lit(False)).alias(f"{side}_metal_evidence"),
     )
 
 

@@ -6,7 +6,9 @@ import re
 
 from pyspark.sql import functions as F
 
+from sitegrade.bindings import links
 from sitegrade.bindings.inventory import selected_atoms
+from sitegrade.operators import declared as dec
 from sitegrade.operators import inventory as inv
 from sitegrade.operators import radius
 
@@ -46,3 +48,16 @@ def test_a_point_visits_eight_cells(spark):
         (F.rand(i) * 40 - 20).alias(a) for i, a in enumerate("xyz")])
     visits = radius._visited(points, ["x", "y", "z"], 2 * 4.0).groupBy("id").count()
     assert visits.agg(F.max("count")).first()[0] <= 8
+
+
+def test_partners_are_resolved_without_storing_the_connections(spark, monkeypatch):
+    stored = []
+
+    def cut(df):
+        stored.append(df.columns)
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(dec, "cut_lineage", cut)
+    monkeypatch.setattr(links, "cut_lineage", cut)
+    links.declared_outcomes(spark, SF).count()
+    assert stored and not any("p1_atom" in columns or "p1" in columns for columns in stored)
