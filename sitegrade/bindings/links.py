@@ -66,10 +66,8 @@ IMAGE_CONNECTIONS = CONNECTIONS.replace("""  AND n.chain_index = (m.chain_index
 
 def outcomes(spark: SparkSession, sf_dir: str, stated: DataFrame | None = None) -> DataFrame:
     source = cut_lineage(source_atoms(spark, sf_dir))
-    contact = inv.contact_atoms(source).drop("extra_records")
-    chosen = inv.with_selected_altloc(source, dec.RESIDUE).select(*dec.RESIDUE, "selected_altloc").distinct()
     named = dec.unique_connection_ids(connections(spark, sf_dir) if stated is None else stated)
-    return dec.declared_outcomes(dec.resolve_partners(named, source, contact, chosen))
+    return dec.declared_outcomes(dec.resolve_partners(named, source))
 
 
 def connection_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from sitegrade.functions.geometry import (
     apply_operation, distance, fractionalize, image_provenance, orthogonalize,
 )
 from sitegrade.operators.contacts import ATOM_COLUMNS
+from sitegrade.operators.inventory import record_order, with_selected_altloc
 from sitegrade.session import cut_lineage
 
 RESIDUE = ("entry_id", "chain_index", "residue_index")
@@ -61,13 +62,14 @@ ADDRESS = ("entry_id", "chain_id", "residue_name", "resnum", "atom_name", "wante
 
 
 def _addresses(
-    source: DataFrame, contact: DataFrame, selections: DataFrame, renames: DataFrame | None
+    source: DataFrame, contact: DataFrame | None, selections: DataFrame | None, renames: DataFrame | None
 ) -> DataFrame:
     """What every address of an atom answers: one row per atom and stated conformer.
 
     Carries the keys of ``ADDRESS``, the declared record (``declared_index``,
     ``element``) and ``atom``, the modelled atom of the same name and element.
-    Grows with the atoms, not with the connections that name them.
+    Grows with the atoms, not with the connections that name them. Without
+    ``contact`` and ``selections`` both are settled here, inside residues.
     """
     index = _residue_index(source)
     if renames is not None:
@@ -76,31 +78,33 @@ def _addresses(
             renames.select("entry_id", "chain_id", "new_chain"), ["entry_id", "new_chain"])
         index = index.unionByName(
             alias.select(*index.columns).join(index.select(*author), author, "left_anti"))
+    whole = F.struct(*[F.col(c) for c in ATOM_COLUMNS], F.col("polymer_position"))
+    named = Window.partitionBy(*RESIDUE, "atom_name")
     label = F.coalesce("altloc", F.lit(""))
-    records = source.select(
-        *RESIDUE, "atom_name", "atom_index", label.alias("altloc"), "element", "source_order",
-    ).join(selections.select(*RESIDUE, "selected_altloc"), list(RESIDUE), "left")
+    if contact is None:
+        eligible = F.coalesce((F.col("altloc") == "") | (F.col("altloc") == F.col("selected_altloc")), F.lit(False))
+        best = named.orderBy(~eligible, F.col("altloc") == "", *record_order())
+        records = with_selected_altloc(source.repartition(*RESIDUE), RESIDUE).withColumn(
+            "modelled", F.first(F.when(eligible, whole)).over(best)).withColumn("altloc", label)
+    else:
+        records = source.withColumn("altloc", label).join(
+            selections.select(*RESIDUE, "selected_altloc"), list(RESIDUE), "left"
+        ).join(contact.select(*RESIDUE, "atom_name", whole.alias("modelled")), [*RESIDUE, "atom_name"], "left")
     # Without a stated conformer the selected one answers, else the first in file order.
-    atom = Window.partitionBy(*RESIDUE, "atom_name")
     conformer = Window.partitionBy(*RESIDUE, "atom_name", "altloc")
     placed = records.withColumns({
-        "__place": F.row_number().over(atom.orderBy(F.col("altloc") != F.col("selected_altloc"), "source_order")),
+        "__place": F.row_number().over(named.orderBy(F.col("altloc") != F.col("selected_altloc"), "source_order")),
         "__own": F.row_number().over(conformer.orderBy("source_order")),
     })
     answers = F.array(
         F.when(F.col("__place") == 1, F.lit("")),
         F.when((F.col("__own") == 1) & (F.col("altloc") != ""), F.col("altloc")))
-    answering = placed.where("__place = 1 OR __own = 1").select(
+    same = F.col("modelled.element").eqNullSafe(F.col("element"))
+    return placed.where("__place = 1 OR __own = 1").select(
         *RESIDUE, "atom_name", F.col("atom_index").alias("declared_index"), "element",
-        F.explode(F.filter(answers, lambda a: a.isNotNull())).alias("wanted_altloc"))
-    modelled = contact.select(
-        *RESIDUE, "atom_name",
-        F.struct(*[F.col(c) for c in ATOM_COLUMNS], F.col("polymer_position")).alias("atom"),
-    )
-    same = F.col("atom.element").eqNullSafe(F.col("element"))
-    return answering.join(modelled, [*RESIDUE, "atom_name"], "left").withColumn(
-        "atom", F.when(same, F.col("atom"))).join(index, list(RESIDUE)).select(
-        *ADDRESS, "declared_index", "element", "atom")
+        F.when(same, F.col("modelled")).alias("atom"),
+        F.explode(F.filter(answers, lambda a: a.isNotNull())).alias("wanted_altloc"),
+    ).join(index, list(RESIDUE)).select(*ADDRESS, "declared_index", "element", "atom")
 
 
 def resolve_partner(
@@ -125,16 +129,14 @@ def resolve_partner(
 def resolve_partners(
     connections: DataFrame,
     source: DataFrame,
-    contact: DataFrame,
-    selections: DataFrame,
     renames: DataFrame | None = None,
 ) -> DataFrame:
-    """Both partners of every connection, from one table of addresses.
+    """Both partners of every connection, by :func:`resolve_partner`'s rules.
 
-    Each side is one join, whatever the connections hold; of their own address
-    only the columns later steps read go on.
+    Conformers and modelled atoms are those ``contact_atoms`` selects from
+    ``source``; each side is one join with the table of addresses.
     """
-    addresses = _addresses(source, contact, selections, renames)
+    addresses = _addresses(source, None, None, renames)
     return _resolved(_resolved(connections, "p1", addresses), "p2", addresses)
 
 

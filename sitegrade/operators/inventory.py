@@ -85,7 +85,7 @@ def model_counts(atoms: DataFrame) -> DataFrame:
     ).withColumn("multi_model_structure", F.col("input_model_count") > 1)
 
 
-def _record_order() -> list[Column]:
+def record_order() -> list[Column]:
     """Order of competing records: valid first, higher occupancy, source order."""
     valid = F.col("occupancy_valid")
     return [
@@ -97,7 +97,7 @@ def _record_order() -> list[Column]:
 
 def record_rank() -> Column:
     """Sort key of competing records, as one value."""
-    return F.struct(*_record_order())
+    return F.struct(*record_order())
 
 
 def dedupe_records(atoms: DataFrame, keys: Sequence[str] = EXACT_IDENTITY) -> DataFrame:
@@ -105,7 +105,7 @@ def dedupe_records(atoms: DataFrame, keys: Sequence[str] = EXACT_IDENTITY) -> Da
 
     Only the first of each identity leaves a task, so copies are not moved.
     """
-    order = Window.partitionBy(*keys).orderBy(*_record_order())
+    order = Window.partitionBy(*keys).orderBy(*record_order())
     return atoms.withColumn("__place", F.row_number().over(order)).where("__place = 1").drop("__place")
 
 
@@ -255,7 +255,7 @@ def contact_atoms(
     eligible = chosen.where((F.col("altloc") == "") | (F.col("altloc") == F.col("selected_altloc")))
     atom = Window.partitionBy(*residue, "atom_name")
     placed = eligible.withColumns({
-        "__place": F.row_number().over(atom.orderBy(F.col("altloc") == "", *_record_order())),
+        "__place": F.row_number().over(atom.orderBy(F.col("altloc") == "", *record_order())),
         "extra_records": F.count(F.lit(1)).over(atom) - 1,
     })
     return placed.where("__place = 1").select(*source.columns, "extra_records")

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from sitegrade.bindings import links
-from sitegrade.bindings.inventory import selected_atoms
+from sitegrade.bindings.inventory import selected_atoms, source_atoms
 from sitegrade.operators import declared as dec
 from sitegrade.operators import inventory as inv
 from sitegrade.operators import radius
@@ -61,3 +61,13 @@ def test_partners_are_resolved_without_storing_the_connections(spark, monkeypatc
     monkeypatch.setattr(links, "cut_lineage", cut)
     links.declared_outcomes(spark, SF).count()
     assert stored and not any("p1_atom" in columns or "p1" in columns for columns in stored)
+
+
+def test_addresses_settled_inside_residues_equal_the_joined_ones(spark):
+    source = source_atoms(spark, SF).localCheckpoint()
+    chosen = inv.residue_selections(source)
+    inside = dec._addresses(source, None, None, None)
+    joined = dec._addresses(source, inv.contact_atoms(source, chosen), chosen, None)
+    assert _exchanges(inside) < _exchanges(joined)
+    a, b = (sorted(map(str, df.collect())) for df in (inside, joined))
+    assert a and a == b
