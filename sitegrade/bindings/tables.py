@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sitegrade.bindings import contacts as bc
 from sitegrade.bindings.common import Query, derived, exact_sql, fixed, fixed_sql, plain, table
-from sitegrade.bindings.inventory import source_atoms
+from sitegrade.bindings.inventory import selected_atoms, source_atoms
 from sitegrade.operators import contacts as con
 from sitegrade.operators.lookup import literature
 from sitegrade.plans.contacts import ContactTables, analyze_contacts
@@ -30,9 +30,9 @@ def _analysis(spark: SparkSession, sf_dir: str, images: bool) -> ContactTables:
         (F.lit(images) & (F.pmod("entry_no", F.lit(3)) != 1)).alias("searched"),
     )
     return analyze_contacts(
-        bc.contact_table(spark, sf_dir), entries, literature(spark),
+        selected_atoms(spark, sf_dir), entries, literature(spark),
         frame.where("entry_no % 7 <> 3") if images else None,
-        bc.operations(spark, sf_dir) if images else None,
+        bc.operations(spark, sf_dir, frame) if images else None,
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sitegrade.bindings import links
 from sitegrade.bindings.inventory import selected_atoms, source_atoms
+from sitegrade.operators import contacts as con
 from sitegrade.operators import declared as dec
 from sitegrade.operators import inventory as inv
 from sitegrade.operators import radius
@@ -71,3 +72,33 @@ def test_addresses_settled_inside_residues_equal_the_joined_ones(spark):
     assert _exchanges(inside) < _exchanges(joined)
     a, b = (sorted(map(str, df.collect())) for df in (inside, joined))
     assert a and a == b
+
+
+def _executed(df) -> str:
+    """The physical plan before execution, with its exchanges and sorts."""
+    plan = df._jdf.queryExecution().sparkPlan()
+    return df.sparkSession._jvm.org.apache.spark.sql.execution.QueryExecution.prepareExecutedPlan(
+        df.sparkSession._jsparkSession, plan).toString()
+
+
+def test_duplicates_and_conformers_share_one_sort(spark):
+    assert len(re.findall(r"- \*?(?:\(\d+\) )?Sort \[", _executed(selected_atoms(spark, SF)))) <= 2
+
+
+def test_residue_groups_are_added_without_a_second_copy_of_the_contacts(spark):
+    rows = [(1, 1, True, False), (1, 1, False, True), (1, 2, None, None), (2, 1, False, True), (2, 1, False, True)]
+    contacts = spark.createDataFrame(
+        rows, "site int, residue int, geometry_outlier boolean, geometry_consistent boolean")
+    keys = ("site", "residue")
+    added = con.with_groups(contacts, keys)
+    assert "Join" not in _executed(added)
+    joined = contacts.join(con.residue_groups(contacts, keys), list(keys)).select(added.columns)
+    assert sorted(map(str, added.collect())) == sorted(map(str, joined.collect()))
+
+
+def test_a_search_stores_only_the_atoms_and_columns_it_reads(spark):
+    atoms = selected_atoms(spark, SF)
+    kept = con.searched(atoms)
+    assert 0 < kept.count() < atoms.count() and "occupancy_raw" not in kept.columns
+    for side in (con.metals_of, con.donors_of):
+        assert side(kept).exceptAll(side(atoms)).isEmpty() and side(kept).count() == side(atoms).count()
