@@ -168,15 +168,14 @@ def statistics_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     count is an overflow and reads as null.
     """
     fields = F.split(F.trim("line"), r"\s+")
-    split = lines.where(F.trim("line") != "").withColumn("fields", fields)
-    size = F.size("fields")
-    first = split.groupBy("entry_id").agg(F.min("position").alias("header_at"))
-    placed = split.join(first, "entry_id")
+    written = lines.where(F.trim("line") != "")
     width = len(STATISTICS_COLUMNS)
-    expected = F.array(*[F.lit(c) for c in STATISTICS_COLUMNS])
-    header_ok = placed.where("position = header_at").select(
-        "entry_id", F.col("fields").eqNullSafe(expected).alias("header_ok")
-    )
+    heading = F.trim("line").startswith(STATISTICS_COLUMNS[0]) & (
+        F.regexp_replace(F.trim("line"), r"\s+", " ") == " ".join(STATISTICS_COLUMNS))
+    headers = written.select("entry_id", "position", heading.alias("heading")).groupBy("entry_id").agg(
+        F.min("position").alias("header_at"), F.min_by("heading", "position").alias("header_ok"))
+    split = written.withColumn("fields", fields)
+    size = F.size("fields")
     separator = (F.array_join("fields", " ") == "_") | (
         (size == len(METRICS) + 3)
         & (F.get("fields", F.lit(0)) == "_")
@@ -189,12 +188,12 @@ def statistics_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         & F.get("fields", F.lit(width - 3)).rlike(whole)
         & F.get("fields", F.lit(width - 2)).rlike(whole)
     )
-    body = placed.where(F.col("position") > F.col("header_at")).where(~separator).withColumn(
+    body = split.where(~separator).withColumn(
         "fields",
         F.when(short, F.array_insert("fields", _CP_PLACE, F.lit(""))).otherwise(F.col("fields")),
     )
-    named = body.join(header_ok, "entry_id").select(
-        "entry_id", "position", "line", "header_ok", F.size("fields").alias("size"),
+    named = body.select(
+        "entry_id", "position", "line", F.size("fields").alias("size"),
         *[F.get("fields", F.lit(i)).alias(f"t_{c}") for i, c in enumerate(STATISTICS_COLUMNS)],
     )
     metric_text = {
@@ -211,17 +210,16 @@ def statistics_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         bad_metric = bad_metric | ~F.coalesce(readable, F.lit(False))
     number = F.col("t_NR").try_cast("int")
     problem = (
-        F.when(~F.col("header_ok"), F.lit("invalid_header"))
-        .when(F.col("size") != width, F.lit("wrong_field_count"))
+        F.when(F.col("size") != width, F.lit("wrong_field_count"))
         .when(bad_metric, F.lit("nonnumeric_metric"))
         .when(F.col("t_MN").try_cast("int").isNull(), F.lit("invalid_model"))
         .when(number.isNull() | (number < 1), F.lit("invalid_row_number"))
         .when(residue_id("t_RN").isNull(), F.lit("invalid_residue_id"))
     )
-    judged = named.withColumn("problem", problem)
     blank = lambda c: F.when(F.col(c).isin("", ".", "?", "_"), F.lit("")).otherwise(F.col(c))
-    rows = judged.where(F.col("problem").isNull()).select(
-        "entry_id", "position",
+    # lines are read before they meet their header, so the join moves values, not split texts
+    read = named.select(
+        "entry_id", "position", "line", problem.alias("problem"),
         F.col("t_RT").alias("RT"), blank("t_CI").alias("CI"), residue_id("t_RN").alias("RN"),
         *[
             F.when(F.lower(metric_text[c]) != "n/a", metric_text[c].try_cast("double")).alias(c)
@@ -230,12 +228,12 @@ def statistics_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("t_MN").try_cast("int").alias("MN"), blank("t_CP").alias("CP"), number.alias("NR"),
         F.greatest(*[F.col(f"`t_{c}`") == "****" for c in _COUNT_METRICS]).alias("overflow"),
     )
-    return rows, judged.where(F.col("problem").isNotNull()).select(
-        "entry_id", "position", "line", "problem"
-    )
+    judged = read.join(headers, "entry_id").where(F.col("position") > F.col("header_at")).withColumn(
+        "problem", F.when(~F.col("header_ok"), F.lit("invalid_header")).otherwise(F.col("problem")))
+    return judged.where(F.col("problem").isNull()).drop("line", "problem", "header_at", "header_ok"), (
+        judged.where(F.col("problem").isNotNull()).select("entry_id", "position", "line", "problem"))
 
 
-# ---- reference tables ----------------------------------------------------------
 def literature_rows(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of a distance table and the lines it must not contain.
 
