@@ -13,6 +13,7 @@ from sitegrade.functions.geometry import precision_index, precision_reason
 from sitegrade.functions.ids import residue_id
 from sitegrade.functions.rounding import with_rounded
 from sitegrade.operators import inventory as inv
+from sitegrade.session import stored
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -422,7 +423,9 @@ LEFT JOIN falls USING (entry_id)
 
 
 def entry_median_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inv.entry_median_b(selected_atoms(spark, sf_dir))
+    # the median reads its values several times
+    return inv.entry_median_b(stored(selected_atoms(spark, sf_dir).select(
+        "entry_id", "b_iso", "is_water", "is_hydrogen", "occupancy", "occupancy_valid")))
 
 
 QUERIES["entry_median_b"] = entry_median_b

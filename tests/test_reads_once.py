@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from test_plan_sizes import SF, _executed
 
-from sitegrade.bindings import links
+from sitegrade.bindings import inventory, links
 from sitegrade.sources import files as src
 
 
@@ -24,3 +24,7 @@ def test_lines_before_the_header_and_under_a_wrong_one(spark):
     assert rows.isEmpty()
     assert sorted((r[0], r[1], r[3]) for r in rejects.collect()) == [
         ("a", 3, "wrong_field_count"), ("b", 2, "invalid_header"), ("c", 2, "invalid_header")]
+
+
+def test_a_median_does_not_select_the_atoms_again(spark):
+    assert "lineitem.parquet" not in _executed(inventory.entry_median_b(spark, SF))
