@@ -11,6 +11,7 @@ from sitegrade.functions import conditions as fc
 from sitegrade.functions.ids import observation_id, split_chain_conformer
 from sitegrade.operators import conditions as cond
 from sitegrade.operators import density as den
+from sitegrade.session import stored
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -337,7 +338,8 @@ def condition_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "entry_id", F.col("doc_id").alias("position"),
         F.concat(F.lit("HEADER    X\nREMARK 280 SOLVENT CONTENT, VS (%): 45.00\n"), stated, F.lit("\nEND")).alias("text"),
     )
-    return cond.number_conditions(cond.from_remarks(files))
+    # numbers and summaries read the mined rows several times: texts are mined once
+    return cond.number_conditions(stored(cond.from_remarks(files)))
 
 
 def condition_records(spark: SparkSession, sf_dir: str) -> DataFrame:

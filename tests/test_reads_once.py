@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from test_plan_sizes import SF, _executed
 
-from sitegrade.bindings import inventory, links
+from sitegrade.bindings import evidence, inventory, links
 from sitegrade.sources import files as src
 
 
@@ -28,3 +28,7 @@ def test_lines_before_the_header_and_under_a_wrong_one(spark):
 
 def test_a_median_does_not_select_the_atoms_again(spark):
     assert "lineitem.parquet" not in _executed(inventory.entry_median_b(spark, SF))
+
+
+def test_a_summary_does_not_mine_the_texts_again(spark):
+    assert "documents.parquet" not in _executed(evidence.condition_summary(spark, SF))
