@@ -135,6 +135,7 @@ def image_candidates(
     counts = operations.where(~F.col("is_ncs")).groupBy("entry_id").agg(
         F.count(F.lit(1)).cast("int").alias("operation_count")
     )
+    counted = matrix.join(counts, "entry_id")
 
     def fractional(df: DataFrame, prefix: str, names: tuple[str, str, str]) -> DataFrame:
         x, y, z = (f"{prefix}{axis}" for axis in "xyz")
@@ -148,12 +149,11 @@ def image_candidates(
     pairs = image_radius_join(
         fractional(metals, "m_", ("lu", "lv", "lw")),
         fractional(donors, "n_", ("ru", "rv", "rw")),
-        matrix, operations, vocab.SEARCH_RADIUS + vocab.SEARCH_EPSILON,
+        counted, operations, vocab.SEARCH_RADIUS + vocab.SEARCH_EPSILON,
     )
-    placed = pairs.join(matrix, "entry_id").join(counts, "entry_id")
     px, py, pz = orthogonalize(F.col("iu"), F.col("iv"), F.col("iw"))
     provenance = image_provenance("image_index", ("tx", "ty", "tz"), "operation_count")
-    kept = placed.withColumns({"px": px, "py": py, "pz": pz, **provenance}).drop(
+    kept = pairs.withColumns({"px": px, "py": py, "pz": pz, **provenance}).drop(
         "lu", "lv", "lw", "ru", "rv", "rw", "iu", "iv", "iw",
         "m11", "m12", "m13", "m22", "m23", "m33", "operation_count",
     )

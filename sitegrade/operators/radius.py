@@ -166,35 +166,45 @@ _COFACTORS = (
 
 
 def grid_counts(cells: DataFrame, radius: float) -> DataFrame:
-    """Add ``n1, n2, n3``: bins per axis at least ``radius`` wide.
+    """Add ``n1, n2, n3``, bins per axis, ``h1, h2, h3``, the radius as a share of the
+    cell, and ``wide``: two radii fit along every axis.
 
-    ``cells`` carries the orthogonalization columns ``m11``..``m33``.
+    ``cells`` carries the orthogonalization columns ``m11``..``m33``. Bins are at
+    least two radii wide. An axis with room for two bins only is not cut, since
+    nearly every ball touches both.
     """
+    widths = (
+        "(1 / sqrt(1 / (m11 * m11) + pow(m12 / (m11 * m22), 2)"
+        " + pow((m12 * m23 - m13 * m22) / (m11 * m22 * m33), 2)))",
+        "(1 / sqrt(1 / (m22 * m22) + pow(m23 / (m22 * m33), 2)))",
+        "m33",
+    )
     return cells.selectExpr(
         "*",
-        f"greatest(1, CAST(floor(1 / sqrt(1 / (m11 * m11) + pow(m12 / (m11 * m22), 2)"
-        f" + pow((m12 * m23 - m13 * m22) / (m11 * m22 * m33), 2)) / {radius}) AS INT)) AS n1",
-        f"greatest(1, CAST(floor(1 / sqrt(1 / (m22 * m22)"
-        f" + pow(m23 / (m22 * m33), 2)) / {radius}) AS INT)) AS n2",
-        f"greatest(1, CAST(floor(m33 / {radius}) AS INT)) AS n3",
+        *[
+            f"CASE WHEN {w} >= {6 * radius} THEN CAST(floor({w} / {2 * radius}) AS INT) ELSE 1 END AS n{i}"
+            for i, w in enumerate(widths, start=1)
+        ],
+        *[f"{radius * (1 + 1e-9)!r}D / {w} AS h{i}" for i, w in enumerate(widths, start=1)],
+        " AND ".join(f"{w} >= {2 * radius}" for w in widths) + " AS wide",
     )
 
 
 def _binned(df: DataFrame, point: Sequence[str], around: bool) -> DataFrame:
-    """Bin of a fractional point inside the wrapped cell, or its distinct neighbours."""
+    """Bin of a fractional point inside the wrapped cell, or those its ball touches."""
     out = df
     for axis, name in enumerate(point, start=1):
-        own = (
-            f"least(n{axis} - 1, CAST(floor(({name} - floor({name})) * n{axis}) AS INT))"
-        )
+        place, n = f"(({name} - floor({name})) * n{axis})", f"n{axis}"
         if around:
+            reach = 0.5 * (1 + 1e-9)
             near = (
-                f"explode(array_distinct(transform(sequence(-1, 1),"
-                f" o -> pmod({own} + o, n{axis}))))"
+                f"explode(CASE WHEN {n} = 1 THEN array(0) ELSE transform("
+                f"sequence(CAST(floor({place} - {reach!r}D) AS INT), CAST(floor({place} + {reach!r}D) AS INT)),"
+                f" o -> pmod(o, {n})) END)"
             )
             out = out.selectExpr("*", f"{near} AS bin{axis}")
         else:
-            out = out.selectExpr("*", f"{own} AS bin{axis}")
+            out = out.selectExpr("*", f"least({n} - 1, CAST(floor({place}) AS INT)) AS bin{axis}")
     return out
 
 
@@ -212,8 +222,8 @@ def image_radius_join(
     ``ru, rv, rw``; ``cells`` one row per ``key`` with ``m..``; ``operations``
     the rows of ``key`` with ``image_index``, ``is_ncs``, ``r..`` and ``t..``.
     For every (left, right, operation) the nearest lattice translation is kept.
-    Adds ``image_index, tx, ty, tz, distance`` and the image's fractional
-    position ``iu, iv, iw``.
+    Adds ``image_index, tx, ty, tz, distance``, the image's fractional position
+    ``iu, iv, iw`` and the columns of ``cells``.
 
     A crystal operation maps the lattice onto itself, so it is undone on the
     few ``left`` rows and the many ``right`` rows stay as they are. A strict
@@ -233,37 +243,42 @@ def image_radius_join(
             "(" + " + ".join(
                 f"({term}) * ({base} - t{j})"
                 for j, (term, base) in enumerate(zip(_COFACTORS[i], ("lu", "lv", "lw")), start=1)
-            ) + f") / {_DETERMINANT} AS w{i + 1}"
+            ) + f") / {_DETERMINANT} AS p{i + 1}"
             for i in range(3)
         ],
     )
-    crystal = _binned(undone, ("w1", "w2", "w3"), True).drop("w1", "w2", "w3").join(
-        _binned(right_cell, ("ru", "rv", "rw"), False).drop("n1", "n2", "n3"), bins
-    )
+    # the box around the ball leaves few pairs for the distance, and is cheap to test
+    boxed = " AND ".join(f"abs(q{i} - p{i} - floor(q{i} - p{i} + 0.5D)) <= h{i}" for i in (1, 2, 3))
+    at, to = ("p1", "p2", "p3"), ("q1", "q2", "q3")
+    placed_right = right_cell.selectExpr("*", "ru AS q1", "rv AS q2", "rw AS q3")
+    crystal = _binned(undone, at, True).join(
+        _binned(placed_right, to, False).drop("n1", "n2", "n3"), bins
+    ).where(boxed).drop(*at, *to)
     generated = right_cell.join(ops.where("is_ncs"), key).selectExpr(
         "*",
-        *[f"r{i}1 * ru + r{i}2 * rv + r{i}3 * rw + t{i} AS w{i}" for i in (1, 2, 3)],
-    )
-    copied = _binned(left_cell, ("lu", "lv", "lw"), True).join(
-        _binned(generated, ("w1", "w2", "w3"), False).drop("n1", "n2", "n3", "w1", "w2", "w3"),
-        bins,
+        *[f"r{i}1 * ru + r{i}2 * rv + r{i}3 * rw + t{i} AS q{i}" for i in (1, 2, 3)],
     )
+    seen = left_cell.selectExpr("*", "lu AS p1", "lv AS p2", "lw AS p3")
+    copied = _binned(seen, at, True).join(
+        _binned(generated, to, False).drop("n1", "n2", "n3"), bins
+    ).where(boxed).drop(*at, *to)
     columns = crystal.columns
     pairs = crystal.unionByName(copied.select(*columns))
     placed = pairs.selectExpr(
         "*", *[f"r{i}1 * ru + r{i}2 * rv + r{i}3 * rw + t{i} AS g{i}" for i in (1, 2, 3)]
     ).selectExpr(
         "*",
-        *[f"CAST(round({b} - g{i}) AS INT) AS s{i}" for i, b in ((1, "lu"), (2, "lv"), (3, "lw"))],
+        *[f"CAST(floor({b} - g{i} + 0.5D) AS INT) AS s{i}" for i, b in ((1, "lu"), (2, "lv"), (3, "lw"))],
     )
     # In a cell two radii wide along every axis only the rounded shift can come
     # within reach; narrower cells try all 27 shifts around it.
-    wide = (F.col("n1") >= 2) & (F.col("n2") >= 2) & (F.col("n3") >= 2)
-    rounded = placed.where(wide).selectExpr(
-        "*", f"{_shifted_square('0', '0', '0')} AS near_d2", "s1 AS tx", "s2 AS ty", "s3 AS tz"
+    # As a generated row the distance stays out of the join's condition, which would
+    # compute it for every pair.
+    rounded = placed.where("wide").selectExpr(
+        "*", f"inline(array(struct({_shifted_square('0', '0', '0')} AS near_d2, s1 AS tx, s2 AS ty, s3 AS tz)))"
     )
     shifts = ", ".join(f"struct({i} AS i, {j} AS j, {k} AS k)" for i, j, k in _SHIFTS)
-    searched = placed.where(~wide).selectExpr(
+    searched = placed.where("NOT wide").selectExpr(
         "*",
         f"array_min(transform(array({shifts}), o -> struct("
         f"{_shifted_square('o.i', 'o.j', 'o.k')} AS d2,"
@@ -271,9 +286,8 @@ def image_radius_join(
     ).selectExpr("*", "near.d2 AS near_d2", "near.x AS tx", "near.y AS ty", "near.z AS tz")
     nearest = rounded.unionByName(searched.drop("near"))
     dropped = {
-        *bins[1:], "is_ncs", "n1", "n2", "n3", "t1", "t2", "t3",
+        *bins[1:], "is_ncs", "n1", "n2", "n3", "h1", "h2", "h3", "wide", "t1", "t2", "t3",
         *[f"r{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3)],
-        "m11", "m12", "m13", "m22", "m23", "m33",
     }
     return nearest.where(F.col("near_d2") <= radius * radius).selectExpr(
         *[c for c in columns if c not in dropped],
