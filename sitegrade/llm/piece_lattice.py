@@ -34,7 +34,7 @@ _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 _WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: The same, ending words before a full stop or comma that follows a letter.
 _BARE_WORDS = re.compile(
-    f"{SPACE}*[^{SPACE}.,]*[{_LETTER}](?=[.,])|{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+    f"(?=.){SPACE}*+(?:[^{SPACE}.,]++(?:(?<=[{_LETTER}])(?=[.,])|[^{SPACE}]*+)|[^{SPACE}]*+)", re.DOTALL)
 
 
 @dataclass(frozen=True)
@@ -49,6 +49,32 @@ class Segmentation:
         return np.frombuffer(self.data, "<u4").tolist()
 
 
+def _smallest(values: tuple[float, ...], n: int) -> list[int]:
+    """Places of the n smallest values, smallest first, ties in order."""
+    if not 0 < n < len(values):
+        return sorted(range(len(values)), key=values.__getitem__)[:n]
+    found = np.array(values)
+    near = np.flatnonzero(found <= np.partition(found, n - 1)[n - 1])
+    return near[np.argsort(found[near], kind="stable")[:n]].tolist()
+
+
+def _tree(scored: dict[str, tuple[float, bytes]]) -> dict[str, tuple]:
+    """The beginnings of all pieces, one character a level; the ends share one empty level."""
+    nothing: dict[str, tuple] = {}
+    tree: dict[str, tuple] = {}
+    for piece in sorted(scored):
+        level = tree
+        for at, char in enumerate(piece, 1):
+            after, *known = level.get(char, (nothing, None, None))
+            if at == len(piece):
+                known = scored[piece]
+            elif after is nothing:
+                after = {}
+            level[char] = (after, *known)
+            level = after
+    return tree
+
+
 class PieceModel:
     """Pieces, scores and byte fallback of a SentencePiece model file."""
 
@@ -67,35 +93,41 @@ class PieceModel:
         self.scored = {
             p: (self.library.get_score(i), i.to_bytes(4, "little")) for i, p in enumerate(pieces)
             if not special[i] and not self.library.is_byte(i)}
-        #: Every beginning of a piece; None where it is no piece itself.
-        self.beginnings = {
-            p[:n]: self.scored.get(p[:n]) for p in self.scored for n in range(1, len(p) + 1)}
+        #: Beginnings of pieces by their next character: (what follows, score, ids or None).
+        self.beginnings = _tree(self.scored)
         #: A character without a piece costs more than any piece does.
         self.unknown = min(s for s, _ in self.scored.values()) - 10.0
         crossing = re.compile(f"[{_LETTER}][.,]").search
         #: Words may end before punctuation where no piece of the model crosses that place.
         self.cut = (_WORDS if any(map(crossing, self.scored)) else _BARE_WORDS).findall
         self.n_best, self.limit = n_best, limit
+        self.longest = max(map(len, self.scored))
+        #: Sums of whole numbers are exact, so that equal scores are found by comparison.
+        self.exact = all(s.is_integer() for s, _ in self.scored.values())
         self.known: dict[str, tuple] = {}
+        self.searched: dict[tuple[str, int], list[Segmentation]] = {}
 
     def lattice(self, text: str) -> tuple[list[list[tuple]], list[float]]:
         """For each end position its arcs (start, score, ids), and the forward Viterbi scores."""
-        find, size = self.beginnings.get, len(text)
+        size = len(text)
         ends: list[list[tuple]] = [[] for _ in range(size + 1)]
         best = [0.0] + [float("-inf")] * size
-        for start in range(size):
-            reached, alone = best[start], False
-            for end in range(start + 1, size + 1):
-                found = find(text[start:end], 0)
-                if found == 0:
+        tree = self.beginnings
+        for start, reached in enumerate(best):
+            after, end = tree, start
+            for char in text[start:start + self.longest]:
+                node = after.get(char)
+                if node is None:
                     break
-                if found is not None:
-                    score, ids = found
-                    alone = alone or end == start + 1
+                end += 1
+                after, score, ids = node
+                if ids is not None:
                     ends[end].append((start, score, ids))
                     if reached + score > best[end]:
                         best[end] = reached + score
-            if not alone:
+                if not after:
+                    break
+            if start < size and text[start] not in self.scored:
                 raw = b"".join(
                     self.byte_ids[b].to_bytes(4, "little") for b in text[start].encode())
                 ends[start + 1].append((start, self.unknown, raw))
@@ -137,43 +169,84 @@ class PieceModel:
                 push(heap, (-(total + best[start]), pushed, start, total, (ids, chain)))
         return out
 
+    def best(self, text: str) -> tuple[bytes, float, float]:
+        """(best ids, its score, gap to the second): the first two of :meth:`search`.
+
+        With an exact heuristic the search goes straight down the best way, by the
+        latest of equal arcs, and the second leaves that way at its best other arc.
+        """
+        if not self.exact:
+            ways = self.search(text, 2)
+            gap = ways[0].score - ways[1].score if len(ways) > 1 else float("inf")
+            return ways[0].data, ways[0].score, gap
+        ends, best = self.lattice(text)
+        at, parts, gap = len(text), [], float("inf")
+        while at:
+            bound, taken = best[at], None
+            for arc in ends[at]:
+                lost = bound - arc[1] - best[arc[0]]
+                if lost:
+                    if lost < gap:
+                        gap = lost
+                else:
+                    if taken is not None:
+                        gap = 0.0
+                    taken = arc
+            at = taken[0]
+            parts.append(taken[2])
+        parts.reverse()
+        return b"".join(parts), best[-1], gap
+
     def word(self, text: str) -> tuple[bytes, float, float, bool]:
         """(best ids, its score, gap to the second, decodes back) of a word, kept by the task."""
         found = self.known.get(text)
         if found is None:
             if len(self.known) >= self.limit:
                 self.known.clear()
-            ways = self.search(text, 2)
-            gap = ways[0].score - ways[1].score if len(ways) > 1 else float("inf")
-            back = self.joined(ways[0].ids) == text
-            found = self.known[text] = (ways[0].data, ways[0].score, gap, back)
+            data, score, gap = self.best(text)
+            back = self.joined(np.frombuffer(data, "<u4").tolist()) == text
+            found = self.known[text] = (data, score, gap, back)
+        return found
+
+    def ways(self, text: str, n: int) -> list[Segmentation]:
+        """The n best of a word; texts share the words with small gaps, so some are kept."""
+        found = self.searched.get((text, n))
+        if found is None:
+            if len(self.searched) >= 20_000:
+                self.searched.clear()
+            found = self.searched[text, n] = self.search(text, n)
         return found
 
     def encode(self, text: str, n: int | None = None) -> tuple[list[Segmentation], bool]:
         """The n best segmentations of a whole text, and whether their words decode back."""
         n = self.n_best if n is None else n
         parts = self.cut(self.library.normalize(text))
-        words = [*map(self.word, parts)]
-        base = sum(w[1] for w in words)
-        data = [w[0] for w in words]
+        if not parts:
+            return [Segmentation(0.0, b"")], True
+        words = [*map(self.known.get, parts)]
+        if None in words:
+            words = [*map(self.word, parts)]
+        data, scores, gaps, back = zip(*words, strict=True)
+        base = sum(scores)
         # changes at n - 1 words with the smallest gaps suffice: each alone is as good as any other
-        gaps = [w[2] for w in words]
-        near = heapq.nsmallest(n - 1, range(len(words)), key=gaps.__getitem__)
+        near = _smallest(gaps, n - 1)
         ways: list[tuple[float, dict[int, Segmentation]]] = [(0.0, {})]
         for i in near:
             if gaps[i] == float("inf"):
                 break
-            found = self.search(parts[i], n)
+            found = self.ways(parts[i], n)
             ways = heapq.nsmallest(n, (
                 (lost + found[0].score - way.score, chosen if k == 0 else chosen | {i: way})
                 for lost, chosen in ways for k, way in enumerate(found)), key=lambda x: x[0])
         out = []
         for lost, chosen in ways[:n]:
-            some = data.copy() if chosen else data
-            for i, way in chosen.items():
-                some[i] = way.data
+            some = data
+            if chosen:
+                some = [*data]
+                for i, way in chosen.items():
+                    some[i] = way.data
             out.append(Segmentation(base - lost, b"".join(some)))
-        return out, all(w[3] for w in words)
+        return out, all(back)
 
     def joined(self, ids: list[int]) -> str:
         """The normalised text of piece ids; bytes that are no text are replaced."""
