@@ -360,21 +360,9 @@ FROM entry_counts
 
 def structure_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     everything = audited_atoms(spark, sf_dir)
-    raw = inv.first_model(everything)
-    source = inv.dedupe_records(raw)
-    selections = inv.residue_selections(source)
-    extras = inv.contact_atoms(source, selections).groupBy("entry_id").agg(
-        F.sum("extra_records").alias("malformed_duplicate_atom_name_count")
-    )
-    fallbacks = selections.groupBy("entry_id").agg(
-        F.count_if("altloc_selection_fallback").alias("fallback_count")
-    )
     joined = (
-        inv.entry_counts(raw, source)
-        .join(inv.duplicate_audit(raw), "entry_id")
+        inv.warning_counts(inv.first_model(everything))
         .join(inv.model_counts(everything), "entry_id")
-        .join(extras, "entry_id", "left")
-        .join(fallbacks, "entry_id", "left")
         .withColumns(
             {
                 "defaulted_count": F.lit(0),

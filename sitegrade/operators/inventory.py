@@ -339,6 +339,69 @@ def entry_counts(records: DataFrame, source: DataFrame) -> DataFrame:
     )
 
 
+def warning_counts(records: DataFrame) -> DataFrame:
+    """Per entry, what :func:`structure_warnings` tells of its first-model records.
+
+    The same numbers as :func:`duplicate_audit`, :func:`entry_counts`, the
+    ``extra_records`` of :func:`contact_atoms` and the fallbacks of
+    :func:`residue_selections`. Records are dealt once by residue; identities,
+    sites, atoms and residues are settled where they are, and only sums leave.
+    """
+    needed = ("source_order", "occupancy", "occupancy_valid", "element_status", "x", "y", "z")
+    dealt = records.select(*EXACT_IDENTITY, *needed).repartition(*RESIDUE)
+    identity = Window.partitionBy(*EXACT_IDENTITY)
+    earlier = identity.orderBy("source_order").rowsBetween(Window.unboundedPreceding, -1)
+    place = (F.col("x"), F.col("y"), F.col("z"))
+    seen = dealt.withColumn(
+        "__kept", F.min(F.struct(record_rank().alias("rank"), "x", "y", "z")).over(earlier))
+    away = distance(place, tuple(F.col(f"__kept.{axis}") for axis in "xyz"))
+    source = seen.withColumn(
+        "__moved", F.col("__kept").isNotNull() & (away > vocab.DUPLICATE_POSITION_TOLERANCE)
+    ).withColumns({
+        "__repeats": F.count(F.lit(1)).over(identity) - 1,
+        "__conflicts": F.count_if("__moved").over(identity),
+        "__place": F.row_number().over(identity.orderBy(*record_order())),
+    }).where("__place = 1")
+    chosen = with_selected_altloc(source)
+    valid, named = F.col("occupancy_valid"), F.col("altloc") != ""
+    label = F.when(named, F.col("altloc"))
+    by_site = chosen.groupBy(*CHEMICAL_SITE).agg(
+        F.sum("__repeats").alias("repeats"),
+        F.sum("__conflicts").alias("conflicts"),
+        F.count_if(~named | (F.col("altloc") == F.col("selected_altloc"))).alias("eligible"),
+        F.count_if(F.col("element_status") != "valid").alias("unknown"),
+        F.count_if(F.col("x").isNull() | F.col("y").isNull() | F.col("z").isNull()).alias("unplaced"),
+        F.count_if(valid & (F.col("occupancy") == 0)).alias("zero"),
+        F.coalesce(
+            F.bool_and("occupancy_valid") & (F.count(F.lit(1)) > 1)
+            & (F.sum(F.when(valid, F.col("occupancy").cast("decimal(18,6)"))) > 1),
+            F.lit(False)).cast("int").alias("overfull"),
+        F.count_if(named & valid).alias("usable"),
+        F.min(label).alias("lowest"), F.max(label).alias("highest"),
+    )
+    sums = ("repeats", "conflicts", "unknown", "unplaced", "zero", "overfull")
+
+    def summed(*more: str) -> list[Column]:
+        return [F.sum(c).alias(c) for c in (*sums, *more)]
+
+    spread = [F.min("lowest").alias("lowest"), F.max("highest").alias("highest")]
+    by_atom = by_site.groupBy(*RESIDUE, "atom_name").agg(*summed("eligible", "usable"), *spread)
+    by_residue = by_atom.withColumn("extra", F.greatest(F.col("eligible") - 1, F.lit(0))).groupBy(
+        *RESIDUE).agg(*summed("extra", "usable"), *spread)
+    fallback = (F.col("usable") == 0) & (F.col("lowest") < F.col("highest"))
+    return by_residue.groupBy("entry_id").agg(
+        *summed("extra"), F.count_if(fallback).alias("fallback_count")
+    ).withColumnsRenamed({
+        "repeats": "duplicate_atom_record_count",
+        "conflicts": "duplicate_atom_coordinate_conflict_count",
+        "unknown": "unknown_element_atom_count",
+        "unplaced": "non_finite_coordinate_atom_count",
+        "zero": "zero_occupancy_atom_count",
+        "overfull": "overfull_occupancy_site_count",
+        "extra": "malformed_duplicate_atom_name_count",
+    })
+
+
 def structure_warnings(counts: DataFrame) -> DataFrame:
     """Add ``warning_codes`` in their published order.
 
