@@ -41,8 +41,15 @@ def both_ways(bonds: DataFrame) -> DataFrame:
 
 
 def cluster_components(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
-    """Components with an S or Se bonded to two or more cluster metals."""
-    edges = both_ways(bonds)
+    """Components with an S or Se bonded to two or more cluster metals.
+
+    Bonds of components without such atoms leave before any bond is matched.
+    """
+    able = atoms.groupBy("component_id").agg(
+        F.count_if(F.col("element").isin(*vocab.CLUSTER_CHALCOGENS)).alias("chalcogens"),
+        F.count_if(F.col("element").isin(*vocab.CLUSTER_METALS)).alias("metals"),
+    ).where(F.col("chalcogens") * F.col("metals") >= 2)
+    edges = both_ways(bonds.join(able, "component_id", "left_semi"))
     chalcogens = atoms.where(F.col("element").isin(*vocab.CLUSTER_CHALCOGENS)).selectExpr(
         "component_id", "atom_id AS from_atom"
     )
@@ -74,14 +81,14 @@ def heme_prefilter(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
     iron = atoms.where(F.col("element") == "FE").selectExpr("component_id", "atom_id AS from_atom")
     nitrogen = atoms.where(F.col("element") == "N").selectExpr("component_id", "atom_id AS to_atom")
     bonded = (
-        both_ways(bonds)
+        both_ways(bonds.join(counted, "component_id", "left_semi"))
         .join(iron, ["component_id", "from_atom"])
         .join(nitrogen, ["component_id", "to_atom"])
         .groupBy("component_id")
         .agg(F.count(F.lit(1)).alias("donors"))
         .where(F.col("donors") >= vocab.CORE_MIN_IRON_NITROGEN_BONDS)
     )
-    return counted.join(bonded, "component_id", "left_semi").select("component_id")
+    return bonded.select("component_id")
 
 
 def _two_connected_blocks(edges: list[tuple[str, str]]) -> list[set[str]]:
@@ -153,7 +160,7 @@ def heme_components(atoms: DataFrame, bonds: DataFrame) -> DataFrame:
     wanted = heme_prefilter(atoms, bonds)
     ends = atoms.select("component_id", "atom_id", "element")
     graph = (
-        both_ways(bonds).where("from_atom < to_atom").join(wanted, "component_id", "left_semi")
+        both_ways(bonds.join(wanted, "component_id", "left_semi")).where("from_atom < to_atom")
         .join(ends.selectExpr("component_id", "atom_id AS from_atom", "element AS from_element"),
               ["component_id", "from_atom"])
         .join(ends.selectExpr("component_id", "atom_id AS to_atom", "element AS to_element"),
