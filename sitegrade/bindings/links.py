@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sitegrade import vocab
 from sitegrade.bindings import contacts as bc
 from sitegrade.bindings.common import ATOMS, Query, derived, exact_sql, fixed, fixed_sql, plain, table
-from sitegrade.bindings.inventory import SELECTION_CTE, source_atoms
+from sitegrade.bindings.inventory import SELECTION_CTE, records, source_atoms
 from sitegrade.bindings.runs import MANIFEST, manifest
 from sitegrade.functions.geometry import distance
 from sitegrade.operators import catalog as cat
@@ -19,7 +19,7 @@ from sitegrade.operators import declared as dec
 from sitegrade.operators import inventory as inv
 from sitegrade.operators import reflections as ref
 from sitegrade.operators.distribution import value_histogram
-from sitegrade.session import cut_lineage, ensure_checkpoint_dir
+from sitegrade.session import cut_lineage, ensure_checkpoint_dir, stored_where_dealt
 from sitegrade.sources import files as src
 from sitegrade.sources import tables
 from sitegrade.streaming import jobs
@@ -65,9 +65,9 @@ IMAGE_CONNECTIONS = CONNECTIONS.replace("""  AND n.chain_index = (m.chain_index
 
 
 def outcomes(spark: SparkSession, sf_dir: str, stated: DataFrame | None = None) -> DataFrame:
-    source = cut_lineage(source_atoms(spark, sf_dir))
+    source = inv.dedupe_records(records(spark, sf_dir).repartition("entry_id"))
     named = dec.unique_connection_ids(connections(spark, sf_dir) if stated is None else stated)
-    return dec.declared_outcomes(dec.resolve_partners(named, source))
+    return dec.declared_outcomes(dec.resolve_partners(named, source, dealt=True))
 
 
 def connection_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,11 +87,11 @@ _add("connection_ids", connection_ids, f"WITH {_IDS_SQL} SELECT entry_id, positi
 
 
 def declared_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outcomes(spark, sf_dir).select(
+    return stored_where_dealt(outcomes(spark, sf_dir).select(
         "entry_id", "position", "outcome", "issue", F.array_join("warnings", "|").alias("warnings"),
         F.when(F.col("outcome") == "candidate", F.col("metal.atom_index")).alias("metal_atom"),
         F.when(F.col("outcome") == "candidate", F.col("neighbor.atom_index")).alias("neighbor_atom"),
-    )
+    ))
 
 
 def _side_sql(side: str) -> str:
@@ -155,14 +155,21 @@ SELECT entry_id, position, outcome,
 FROM decided""")
 
 
+#: What a merge of candidates itself reads.
+_MERGE_KEYS = (*con.SITE, *con.DONOR, "image_index", "tx", "ty", "tz", "px", "py", "pz", "sources", "declared",
+               "donor_class_supported")
+
+
 def merged_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proximity and declared candidates of one image merged into one row."""
-    pairs = cut_lineage(dec.declared_pairs(outcomes(spark, sf_dir)).drop("asu"))
+    pairs = dec.declared_pairs(outcomes(spark, sf_dir)).drop("asu")
     near = tuple(F.col(f"m_{a}") for a in "xyz"), tuple(F.col(f"n_{a}") for a in "xyz")
     declared = con.as_explicit(pairs.withColumn("distance", distance(*near)))
-    atoms = bc.contact_table(spark, sf_dir)
-    proximity = con.explicit_candidates(con.metals_of(atoms), con.donors_of(atoms))
-    merged = con.merge_candidates(proximity, declared.select(*proximity.columns))
+    atoms = bc.searched_atoms(spark, sf_dir)
+    read = [*_MERGE_KEYS, "distance", *[f"n_{c}" for c in (
+        "atom_name", "residue_name", "is_water", "element", "polymer_position")]]
+    proximity = con.explicit_candidates(con.metals_of(atoms), con.donors_of(atoms)).select(*read)
+    merged = con.merge_candidates(proximity, stored_where_dealt(declared.select(*read)))
     return con.with_donor_policy(merged).select(
         "entry_id", "m_atom_index", "n_atom_index", fixed("distance", 5).alias("distance"),
         F.array_join("sources", "|").alias("sources"),
@@ -206,20 +213,20 @@ def _searched_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bc.cells(spark, sf_dir).where("entry_no % 7 <> 0")
 
 
-def placed_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+def placed_connections(spark: SparkSession, sf_dir: str, frame: DataFrame | None = None) -> DataFrame:
     stated = derived(spark, sf_dir, IMAGE_CONNECTIONS)
-    return dec.place_declared(
-        outcomes(spark, sf_dir, stated), _searched_cells(spark, sf_dir), bc.operations(spark, sf_dir))
+    frame = _searched_cells(spark, sf_dir) if frame is None else frame
+    return dec.place_declared(outcomes(spark, sf_dir, stated), frame, bc.operations(spark, sf_dir, frame))
 
 
 def declared_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every resolved declaration lies: image, scope, distance, issue, warnings."""
     at = F.col("placement") == "placed"
-    return placed_connections(spark, sf_dir).select(
+    return stored_where_dealt(placed_connections(spark, sf_dir).select(
         "entry_id", "position", "placement", *[F.when(at, F.col(c)).alias(c) for c in (
             "image_index", "tx", "ty", "tz", "contact_scope")],
         F.when(at, fixed("distance", 5)).alias("distance"), "issue",
-        F.array_join("warnings", "|").alias("warnings"))
+        F.array_join("warnings", "|").alias("warnings")))
 
 
 _PLACED_CTE = f"""{bc._IMAGE_CTE}, {_OUTCOME_CTE.replace(SELECTION_CTE + ",", "", 1).replace(_IDS_SQL, _ids_sql(IMAGE_CONNECTIONS), 1)},
@@ -282,13 +289,14 @@ FROM placed""")
 
 def merged_image_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image-inclusive proximity and declared candidates, one row per atom image."""
-    atoms = bc.contact_table(spark, sf_dir)
+    atoms = bc.searched_atoms(spark, sf_dir)
     frame = _searched_cells(spark, sf_dir)
+    read = [*_MERGE_KEYS, "distance", "contact_scope"]
     proximity = con.image_candidates(
-        con.metals_of(atoms), con.donors_of(atoms), frame, bc.operations(spark, sf_dir))
-    declared = placed_connections(spark, sf_dir).where("placement = 'placed'").join(
-        frame.select("entry_id"), "entry_id", "left_semi").select(*proximity.columns)
-    return con.merge_candidates(proximity, declared).select(
+        con.metals_of(atoms), con.donors_of(atoms), frame, bc.operations(spark, sf_dir, frame)).select(*read)
+    declared = placed_connections(spark, sf_dir, frame).where("placement = 'placed'").join(
+        frame.select("entry_id"), "entry_id", "left_semi").select(*read)
+    return con.merge_candidates(proximity, stored_where_dealt(declared)).select(
         "entry_id", "m_atom_index", "n_atom_index", "image_index", "tx", "ty", "tz",
         fixed("distance", 5).alias("distance"), "contact_scope",
         F.array_join("sources", "|").alias("sources"),

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from sitegrade import vocab
 from sitegrade.functions.clean import first_label, labels
-from sitegrade.functions.geometry import (
-    apply_operation, distance, fractionalize, image_provenance, orthogonalize,
-)
+from sitegrade.functions.geometry import distance, fractionalize, image_provenance
 from sitegrade.operators.contacts import ATOM_COLUMNS
 from sitegrade.operators.inventory import record_order, with_selected_altloc
 from sitegrade.session import cut_lineage
@@ -20,32 +18,38 @@ RESIDUE = ("entry_id", "chain_index", "residue_index")
 def unique_connection_ids(connections: DataFrame) -> DataFrame:
     """Give repeated ids of an entry a suffix of their position, the first stays.
 
-    A blank id becomes ``<source>_<position>``. A new id may itself be taken,
-    so passes repeat until no id of an entry is left twice; every pass lengthens
-    all but the first of a repeated id, and positions differ, so they end.
+    A blank id becomes ``<source>_<position>``. A new id ends with its own position,
+    so it can only meet an id that was given in that form; where there are such ids,
+    passes repeat over them until none is left twice. The connections leave dealt by
+    entry, are moved only if they were not, and are not stored.
     """
-    name = F.trim(F.coalesce("connection_id", F.lit("")))
-    named = connections.withColumn(
-        "connection_id",
-        F.when(name == "", F.concat_ws("_", "source", "position")).otherwise(name),
-    )
-    # only the ids are stored between passes; each pass leaves the small table of ids to change
-    ids = cut_lineage(named.select("entry_id", "position", "connection_id"))
+    stated = F.trim(F.coalesce("connection_id", F.lit("")))
+    formed = (stated == "") | stated.rlike("_-?[0-9]+$")
+    name = F.when(stated == "", F.concat_ws("_", "source", "position")).otherwise(stated)
+    rivals = cut_lineage(
+        connections.where(formed).select("entry_id", name.alias("connection_id")).distinct())
+    # by entry alone, so that connections made inside entries are not dealt again
+    same = Window.partitionBy("entry_id").orderBy("connection_id").rangeBetween(
+        Window.currentRow, Window.currentRow)
+    named = connections.withColumn("connection_id", name).withColumn("__first", F.min("position").over(same))
+    named = _suffixed(named).drop("__first")
+    if rivals.isEmpty():
+        return named
     while True:
-        repeated = cut_lineage(ids.groupBy("entry_id", "connection_id").agg(
-            F.min("position").alias("__first"), F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n"))
+        repeated = cut_lineage(
+            named.join(rivals, ["entry_id", "connection_id"], "left_semi").groupBy("entry_id", "connection_id").agg(
+                F.min("position").alias("__first"), F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n"))
         if repeated.isEmpty():
             return named
-        ids, named = _renamed(ids, repeated), _renamed(named, repeated)
+        named = _suffixed(named.join(repeated, ["entry_id", "connection_id"], "left")).drop("__first")
 
 
-def _renamed(named: DataFrame, repeated: DataFrame) -> DataFrame:
-    """All but the first of a repeated id with their position as suffix."""
-    return named.join(repeated, ["entry_id", "connection_id"], "left").withColumn(
+def _suffixed(named: DataFrame) -> DataFrame:
+    """Ids of rows after the ``__first`` of their id, with their position as suffix."""
+    return named.withColumn(
         "connection_id",
         F.when(F.col("position") > F.col("__first"), F.concat_ws("_", "connection_id", "position"))
-        .otherwise(F.col("connection_id")),
-    ).drop("__first")
+        .otherwise(F.col("connection_id")))
 
 
 def _residue_index(atoms: DataFrame) -> DataFrame:
@@ -62,16 +66,19 @@ ADDRESS = ("entry_id", "chain_id", "residue_name", "resnum", "atom_name", "wante
 
 
 def _addresses(
-    source: DataFrame, contact: DataFrame | None, selections: DataFrame | None, renames: DataFrame | None
+    source: DataFrame, contact: DataFrame | None, selections: DataFrame | None, renames: DataFrame | None,
+    dealt: bool = False,
 ) -> DataFrame:
     """What every address of an atom answers: one row per atom and stated conformer.
 
     Carries the keys of ``ADDRESS``, the declared record (``declared_index``,
     ``element``) and ``atom``, the modelled atom of the same name and element.
     Grows with the atoms, not with the connections that name them. Without
-    ``contact`` and ``selections`` both are settled here, inside residues.
+    ``contact`` and ``selections`` both are settled here, inside entries: the
+    records are dealt by entry once (``dealt``: they are already), and so are the addresses.
     """
-    index = _residue_index(source)
+    inside = contact is None and renames is None
+    index = None if inside else _residue_index(source)
     if renames is not None:
         author = ["entry_id", "chain_id", "residue_name", "resnum"]
         alias = index.withColumnRenamed("chain_id", "new_chain").join(
@@ -84,7 +91,15 @@ def _addresses(
     if contact is None:
         eligible = F.coalesce((F.col("altloc") == "") | (F.col("altloc") == F.col("selected_altloc")), F.lit(False))
         best = named.orderBy(~eligible, F.col("altloc") == "", *record_order())
-        records = with_selected_altloc(source.repartition(*RESIDUE), RESIDUE).withColumn(
+        records = source if dealt else source.repartition("entry_id")
+        if inside:
+            author = Window.partitionBy("entry_id", "chain_id", "residue_name", "resnum")
+            at = F.struct("chain_index", "residue_index")
+            alone = F.min(at).over(author).eqNullSafe(F.max(at).over(author))
+            identity = F.when(F.col("__alone"), F.struct("chain_id", "residue_name", "resnum"))
+            records = records.withColumn("__alone", alone).withColumn(
+                "__authors", F.collect_set(identity).over(Window.partitionBy(*RESIDUE)))
+        records = with_selected_altloc(records, RESIDUE).withColumn(
             "modelled", F.first(F.when(eligible, whole)).over(best)).withColumn("altloc", label)
     else:
         records = source.withColumn("altloc", label).join(
@@ -100,11 +115,13 @@ def _addresses(
         F.when(F.col("__place") == 1, F.lit("")),
         F.when((F.col("__own") == 1) & (F.col("altloc") != ""), F.col("altloc")))
     same = F.col("modelled.element").eqNullSafe(F.col("element"))
-    return placed.where("__place = 1 OR __own = 1").select(
-        *RESIDUE, "atom_name", F.col("atom_index").alias("declared_index"), "element",
-        F.when(same, F.col("modelled")).alias("atom"),
+    found = placed.where("__place = 1 OR __own = 1").select(
+        *RESIDUE, *(["__authors"] if inside else []), "atom_name",
+        F.col("atom_index").alias("declared_index"), "element", F.when(same, F.col("modelled")).alias("atom"),
         F.explode(F.filter(answers, lambda a: a.isNotNull())).alias("wanted_altloc"),
-    ).join(index, list(RESIDUE)).select(*ADDRESS, "declared_index", "element", "atom")
+    )
+    named_by = found.select("*", F.inline("__authors")) if inside else found.join(index, list(RESIDUE))
+    return named_by.select(*ADDRESS, "declared_index", "element", "atom")
 
 
 def resolve_partner(
@@ -130,13 +147,16 @@ def resolve_partners(
     connections: DataFrame,
     source: DataFrame,
     renames: DataFrame | None = None,
+    dealt: bool = False,
 ) -> DataFrame:
     """Both partners of every connection, by :func:`resolve_partner`'s rules.
 
     Conformers and modelled atoms are those ``contact_atoms`` selects from
-    ``source``; each side is one join with the table of addresses.
+    ``source``; each side is one join with the table of addresses. Connections
+    dealt by entry, as :func:`unique_connection_ids` leaves them, meet the
+    addresses where they are. ``dealt``: so is ``source``.
     """
-    addresses = _addresses(source, None, None, renames)
+    addresses = _addresses(source, None, None, renames, dealt)
     return _resolved(_resolved(connections, "p1", addresses), "p2", addresses)
 
 
@@ -292,39 +312,54 @@ def declared_pairs(outcomes: DataFrame) -> DataFrame:
     return outcomes.where(F.col("outcome") == "candidate").select(*_pair_columns())
 
 
-def nearest_images(pairs: DataFrame, cells: DataFrame, operations: DataFrame, keys: list[str]) -> DataFrame:
-    """The nearest image of each pair's second point around its first one.
+def image_frames(cells: DataFrame, operations: DataFrame) -> DataFrame:
+    """One row per entry with a cell and operations: matrix, crystal operations counted, all as an array.
+
+    An entry has few operations, which its space group and its NCS set bound.
+    """
+    matrix = cells.select("entry_id", "m11", "m12", "m13", "m22", "m23", "m33").dropDuplicates(["entry_id"])
+    turns = [f"r{i}{j}" for i in (1, 2, 3) for j in (1, 2, 3)]
+    sets = operations.groupBy("entry_id").agg(
+        F.count_if(~F.col("is_ncs")).cast("int").alias("operation_count"),
+        F.collect_list(F.struct("image_index", *turns, "t1", "t2", "t3")).alias("operations"))
+    return matrix.join(sets, "entry_id")
+
+
+def with_nearest_image(pairs: DataFrame) -> DataFrame:
+    """Add the nearest image of each pair's second point around its first one.
 
-    ``pairs`` carries ``keys`` (``entry_id`` and more, unique), ``m_x, m_y, m_z``,
-    ``n_x, n_y, n_z`` and ``elsewhere``: whether the deposited position itself is
-    no answer. Each pair meets the operations of its own entry, each with the
+    ``pairs`` carries the columns of :func:`image_frames`, ``m_x, m_y, m_z``,
+    ``n_x, n_y, n_z``, ``sought``, whether an image is looked for, and ``elsewhere``:
+    whether the deposited position itself is no answer. Each operation comes with the
     whole-cell shift that brings the points within half a cell of one another
-    along every axis. Equal distances go to the lower operation. Returns the
-    keys with ``image_index, tx, ty, tz``, the image's position ``px, py, pz``,
-    and ``operation_count``; pairs without any image are missing.
+    along every axis. Equal distances, up to arithmetic noise, go to the lower
+    operation. Adds ``image_index, tx, ty, tz`` and the image's position
+    ``px, py, pz``, null for pairs without any image. A row is settled by itself.
     """
-    matrix = cells.select("entry_id", "m11", "m12", "m13", "m22", "m23", "m33")
-    counted = operations.where(~F.col("is_ncs")).groupBy("entry_id").agg(
-        F.count(F.lit(1)).cast("int").alias("operation_count"))
-    framed = pairs.select(*keys, "elsewhere", *[f"{s}_{a}" for s in "mn" for a in "xyz"]).join(
-        matrix, "entry_id").join(counted, "entry_id")
     sides = [F.col(f"{s}_{a}") for s in "mn" for a in "xyz"]
-    near, far = fractionalize(*sides[:3]), fractionalize(*sides[3:])
-    pointed = framed.withColumns(dict(zip(("lu", "lv", "lw", "ru", "rv", "rw"), (*near, *far), strict=True)))
-    met = pointed.join(operations, "entry_id")
-    moved = dict(zip(("gu", "gv", "gw"), apply_operation(*(F.col(f"r{x}") for x in "uvw")), strict=True))
-    shifts = {f"t{a}": F.round(F.col(f"l{u}") - F.col(f"g{u}")).cast("int") for a, u in zip("xyz", "uvw")}
-    placed = met.withColumns(moved).withColumns(shifts).withColumns(
-        {f"i{u}": F.col(f"g{u}") + F.col(f"t{a}") for a, u in zip("xyz", "uvw")})
-    position = orthogonalize(F.col("iu"), F.col("iv"), F.col("iw"))
-    placed = placed.withColumns(dict(zip(("px", "py", "pz"), position, strict=True)))
-    deposited = (F.col("image_index") == 0) & (F.col("tx") == 0) & (F.col("ty") == 0) & (F.col("tz") == 0)
-    gap = distance(tuple(sides[:3]), tuple(F.col(c) for c in ("px", "py", "pz")))
+    axes = (("1", "u", "x"), ("2", "v", "y"), ("3", "w", "z"))
+    pointed = pairs.withColumns(dict(zip(
+        ("__lu", "__lv", "__lw", "__ru", "__rv", "__rw"),
+        (*fractionalize(*sides[:3]), *fractionalize(*sides[3:])), strict=True)))
+    turned = ", ".join(f"o.r{i}1 * __ru + o.r{i}2 * __rv + o.r{i}3 * __rw + o.t{i} AS g{u}" for i, u, _ in axes)
+    shifted = ", ".join(f"CAST(round(__l{u} - o.g{u}) AS INT) AS t{a}" for _, u, a in axes)
+    inside = ", ".join(f"o.g{u} + o.t{a} AS i{u}" for _, u, a in axes)
+    shift = "o.tx AS tx, o.ty AS ty, o.tz AS tz"
+    spot = ("m11 * o.iu + m12 * o.iv + m13 * o.iw AS px, m22 * o.iv + m23 * o.iw AS py, m33 * o.iw AS pz")
+    gap = "sqrt(0.0D + (m_x - o.px) * (m_x - o.px) + (m_y - o.py) * (m_y - o.py) + (m_z - o.pz) * (m_z - o.pz))"
+    kept = "o.image_index AS image_index"
+    met = "CASE WHEN sought AND operation_count > 0 THEN operations END"
+    for made in (
+        f"{kept}, {turned}", f"{kept}, o.gu AS gu, o.gv AS gv, o.gw AS gw, {shifted}",
+        f"{kept}, {shift}, {inside}", f"{kept}, {shift}, {spot}",
+    ):
+        met = f"transform({met}, o -> struct({made}))"
+    met = (f"filter({met}, o -> NOT (elsewhere AND o.image_index = 0 AND o.tx = 0 AND o.ty = 0 AND o.tz = 0))")
     # equal up to arithmetic noise counts as equal
-    rank = F.struct(F.floor(gap * 1e6 + 0.5).alias("gap"), F.col("image_index"))
-    image = F.struct("image_index", "tx", "ty", "tz", "px", "py", "pz", "operation_count")
-    return placed.where(~(F.col("elsewhere") & deposited)).groupBy(*keys).agg(
-        F.min_by(image, rank).alias("image")).select(*keys, "image.*")
+    best = (f"array_min(transform({met}, o -> struct(floor({gap} * 1e6D + 0.5D) AS gap, {kept}, {shift},"
+            " o.px AS px, o.py AS py, o.pz AS pz)))")
+    return pointed.selectExpr(*pairs.columns, f"{best} AS __image").select(
+        *pairs.columns, *[F.col(f"__image.{c}").alias(c) for c in ("image_index", "tx", "ty", "tz", "px", "py", "pz")])
 
 
 def place_declared(
@@ -346,24 +381,23 @@ def place_declared(
     """
     usable = outcomes.where(F.col("outcome").isin("candidate", "own_residue"))
     stated = F.lower(F.trim(F.coalesce("asu", F.lit(""))))
-    kept = cut_lineage(usable.select(
+    kept = usable.select(
         "position", F.concat_ws(" ", "source", "connection_id").alias("label"),
         _warnings(F.lit(True), F.lit(True)).alias("warnings"),
         _warnings(F.lit(True), F.lit(False)).alias("substitution"),
-        *_pair_columns(), stated.alias("stated")))
-    keys = ["entry_id", "position"]
+        *_pair_columns(), stated.alias("stated"))
     if cells is None or operations is None:
         joined = kept.withColumns({
             "searched": F.lit(False), **{c: F.lit(None).cast("int") for c in ("image_index", "tx", "ty", "tz")},
             **{c: F.lit(None).cast("double") for c in ("px", "py", "pz")},
             "operation_count": F.lit(None).cast("int")})
     else:
-        known = cells.select("entry_id").distinct().join(
-            operations.select("entry_id").distinct(), "entry_id").withColumn("searched", F.lit(True))
-        open_pairs = kept.where("stated <> 'same'").withColumn("elsewhere", F.col("stated") == "different")
-        images = nearest_images(open_pairs, cells, operations, keys)
-        joined = kept.join(known, "entry_id", "left").join(images, keys, "left").withColumn(
-            "searched", F.coalesce("searched", F.lit(False)))
+        frames = image_frames(cells, operations)
+        framed = kept.join(frames, "entry_id", "left").withColumns({
+            "searched": F.col("operations").isNotNull(), "sought": F.col("stated") != "same",
+            "elsewhere": F.col("stated") == "different"})
+        joined = with_nearest_image(framed).drop(
+            "sought", "elsewhere", "operations", *[c for c in frames.columns if c.startswith("m")])
     generated = F.col("image_index").isNotNull() & (
         (F.col("image_index") != 0) | (F.col("tx") != 0) | (F.col("ty") != 0) | (F.col("tz") != 0))
     own = (F.col("m_chain_index") == F.col("n_chain_index")) & (

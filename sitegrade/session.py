@@ -64,6 +64,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+def stored_where_dealt(df: DataFrame) -> DataFrame:
+    """As :func:`stored`; joins on more keys than both sides were dealt by leave the rows where they are.
+
+    For tables dealt by a key whose groups are bounded, such as an entry.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(_ALL_KEYS)
+    spark.conf.set(_ALL_KEYS, "false")
+    try:
+        return stored(df)
+    finally:
+        spark.conf.set(_ALL_KEYS, before)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it from there.
 
