@@ -176,14 +176,14 @@ def merge_candidates(proximity: DataFrame, declared: DataFrame) -> DataFrame:
     both = proximity.withColumn("route", F.lit(0)).unionByName(
         declared.withColumn("route", F.lit(1))
     )
-    lead = both.groupBy(*image).agg(
-        F.min(F.struct("route", "px", "py", "pz")).alias("lead")
-    )
+    # dealt once by site; images and their records are settled there
+    led = both.repartition(*SITE).withColumn(
+        "lead", F.min(F.struct("route", "px", "py", "pz")).over(Window.partitionBy(*image)))
     away = distance(
         tuple(F.col(c) for c in ("px", "py", "pz")),
         tuple(F.col(f"lead.{c}") for c in ("px", "py", "pz")),
     )
-    joined = both.join(lead, image).withColumn(
+    joined = led.withColumn(
         "__apart",
         F.when(away > vocab.SAME_IMAGE_TOLERANCE, F.struct("px", "py", "pz")),
     )
