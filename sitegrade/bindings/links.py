@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sitegrade import vocab
 from sitegrade.bindings import contacts as bc
 from sitegrade.bindings.common import ATOMS, Query, derived, exact_sql, fixed, fixed_sql, plain, table
-from sitegrade.bindings.inventory import SELECTION_CTE, records, source_atoms
+from sitegrade.bindings.inventory import SELECTION_CTE, records
 from sitegrade.bindings.runs import MANIFEST, manifest
 from sitegrade.functions.geometry import distance
 from sitegrade.operators import catalog as cat
